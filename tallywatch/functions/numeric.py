@@ -87,10 +87,10 @@ def student_t_p(r: Column, n: Column) -> Column:
 
 
 def jensen_shannon(ref: Column, cur: Column) -> Column:
-    """One category's part of the Jensen-Shannon divergence in bits between two shares."""
+    """One category's part of the Jensen-Shannon divergence (natural log) between two shares."""
     mid = (ref + cur) / 2
-    part_ref = F.when(ref > 0, ref * F.log2(ref / mid)).otherwise(0.0)
-    part_cur = F.when(cur > 0, cur * F.log2(cur / mid)).otherwise(0.0)
+    part_ref = F.when(ref > 0, ref * F.log(ref / mid)).otherwise(0.0)
+    part_cur = F.when(cur > 0, cur * F.log(cur / mid)).otherwise(0.0)
     return (part_ref + part_cur) / 2
 
 

@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywatch.functions.numeric import argmax, softmax
-from tallywatch.functions.text import with_bigrams, words_without_stops
 from tallywatch.operators.datasets import shuffled_sample
+from tallywatch.operators.drift_text import add_terms
 
 
 def sentiment(label: Column) -> Column:
@@ -97,7 +97,7 @@ def evaluation_report(scored: DataFrame, config: dict[str, object], label: str =
 
 def text_features(df: DataFrame, column: str = "text") -> DataFrame:
     """Add `terms`: words without stop words, and their pairs."""
-    return df.withColumn("terms", with_bigrams(words_without_stops(F.col(column))))
+    return add_terms(df, column)
 
 
 def _classifier(vocabulary_size: int, max_iter: int, reg_param: float) -> Pipeline:

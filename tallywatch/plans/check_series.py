@@ -209,7 +209,7 @@ def _(t: Tables):
     f"""WITH l AS (SELECT input_hash, id, predicted_at, epoch_us(predicted_at) AS moment,
         lag(epoch_us(predicted_at)) OVER (PARTITION BY input_hash ORDER BY predicted_at, id) AS before FROM text_logs)
     SELECT input_hash, id, predicted_at, {settled("(moment - before) / CAST(1000000 AS DOUBLE)")} AS seconds_since,
-      coalesce(moment - before <= 43200 * 1000000, false) AS would_hit FROM l""",
+      coalesce(moment - before <= 43200000000, false) AS would_hit FROM l""",
 )
 def _(t: Tables):
     # half a day instead of five minutes, so that the sparse test data has hits

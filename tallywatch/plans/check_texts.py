@@ -4,19 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallywatch.functions.numeric import argmax, settle, softmax
+from tallywatch.functions.numeric import settle
 from tallywatch.functions.text import (
     ENGLISH_STOP_WORDS,
     STRIP_PATTERN,
     TERM_PATTERN,
     TOKEN_PATTERN,
     WORD_PATTERN,
-    strip,
-    with_bigrams,
     word_count,
-    words_without_stops,
 )
 from tallywatch.operators import datasets, quality, requests, texts, validation
+from tallywatch.operators.drift_text import add_terms
 from tallywatch.plans.registry import query, settled
 from tallywatch.sources.canonical import Tables
 
@@ -147,8 +145,7 @@ def _(t: Tables):
     FROM w""",
 )
 def _(t: Tables):
-    terms = with_bigrams(words_without_stops(F.col("text")))
-    found = t.raw("documents").select("doc_id", terms.alias("found"))
+    found = add_terms(t.raw("documents"), "text", output="found")
     return found.select(
         "doc_id", F.size("found").cast("bigint").alias("terms"), F.md5(F.array_join("found", "|")).alias("terms_hash")
     )

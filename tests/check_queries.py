@@ -18,7 +18,7 @@ from tallywatch import build_session  # noqa: E402
 def main() -> None:
     folder = f"/root/testdata/sf{sys.argv[1] if len(sys.argv) > 1 else '0.01'}"
     prefixes = tuple(sys.argv[2:]) or ("",)
-    spark = build_session("check", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
+    spark = build_session("check", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",spark__ui__showConsoleProgress="false",
                           spark__driver__memory="12g")
     spark.sparkContext.setLogLevel("ERROR")
     con, oracles, bad = connect(folder), entry.oracle_sql(), []
