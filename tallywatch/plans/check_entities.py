@@ -364,10 +364,7 @@ def _(t: Tables):
     return folds.fold_deployment_updates(t.deployment_changes)
 
 
-@query(
-    "W9_alert_lifecycle",
-    "monitoring_alerts alert_events",
-    """WITH e AS (SELECT *, row_number() OVER (PARTITION BY alert_id ORDER BY seq) AS rn FROM alert_events),
+LIFECYCLE = """WITH e AS (SELECT *, row_number() OVER (PARTITION BY alert_id ORDER BY seq) AS rn FROM alert_events),
       f AS (SELECT alert_id, bool_or(action = 'resolve') AS resolved, bool_or(rn = 1 AND action = 'acknowledge') AS acked,
         arg_max(happened_at, seq) FILTER (WHERE action = 'resolve') AS resolved_at,
         arg_max(actor, seq) FILTER (WHERE action = 'resolve') AS resolved_by,
@@ -378,8 +375,10 @@ def _(t: Tables):
         coalesce(a.status = 'ACTIVE' AND f.acked, false) AS ok FROM monitoring_alerts a LEFT JOIN f ON f.alert_id = a.id)
     SELECT alert_id, first_status, CASE WHEN resolved THEN 'RESOLVED' WHEN ok THEN 'ACKNOWLEDGED' ELSE first_status END
         AS status, CASE WHEN ok THEN first_at END AS acknowledged_at, resolved_at, resolved_by,
-      coalesce(notes, CASE WHEN ok THEN 'Acknowledged by: ' || first_actor END) AS resolution_notes FROM s""",
-)
+      coalesce(notes, CASE WHEN ok THEN 'Acknowledged by: ' || first_actor END) AS resolution_notes FROM s"""
+
+
+@query("W9_alert_lifecycle", "monitoring_alerts alert_events", LIFECYCLE)
 def _(t: Tables):
     return folds.alert_lifecycle(t.alerts, t.alert_events)
 

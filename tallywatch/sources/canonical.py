@@ -12,6 +12,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def logs_from_events(events: DataFrame) -> DataFrame:
+    """Prediction log columns of an event table or stream."""
+    k = "CAST(get_json_object(props, '$.k') AS INT)"
+    return events.selectExpr(
+        "event_id AS id",
+        "concat('dep-', CAST(user_id % 5 AS STRING)) AS deployment_id",
+        "concat('req-', CAST(event_id AS STRING)) AS request_id",
+        f"CASE WHEN {k} >= 50 THEN 1 ELSE 0 END AS predicted_label",
+        f"CASE WHEN {k} >= 50 THEN 'POSITIVE' ELSE 'NEGATIVE' END AS predicted_sentiment",
+        "round(CAST(100 AS DOUBLE) / (100 + value), 6) AS confidence_score",
+        "CASE WHEN event_type = 'error' THEN NULL ELSE value END AS prediction_time",
+        f"concat('v', CAST({k} % 3 AS STRING)) AS model_version",
+        "event_type AS endpoint",
+        "event_type = 'error' AS is_error",
+        "ts AS predicted_at",
+        "CASE event_type WHEN 'purchase' THEN true WHEN 'error' THEN false END AS is_correct",
+        "user_id AS client_id",
+        "props AS metadata",
+    )
+
+
+def alert_events_from_lines(lines: DataFrame) -> DataFrame:
+    """Acknowledge and resolve actions on alerts, one per order line of a table or stream."""
+    return lines.selectExpr(
+        "l_orderkey AS alert_id",
+        "l_partkey * 100000000 + l_suppkey * 10 + l_linenumber AS seq",
+        "CASE WHEN l_returnflag = 'R' THEN 'resolve' ELSE 'acknowledge' END AS action",
+        "concat('user-', CAST(l_suppkey AS STRING)) AS actor",
+        "CASE WHEN l_linestatus = 'F' THEN concat('note ', CAST(l_linenumber AS STRING)) END AS notes",
+        "l_shipdate AS happened_at",
+    )
+
+
 class Tables:
     """Lazy canonical tables over `folder`."""
 
@@ -23,26 +56,15 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def stream(self, name: str) -> DataFrame:
+        """One table as a file stream; its files are taken in as they arrive."""
+        reader = self.spark.readStream.schema(self.raw(name).schema).option("pathGlobFilter", f"{name}.parquet")
+        return reader.parquet(self.folder)
+
     @cached_property
     def logs(self) -> DataFrame:
         """One prediction per event, without its text."""
-        k = "CAST(get_json_object(props, '$.k') AS INT)"
-        return self.raw("events").selectExpr(
-            "event_id AS id",
-            "concat('dep-', CAST(user_id % 5 AS STRING)) AS deployment_id",
-            "concat('req-', CAST(event_id AS STRING)) AS request_id",
-            f"CASE WHEN {k} >= 50 THEN 1 ELSE 0 END AS predicted_label",
-            f"CASE WHEN {k} >= 50 THEN 'POSITIVE' ELSE 'NEGATIVE' END AS predicted_sentiment",
-            "round(CAST(100 AS DOUBLE) / (100 + value), 6) AS confidence_score",
-            "CASE WHEN event_type = 'error' THEN NULL ELSE value END AS prediction_time",
-            f"concat('v', CAST({k} % 3 AS STRING)) AS model_version",
-            "event_type AS endpoint",
-            "event_type = 'error' AS is_error",
-            "ts AS predicted_at",
-            "CASE event_type WHEN 'purchase' THEN true WHEN 'error' THEN false END AS is_correct",
-            "user_id AS client_id",
-            "props AS metadata",
-        )
+        return logs_from_events(self.raw("events"))
 
     def with_texts(self, logs: DataFrame) -> DataFrame:
         """Add the input text and its hash: the texts go round all documents, so texts and hashes repeat."""
@@ -72,15 +94,8 @@ class Tables:
 
     @cached_property
     def alert_events(self) -> DataFrame:
-        """Acknowledge and resolve actions on alerts, one per order line."""
-        return self.raw("lineitem").selectExpr(
-            "l_orderkey AS alert_id",
-            "l_partkey * 100000000 + l_suppkey * 10 + l_linenumber AS seq",
-            "CASE WHEN l_returnflag = 'R' THEN 'resolve' ELSE 'acknowledge' END AS action",
-            "concat('user-', CAST(l_suppkey AS STRING)) AS actor",
-            "CASE WHEN l_linestatus = 'F' THEN concat('note ', CAST(l_linenumber AS STRING)) END AS notes",
-            "l_shipdate AS happened_at",
-        )
+        """Actions on alerts."""
+        return alert_events_from_lines(self.raw("lineitem"))
 
     @cached_property
     def dataset_metrics(self) -> DataFrame:

@@ -131,20 +131,22 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None, exact: b
     if exact:
         pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in names])
         counts = df.select(F.inline(pairs)).groupBy("column", "value").agg(F.count("*").alias("n"))
-        return counts.groupBy("column").agg(
-            F.sum("n").alias("rows"),
-            F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
-            F.min("value").alias("min_value"),
-            F.max("value").alias("max_value"),
-            F.count("value").alias("n_distinct"),
+        distinct = counts.groupBy("column").agg(F.count("value").alias("n_distinct"))
+        return _column_bounds(df, names).drop("n_distinct").join(distinct, "column", "left").withColumn(
+            "n_distinct", F.coalesce("n_distinct", F.lit(0))
         )
+    return _column_bounds(df, names)
+
+
+def _column_bounds(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Everything about the columns that one pass can tell, distinct values from a sketch."""
     measured = df.agg(
         *[
             F.struct(
                 F.count("*").alias("rows"),
                 F.count_if(F.col(c).isNull()).alias("nulls"),
-                F.min(F.col(c).cast("string")).alias("min_value"),
-                F.max(F.col(c).cast("string")).alias("max_value"),
+                F.min(c).cast("string").alias("min_value"),
+                F.max(c).cast("string").alias("max_value"),
                 F.approx_count_distinct(c).alias("n_distinct"),
             ).alias(c)
             for c in names
@@ -152,3 +154,10 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None, exact: b
     )
     rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("p")) for c in names])
     return measured.select(F.inline(rows)).select("column", "p.*")
+
+
+def order_correlation(df: DataFrame, order: str, columns: Sequence[str]) -> DataFrame:
+    """Correlation of numeric columns with an ordering column: near 1 or -1 where the table is stored in their order."""
+    measured = df.agg(*[F.corr(c, order).alias(c) for c in columns])
+    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("correlation")) for c in columns])
+    return measured.select(F.inline(rows))
