@@ -67,15 +67,16 @@ def previous_row(
     return joined.withColumns({new: before[source] for new, source in fields.items()}).select(*df.columns, *fields)
 
 
-def value_bounds(df: DataFrame, column: str, pieces: int) -> list[float]:
-    """At most `pieces - 1` increasing cut points of a numeric column, from Spark's approximate quantiles.
+def value_bounds(df: DataFrame, columns: Sequence[str], pieces: int) -> dict[str, list[float]]:
+    """At most `pieces - 1` increasing cut points per numeric column, from one pass of Spark's approximate quantiles.
 
     The cut points only decide which task sorts which values, so their error never reaches a result.
     """
     if pieces < 2:
-        return []
-    cuts = df.approxQuantile(column, [i / pieces for i in range(1, pieces)], 1 / (4 * pieces))
-    return sorted(set(cuts))
+        return {c: [] for c in columns}
+    shares = [i / pieces for i in range(1, pieces)]
+    found = df.approxQuantile(list(columns), shares, 1 / (4 * pieces))
+    return {c: sorted(set(cuts)) for c, cuts in zip(columns, found)}
 
 
 def bucket_of(value: Column, bounds: Sequence[float]) -> Column:

@@ -36,3 +36,19 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         shared = tempfile.mkdtemp(prefix="tallywatch-")
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def spread(table: DataFrame) -> DataFrame:
+    """Give every core some rows of a scanned table whose files make fewer splits than there are cores.
+
+    Large tables have far more splits than cores and are returned as they are; only small ones are shuffled.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a costly result that is read several times to the shared scratch folder and read it back."""
+    path = scratch_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

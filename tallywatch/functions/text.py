@@ -42,8 +42,11 @@ def input_hash(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    """Number of whitespace-separated words; 0 for an empty text."""
-    return F.regexp_count(text, F.lit(WORD_PATTERN)).cast("bigint")
+    """Number of whitespace-separated words; 0 for an empty or missing text.
+
+    Never NULL by type: a join or grouping on it gets no IS NOT NULL filter, which would count the words twice.
+    """
+    return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)).cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def strip(text: Column) -> Column:

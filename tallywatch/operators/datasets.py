@@ -157,7 +157,11 @@ def shuffled_sample(df: DataFrame, id_column: str, n: int, seed: int = 42) -> Da
 
 
 def reference_sample(texts: DataFrame, id_column: str = "doc_id", n: int = 1000) -> DataFrame:
-    """The first `n` texts by id of the validation split, or of train when there is no validation split."""
+    """The first `n` texts by id of the validation split, or of train when there is no validation split.
+
+    A limit leaves one partition; its bounded number of rows is spread again for the work that follows.
+    """
     has_validation = not texts.filter(F.col("split") == "validation").limit(1).isEmpty()
     chosen = texts.filter(F.col("split") == ("validation" if has_validation else "train"))
-    return chosen.orderBy(id_column).limit(n)
+    cores = texts.sparkSession.sparkContext.defaultParallelism
+    return chosen.orderBy(id_column).limit(n).repartition(max(1, min(cores, n // 50)))

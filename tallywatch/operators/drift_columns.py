@@ -94,8 +94,8 @@ def numeric_drift(
         for df in (reference, current)
     ]
     bucket = F.lit(0)
-    for name in columns:
-        bounds = value_bounds(reference.select(F.col(name).cast("double").alias(name)), name, pieces)
+    doubles = reference.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    for name, bounds in value_bounds(doubles, columns, pieces).items():
         bucket = F.when(F.col("column") == name, bucket_of(F.col("value"), bounds)).otherwise(bucket)
     found = ks_two_sample(sides[0], sides[1], [], ["column"], bucket)
     return found.select(

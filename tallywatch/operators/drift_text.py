@@ -9,7 +9,7 @@ from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normali
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywatch.functions.text import ENGLISH_STOP_WORDS, with_bigrams, word_count, words_without_stops
@@ -30,22 +30,27 @@ def fit_terms(
     """The most frequent terms of the texts with corpus count, document frequency and smoothed idf.
 
     The terms of a text are sorted in place, so its first occurrences mark document frequency and one aggregation with
-    partial sums counts both; no (text, term) pairs are shuffled. Equal counts are cut alphabetically.
+    partial sums counts both; no (text, term) pairs are shuffled. Every text adds one NULL term, whose count is the
+    number of texts, so the texts are read once. Equal counts are cut alphabetically.
     """
-    ordered = add_terms(texts.select(column), column, stop_words).select(F.sort_array("terms").alias("_terms"))
-    marked = F.transform(
-        "_terms",
-        lambda term, i: F.struct(
-            term.alias("term"), F.coalesce(term != F.get(F.col("_terms"), i - 1), F.lit(True)).alias("first")
-        ),
+    nothing = F.array(F.lit(None).cast("string"))
+    ordered = add_terms(texts.select(column), column, stop_words).select(
+        F.concat(nothing, F.sort_array("terms")).alias("term")
     )
-    counted = ordered.select(F.inline(marked)).groupBy("term").agg(
-        F.count("*").alias("corpus_count"), F.count_if("first").alias("document_count")
+    shifted = ordered.withColumn("before", F.concat(nothing, F.slice("term", 1, F.size("term") - 1)))
+    counted = (
+        shifted.select(F.inline(F.arrays_zip("term", "before")))
+        .groupBy("term")
+        .agg(
+            F.count("*").alias("corpus_count"),
+            F.count_if(~F.col("term").eqNullSafe(F.col("before"))).alias("document_count"),
+        )
     )
-    top = counted.orderBy(F.col("corpus_count").desc(), "term").limit(max_features)
-    n_texts = texts.select(F.count("*")).scalar()
+    order = [F.col("term").isNull().desc(), F.col("corpus_count").desc(), F.col("term")]
+    top = counted.orderBy(*order).limit(max_features + 1)
+    n_texts = F.max(F.when(F.col("term").isNull(), F.col("corpus_count"))).over(Window.partitionBy())
     idf = F.log((1.0 + n_texts) / (1.0 + F.col("document_count"))) + 1.0
-    return top.withColumn("idf", idf)
+    return top.withColumn("idf", idf).filter(F.col("term").isNotNull())
 
 
 @dataclass(frozen=True)

@@ -8,15 +8,16 @@ import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import IDF, CountVectorizer
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywatch.functions.numeric import argmax, softmax
 from tallywatch.operators.datasets import shuffled_sample
-from tallywatch.operators.drift_text import add_terms
+from tallywatch.operators.drift_text import TermWeights, add_terms
 
 
 def sentiment(label: Column) -> Column:
@@ -56,9 +57,10 @@ def weighted_metrics(
 ) -> DataFrame:
     """Accuracy and support-weighted precision, recall and F1 per key; undefined ratios count as 0.
 
-    All sums come from the confusion counts, so only the first aggregation sees rows.
+    All sums come from the confusion counts, so only the first aggregation sees rows. Unlabelled rows are left out, a
+    missing prediction counts as wrong; predictions are not filtered on, which would compute them twice.
     """
-    scored = df.filter(F.col(label).isNotNull() & F.col(predicted).isNotNull())
+    scored = df.filter(F.col(label).isNotNull())
     counts = scored.groupBy(*keys, F.col(label).alias("_l"), F.col(predicted).alias("_p")).agg(F.count("*").alias("n"))
     hit = F.when(F.col("_l") == F.col("_p"), F.col("n")).otherwise(0)
     sides = counts.select(
@@ -100,47 +102,55 @@ def text_features(df: DataFrame, column: str = "text") -> DataFrame:
     return add_terms(df, column)
 
 
-def _classifier(vocabulary_size: int, max_iter: int, reg_param: float) -> Pipeline:
-    return Pipeline(
-        stages=[
-            CountVectorizer(inputCol="terms", outputCol="counts", vocabSize=vocabulary_size),
-            IDF(inputCol="counts", outputCol="features"),
-            LogisticRegression(labelCol="label", featuresCol="features", maxIter=max_iter, regParam=reg_param),
-        ]
-    )
+def _stages(weights: TermWeights, max_iter: int, reg_param: float) -> list:
+    return [
+        CountVectorizerModel.from_vocabulary(list(weights.terms), "terms", "counts"),
+        ElementwiseProduct(scalingVec=Vectors.dense(weights.idf), inputCol="counts", outputCol="features"),
+        LogisticRegression(labelCol="label", featuresCol="features", maxIter=max_iter, regParam=reg_param),
+    ]
 
 
 def train_classifier(
     texts: DataFrame, max_samples: int | None = None, id_column: str = "doc_id", vocabulary_size: int = 1000,
     max_iter: int = 20, reg_param: float = 0.01, seed: int = 42,
 ) -> PipelineModel:
-    """Two-class text classifier on the labelled texts; `max_samples` makes a quick run on a repeatable sample."""
+    """Two-class text classifier on the labelled texts; `max_samples` makes a quick run on a repeatable sample.
+
+    The terms are counted with DataFrame aggregations; only the regression then iterates, over its own cached blocks.
+    """
     labelled = texts.filter(F.col("label").isNotNull())
     if max_samples is not None:
         if not 100 <= max_samples <= 10_000:
             raise ValueError("a quick run takes 100 to 10000 samples")
         labelled = shuffled_sample(labelled, id_column, max_samples, seed)
-    return _classifier(vocabulary_size, max_iter, reg_param).fit(text_features(labelled))
+    weights = TermWeights.fit(labelled, max_features=vocabulary_size)
+    return Pipeline(stages=_stages(weights, max_iter, reg_param)).fit(text_features(labelled))
 
 
 def search_classifier(
     texts: DataFrame, reg_params: Sequence[float] = (0.001, 0.01, 0.1), vocabulary_size: int = 1000, max_iter: int = 20,
     parallelism: int = 2, seed: int = 42,
 ) -> tuple[PipelineModel, list[tuple[float, float]]]:
-    """Best classifier by weighted F1 over the regularisation strengths, with the F1 of each."""
-    pipeline = _classifier(vocabulary_size, max_iter, reg_params[0])
-    regression = pipeline.getStages()[-1]
-    grid = ParamGridBuilder().addGrid(regression.regParam, list(reg_params)).build()
+    """Best classifier by weighted F1 over the regularisation strengths, with the F1 of each.
+
+    The term vectors do not depend on the strength, so they are made once and only the regression is searched.
+    """
+    labelled = texts.filter(F.col("label").isNotNull())
+    *features, regression = _stages(TermWeights.fit(labelled, max_features=vocabulary_size), max_iter, reg_params[0])
     search = TrainValidationSplit(
-        estimator=pipeline,
-        estimatorParamMaps=grid,
+        estimator=regression,
+        estimatorParamMaps=ParamGridBuilder().addGrid(regression.regParam, list(reg_params)).build(),
         evaluator=MulticlassClassificationEvaluator(metricName="f1"),
         trainRatio=0.8,
         parallelism=parallelism,
         seed=seed,
     )
-    fitted = search.fit(text_features(texts.filter(F.col("label").isNotNull())))
-    return fitted.bestModel, list(zip(reg_params, fitted.validationMetrics))
+    vectors = PipelineModel(features).transform(text_features(labelled)).select("label", "features").persist()
+    try:
+        fitted = search.fit(vectors)
+    finally:
+        vectors.unpersist()
+    return PipelineModel([*features, fitted.bestModel]), list(zip(reg_params, fitted.validationMetrics))
 
 
 def score_texts(model: PipelineModel, texts: DataFrame) -> DataFrame:

@@ -71,7 +71,7 @@ def exact_window_quantiles(
         .groupBy("window_start", *labels, "_value")
         .agg(F.count("*").alias("_n"))
     )
-    bounds = value_bounds(df.select(value.alias("_value")), "_value", pieces)
+    bounds = value_bounds(df.select(value.alias("_value")), ["_value"], pieces)["_value"]
     return exact_quantiles(counts, ["window_start", *labels], "_value", "_n", quantiles, bucket_of(F.col("_value"), bounds))
 
 

@@ -16,7 +16,9 @@ def build_vocabulary(texts: DataFrame, size: int = VOCABULARY_SIZE, column: str
 
     The limit keeps a heap per task and proves the size of everything broadcast from here.
     """
-    counted = texts.select(F.explode(tokens(F.col(column))).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    # the outer form keeps Catalyst from adding a size filter that would extract the tokens twice
+    each = texts.select(F.explode_outer(tokens(F.col(column))).alias("token")).filter(F.col("token").isNotNull())
+    counted = each.groupBy("token").agg(F.count("*").alias("n"))
     top = counted.orderBy(F.col("n").desc(), "token").limit(size)
     rank = F.row_number().over(Window.orderBy(F.col("n").desc(), "token"))
     return top.select("token", (rank + (FIRST_ID - 1)).cast("int").alias("token_id"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallywatch.functions.numeric import settle
+from tallywatch.functions.sizes import stored
 from tallywatch.operators import drift_columns, drift_stats, drift_text, filters, texts
 from tallywatch.operators.alerts import drift_alerts
 from tallywatch.operators.datasets import reference_sample
@@ -427,6 +428,6 @@ DESCRIPTOR_COLUMNS = ("text_length", "word_count", "non_letter_share", "oov_shar
 )
 def _(t: Tables):
     vocabulary = texts.build_vocabulary(_train(t), VOCABULARY_SIZE)
-    described = texts.describe(t.labelled_texts, vocabulary)
+    described = stored(texts.describe(t.labelled_texts, vocabulary), "descriptors")
     sides = [described.filter(F.col("split") == s) for s in ("train", "test")]
     return _settle(drift_columns.numeric_drift(*sides, list(DESCRIPTOR_COLUMNS)), "score", "ks_statistic")

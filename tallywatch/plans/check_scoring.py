@@ -84,7 +84,7 @@ def _(t: Tables):
 
         return predict
 
-    scored = scoring.score_with(t.raw("documents").select("doc_id", "text"), load)
+    scored = scoring.score_with(t.documents.select("doc_id", "text"), load)
     return scored.select("doc_id", "predicted_label", "predicted_sentiment", "confidence_score", "probabilities")
 
 
@@ -120,7 +120,7 @@ def _(t: Tables):
             ["doc_id", "characters", "origin"]
         ]
 
-    return batches.map_batches(t.raw("documents"), measure, "doc_id long, characters long, origin string", ["n_chars"])
+    return batches.map_batches(t.documents, measure, "doc_id long, characters long, origin string", ["n_chars"])
 
 
 @query(

@@ -46,7 +46,7 @@ def _train_vocabulary(t: Tables):
 
 @query("P5_word_count", "", f"SELECT doc_id, {WORDS} AS word_count FROM documents")
 def _(t: Tables):
-    return t.raw("documents").select("doc_id", word_count(F.col("text")).alias("word_count"))
+    return t.documents.select("doc_id", word_count(F.col("text")).alias("word_count"))
 
 
 @query(
@@ -57,7 +57,7 @@ def _(t: Tables):
     SELECT doc_id, reason, CASE WHEN reason IS NULL THEN sha256({STRIPPED}) END AS clean_hash FROM r""",
 )
 def _(t: Tables):
-    checked = validation.validate_texts(t.raw("documents"))
+    checked = validation.validate_texts(t.documents)
     return checked.select("doc_id", "reason", F.sha2("clean_text", 256).alias("clean_hash"))
 
 
@@ -145,7 +145,7 @@ def _(t: Tables):
     FROM w""",
 )
 def _(t: Tables):
-    found = add_terms(t.raw("documents"), "text", output="found")
+    found = add_terms(t.documents, "text", output="found")
     return found.select(
         "doc_id", F.size("found").cast("bigint").alias("terms"), F.md5(F.array_join("found", "|")).alias("terms_hash")
     )
@@ -313,7 +313,7 @@ def _(t: Tables):
     "SELECT sha256(text) AS input_hash, min(doc_id) AS kept_id, count(*) AS occurrences FROM documents GROUP BY 1",
 )
 def _(t: Tables):
-    hashed = t.raw("documents").select(F.sha2("text", 256).alias("input_hash"), "doc_id")
+    hashed = t.documents.select(F.sha2("text", 256).alias("input_hash"), "doc_id")
     return requests.duplicates(hashed, id_column="doc_id")
 
 
@@ -324,7 +324,7 @@ def _(t: Tables):
       ORDER BY doc_id) AS rn FROM documents) WHERE rn = 1""",
 )
 def _(t: Tables):
-    hashed = t.raw("documents").select("doc_id", F.sha2("text", 256).alias("input_hash"), "lang", "source")
+    hashed = t.documents.select("doc_id", F.sha2("text", 256).alias("input_hash"), "lang", "source")
     return requests.first_of_each(hashed, id_column="doc_id")
 
 

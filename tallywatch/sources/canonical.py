@@ -11,6 +11,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallywatch.functions.sizes import spread
+
 
 def logs_from_events(events: DataFrame) -> DataFrame:
     """Prediction log columns of an event table or stream."""
@@ -56,6 +58,11 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    @cached_property
+    def documents(self) -> DataFrame:
+        """The texts, spread over the cores: work per text is heavy."""
+        return spread(self.raw("documents"))
+
     def stream(self, name: str) -> DataFrame:
         """One table as a file stream; its files are taken in as they arrive."""
         reader = self.spark.readStream.schema(self.raw(name).schema).option("pathGlobFilter", f"{name}.parquet")
@@ -68,7 +75,7 @@ class Tables:
 
     def with_texts(self, logs: DataFrame) -> DataFrame:
         """Add the input text and its hash: the texts go round all documents, so texts and hashes repeat."""
-        documents = self.raw("documents").select("doc_id", F.col("text").alias("input_text"))
+        documents = self.documents.select("doc_id", F.col("text").alias("input_text"))
         n_documents = self.raw("documents").select(F.count("*")).scalar()
         keyed = logs.withColumn("doc_id", F.col("id") % n_documents)
         hashed = documents.withColumn("input_hash", F.sha2("input_text", 256))
@@ -208,7 +215,7 @@ class Tables:
     @cached_property
     def labelled_texts(self) -> DataFrame:
         """Documents with optional labels, a weak classifier's output and a fixed split."""
-        documents, labels = self.raw("documents"), self.raw("labels").withColumnRenamed("doc_id", "labelled_id")
+        documents, labels = self.documents, self.raw("labels").withColumnRenamed("doc_id", "labelled_id")
         return documents.join(labels, documents.doc_id == labels.labelled_id, "left").selectExpr(
             "doc_id",
             "text",
@@ -222,7 +229,7 @@ class Tables:
     @cached_property
     def text_batches(self) -> DataFrame:
         """Batch requests: the lines of one document, with the time the whole batch took."""
-        return self.raw("documents").selectExpr(
+        return self.documents.selectExpr(
             "concat('batch-', CAST(doc_id AS STRING)) AS request_id",
             r"split(text, '\n') AS texts",
             "CAST(n_chars AS DOUBLE) AS total_time_ms",
