@@ -119,6 +119,11 @@ def day_index(daily: DataFrame, keys: Sequence[str], date: str = "prediction_dat
     return daily.withColumn("day_index", (F.row_number().over(order) - 1).cast("double"))
 
 
+def correlation(y: str, x: str) -> Column:
+    """Correlation over the pairs without NULL; NULL for a constant series, on which `corr` fails in ANSI mode."""
+    return F.try_divide(F.regr_sxy(y, x), F.sqrt(F.regr_sxx(y, x)) * F.sqrt(F.regr_syy(y, x)))
+
+
 def linear_trend(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
     """Least-squares slope, intercept, correlation and two-sided p-value per key.
 
@@ -129,10 +134,10 @@ def linear_trend(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFram
         F.regr_slope(y, x).alias("_slope"),
         F.avg(y).alias("_mean"),
         F.regr_intercept(y, x).alias("_intercept"),
-        F.corr(y, x).alias("_r"),
+        correlation(y, x).alias("_r"),
     )
-    flat = F.col("_r").isNull() | F.isnan("_r")
-    r = F.when(flat, 0.0).otherwise(F.col("_r"))
+    flat = F.col("_r").isNull()
+    r = F.when(flat, 0.0).otherwise(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("_r"))))
     return fitted.select(
         *keys,
         "points",

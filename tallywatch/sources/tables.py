@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallywatch.operators.drift_stats import correlation
 from tallywatch.schemas import DEFAULTS, NOW, REQUIRED, table_schema
 
 
@@ -158,6 +159,6 @@ def _column_bounds(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 def order_correlation(df: DataFrame, order: str, columns: Sequence[str]) -> DataFrame:
     """Correlation of numeric columns with an ordering column: near 1 or -1 where the table is stored in their order."""
-    measured = df.agg(*[F.corr(c, order).alias(c) for c in columns])
+    measured = df.agg(*[correlation(c, order).alias(c) for c in columns])
     rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("correlation")) for c in columns])
     return measured.select(F.inline(rows))
