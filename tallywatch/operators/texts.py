@@ -5,17 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallywatch.functions.sizes import join_small
 from tallywatch.functions.text import attention_mask, non_letter_share, pad_ids, tokens, word_count
 
 PAD_ID, UNKNOWN_ID, FIRST_ID = 0, 1, 2
 VOCABULARY_SIZE = 30_000
+# a vocabulary up to this size is broadcast; a larger one is joined by a shuffle, whose hot tokens AQE splits
+BROADCAST_TOKENS = 200_000
 
 
 def build_vocabulary(texts: DataFrame, size: int = VOCABULARY_SIZE, column: str = "text") -> DataFrame:
-    """The `size` most frequent tokens (alphabetical on ties) with ids from 2 in that order.
-
-    The limit keeps a heap per task and proves the size of everything broadcast from here.
-    """
+    """The `size` most frequent tokens (alphabetical on ties) with ids from 2 in that order."""
     # the outer form keeps Catalyst from adding a size filter that would extract the tokens twice
     each = texts.select(F.explode_outer(tokens(F.col(column))).alias("token")).filter(F.col("token").isNotNull())
     counted = each.groupBy("token").agg(F.count("*").alias("n"))
@@ -36,7 +36,7 @@ def encode(
     kept = [c for c in keep if c in texts.columns]
     cut = texts.select(id_column, *kept, F.slice(tokens(F.col(column)), 1, max_length).alias("_tokens"))
     each = cut.select(id_column, *kept, F.posexplode_outer("_tokens").alias("_at", "token"))
-    known = each.join(F.broadcast(vocabulary), "token", "left")
+    known = join_small(each, vocabulary, ["token"], max_rows=BROADCAST_TOKENS)
     code = F.when(F.col("token").isNotNull(), F.coalesce("token_id", F.lit(UNKNOWN_ID)))
     gathered = known.groupBy(id_column, *kept).agg(
         F.collect_list(F.when(code.isNotNull(), F.struct(F.col("_at"), code.alias("id")))).alias("_coded")
@@ -67,7 +67,7 @@ def describe(texts: DataFrame, vocabulary: DataFrame | None = None, id_column: s
         return described
     others = [c for c in described.columns if c != "_tokens"]
     each = described.select(*others, F.explode_outer("_tokens").alias("token"))
-    known = each.join(F.broadcast(vocabulary.select("token", F.lit(1).alias("_known"))), "token", "left")
+    known = join_small(each, vocabulary.select("token", F.lit(1).alias("_known")), ["token"], max_rows=BROADCAST_TOKENS)
     return known.groupBy(*others).agg(
         F.coalesce(
             1 - F.try_divide(F.count("_known").cast("double"), F.count("token").cast("double")), F.lit(0.0)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywatch.functions.numeric import share, truthy
@@ -135,8 +135,8 @@ def counter(df: DataFrame, labels: Sequence[str]) -> DataFrame:
 def sentiment_share(logs: DataFrame) -> DataFrame:
     """Share of each sentiment among all predictions."""
     counts = logs.groupBy("predicted_sentiment").agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n")).scalar()
-    return counts.withColumn("share", share(F.col("n"), total))
+    # the window sees one row per sentiment
+    return counts.withColumn("share", share(F.col("n"), F.sum("n").over(Window.partitionBy())))
 
 
 def label_entropy(logs: DataFrame, keys: Sequence[str] = ("deployment_id",)) -> DataFrame:

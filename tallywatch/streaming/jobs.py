@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallywatch.functions.sizes import join_small
 from tallywatch.functions.text import input_hash
 from tallywatch.operators.alerts import drift_alerts, routed
 from tallywatch.operators.drift_text import TextReference
@@ -74,10 +73,13 @@ def drop_repeats(stream: DataFrame, key: str = "request_id", delay: str = "1 hou
 
 
 def low_confidence_alerts(stream: DataFrame, deployments: DataFrame, threshold: float = ANOMALY_CONFIDENCE) -> DataFrame:
-    """An alert for every low-confidence prediction of an active deployment."""
+    """An alert for every low-confidence prediction of an active deployment.
+
+    A stream-static join: the deployments are read again for every batch, so a change of status takes effect.
+    """
     active = deployments.filter(F.col("status") == "ACTIVE").select(F.col("id").alias("deployment_id"), "deployment_name")
     low = stream.filter(F.col("confidence_score") < threshold)
-    return join_small(low, active, ["deployment_id"], "inner").select(
+    return low.join(active, "deployment_id").select(
         F.concat(F.lit("low-confidence-"), F.col("id").cast("string")).alias("id"),
         F.lit("PERFORMANCE").alias("alert_type"),
         F.lit("MEDIUM").alias("severity"),
@@ -101,17 +103,27 @@ def watch_drift(
     """
 
     def check(batch: DataFrame, batch_id: int) -> None:
-        moment = as_of or batch.agg(F.max("predicted_at")).first()[0]
-        if moment is None:
-            return
-        for name, build in drift_checks(reference, batch, str(moment), with_texts, hours, days).items():
+        rows = batch.persist()  # read by every check; a lost block is read again from the source
+        try:
+            moment = as_of or rows.agg(F.max("predicted_at")).first()[0]
+            if moment is not None:
+                run(rows, batch_id, str(moment))
+        finally:
+            rows.unpersist()
+
+    def run(rows: DataFrame, batch_id: int, moment: str) -> None:
+        spark = rows.sparkSession
+        written = 0
+        for name, build in drift_checks(reference, rows, moment, with_texts, hours, days).items():
             try:
                 build().write.mode("overwrite").parquet(f"{path}/results/batch={batch_id}/check={name}")
+                written += 1
             except Exception as error:  # the other checks go on; the failure is kept beside the results
-                failed = batch.sparkSession.createDataFrame([(name, str(error)[:2000])], "check STRING, error STRING")
+                failed = spark.createDataFrame([(name, str(error)[:2000])], "check STRING, error STRING")
                 failed.write.mode("overwrite").json(f"{path}/failures/batch={batch_id}/check={name}")
-        results = batch.sparkSession.read.parquet(f"{path}/results/batch={batch_id}")
-        drift_alerts(results).write.mode("overwrite").parquet(f"{path}/alerts/batch={batch_id}")
+        if written:
+            results = spark.read.parquet(f"{path}/results/batch={batch_id}")
+            drift_alerts(results).write.mode("overwrite").parquet(f"{path}/alerts/batch={batch_id}")
 
     return start_batches(stream, check, checkpoint)
 
@@ -139,12 +151,9 @@ def followed_alerts(spark: SparkSession, path: str, alerts: DataFrame) -> DataFr
 
 
 def route_alerts(alerts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Active alerts to two tables: `notify` for HIGH and CRITICAL, `log` for the others."""
+    """Active alerts to two partitions of one table: `route=notify` for HIGH and CRITICAL, `route=log` for the others."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        marked = routed(batch)
-        for route in ("notify", "log"):
-            part = marked.filter(F.col("route") == route).drop("route")
-            part.write.mode("overwrite").parquet(f"{path}/{route}/batch={batch_id}")
+        routed(batch).write.mode("overwrite").partitionBy("route").parquet(f"{path}/batch={batch_id}")
 
     return start_batches(alerts, write, checkpoint)
