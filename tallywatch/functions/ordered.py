@@ -9,16 +9,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 
-def _same(keys: Sequence[str], prefix: str) -> Column:
-    """Null-safe equality of each key with its prefixed copy on the other side."""
-    on = F.lit(True)
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col(f"{prefix}{k}"))
-    return on
+def _with_slot(df: DataFrame, keys: Sequence[str], bucket: Column) -> DataFrame:
+    """Add `_slot`, the keys and the bucket as one struct.
+
+    A struct is never NULL and equal when its fields are equal or both NULL, so a plain join on it keeps NULL keys and
+    still finds the rows where the window has put them: a null-safe join would shuffle and sort them again.
+    """
+    return df.withColumn("_slot", F.struct(*keys, bucket.alias("_bucket")))
+
+
+def _slot_window(keys: Sequence[str]) -> WindowSpec:
+    """All slots of a key, over a summary with one row per slot."""
+    return Window.partitionBy(*[F.col(f"_slot.{k}") for k in keys])
 
 
 def running_totals(
@@ -33,36 +39,32 @@ def running_totals(
 
     `with_totals` adds `<measure>_total`, the total of the whole key.
     """
-    split = df.withColumn("_bucket", bucket)
-    totals = split.groupBy(*keys, "_bucket").agg(*[F.sum(m).alias(f"_sum_{m}") for m in measures])
-    whole = Window.partitionBy(*keys)
-    earlier = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    split = _with_slot(df, keys, bucket)
+    totals = split.groupBy("_slot").agg(*[F.sum(m).alias(f"_sum_{m}") for m in measures])
+    whole = _slot_window(keys)
+    earlier = whole.orderBy("_slot._bucket").rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(
-        *[F.col(k).alias(f"_c_{k}") for k in [*keys, "_bucket"]],
+        "_slot",
         *[F.coalesce(F.sum(f"_sum_{m}").over(earlier), F.lit(0)).alias(f"_carry_{m}") for m in measures],
         *[F.sum(f"_sum_{m}").over(whole).alias(f"{m}_total") for m in measures],
     )
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("_slot").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = split.withColumns({m: F.sum(m).over(inside) for m in measures})
-    joined = local.join(carry, _same([*keys, "_bucket"], "_c_"))
     extra = [f"{m}_total" for m in measures] if with_totals else []
-    return joined.withColumns({m: F.col(m) + F.col(f"_carry_{m}") for m in measures}).select(*df.columns, *extra)
+    joined = local.join(carry, "_slot").withColumns({m: F.col(m) + F.col(f"_carry_{m}") for m in measures})
+    return joined.select(*df.columns, *extra)
 
 
 def previous_row(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], fields: dict[str, str], bucket: Column
 ) -> DataFrame:
     """Add, for each `new: source` pair, the source value of the row before this one along `order` inside the keys."""
-    split = df.withColumns({"_bucket": bucket, "_row": F.struct(*fields.values())})
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(*order)
+    split = _with_slot(df, keys, bucket).withColumn("_row", F.struct(*fields.values()))
+    inside = Window.partitionBy("_slot").orderBy(*order)
     local = split.withColumn("_before", F.lag("_row").over(inside))
-    last = split.groupBy(*keys, "_bucket").agg(F.max_by("_row", F.struct(*order)).alias("_last"))
-    carried = last.select(
-        *[F.col(k).alias(f"_c_{k}") for k in keys],
-        F.col("_bucket").alias("_c__bucket"),
-        F.lag("_last").over(Window.partitionBy(*keys).orderBy("_bucket")).alias("_carry"),
-    )
-    joined = local.join(carried, _same([*keys, "_bucket"], "_c_"))
+    last = split.groupBy("_slot").agg(F.max_by("_row", F.struct(*order)).alias("_last"))
+    earlier = F.lag("_last").over(_slot_window(keys).orderBy("_slot._bucket"))
+    joined = local.join(last.select("_slot", earlier.alias("_carry")), "_slot")
     before = F.coalesce(F.col("_before"), F.col("_carry"))
     return joined.withColumns({new: before[source] for new, source in fields.items()}).select(*df.columns, *fields)
 

@@ -21,6 +21,11 @@ def from_micros(value: Column) -> Column:
     return F.timestamp_micros(value).cast("timestamp_ntz")
 
 
+def window_start(at: Column, width: int) -> Column:
+    """Start of the window of `width` microseconds that holds a moment, in whole-number arithmetic."""
+    return at - F.pmod(at, F.lit(width).cast("bigint"))
+
+
 def duplicates(df: DataFrame, hash_column: str = "input_hash", id_column: str = "id") -> DataFrame:
     """Per input hash: the row to keep (lowest id) and how often the input occurs."""
     return df.groupBy(hash_column).agg(F.min(id_column).alias("kept_id"), F.count("*").alias("occurrences"))
@@ -38,7 +43,7 @@ def repeats_within(
 ) -> DataFrame:
     """Each row with the time since the same input was last seen, and whether a cache of that age would have hit."""
     rows = logs.select(key, id_column, ts, micros(F.col(ts)).alias("_at"))
-    bucket = F.floor(F.col("_at") / F.lit(seconds * MICROS))
+    bucket = window_start(F.col("_at"), seconds * MICROS)
     seen = previous_row(rows, [key], ["_at", id_column], {"_before": "_at"}, bucket)
     gap = (F.col("_at") - F.col("_before")) / F.lit(float(MICROS))
     return seen.select(
@@ -68,7 +73,7 @@ def sliding_counts(
             )
         ),
     )
-    bucket = F.floor(F.col("at") / F.lit(bucket_seconds * MICROS))
+    bucket = window_start(F.col("at"), bucket_seconds * MICROS)
     running = running_totals(steps, keys, [F.col("at"), F.col("step")], ["n"], bucket)
     return running.filter(F.col("step") == 0).select(*keys, from_micros(F.col("at")).alias(ts), F.col("n").alias("n"))
 
@@ -93,7 +98,7 @@ def concurrency(
         ),
     )
     net = steps.groupBy(*keys, "at").agg(F.sum("active").alias("active"))
-    bucket = F.floor(F.col("at") / F.lit(bucket_seconds * MICROS))
+    bucket = window_start(F.col("at"), bucket_seconds * MICROS)
     return running_totals(net, keys, [F.col("at")], ["active"], bucket)
 
 
@@ -101,9 +106,8 @@ def peak_concurrency(
     df: DataFrame, start: str, duration_micros: Column, keys: Sequence[str] = (), window_seconds: int = 300
 ) -> DataFrame:
     """Greatest number of requests in flight per window that saw one start or end."""
-    width = F.lit(window_seconds * MICROS)
     moments = concurrency(df, start, duration_micros, keys, window_seconds)
-    grouped = moments.groupBy(*keys, (F.floor(F.col("at") / width) * width).alias("_start"))
+    grouped = moments.groupBy(*keys, window_start(F.col("at"), window_seconds * MICROS).alias("_start"))
     return grouped.agg(F.max("active").alias("peak_active")).select(
         *keys, from_micros(F.col("_start")).alias("window_start"), "peak_active"
     )
