@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import vector_to_array
@@ -12,6 +13,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallywatch.functions.sizes import stored
 from tallywatch.functions.text import ENGLISH_STOP_WORDS, with_bigrams, word_count, words_without_stops
 from tallywatch.operators.drift_stats import ks_two_sample, value_counts
 
@@ -120,21 +122,27 @@ def as_array(values: Sequence[float]) -> Column:
 class TextReference:
     """What is kept of the reference texts: fitted terms, their centroid, and the counts of text lengths.
 
-    Terms and centroid have at most `max_features` numbers each and are fetched once, so a stream can compare every
-    batch with them without reading the reference again. The length counts stay a table; `persist` it for reuse.
+    Terms and centroid have at most `max_features` numbers each and are fetched once; the length counts, one row per
+    distinct length, are written to the scratch folder when first used. A stream compares every batch with them without
+    reading the reference again.
     """
 
     weights: TermWeights
     centroid: tuple[float, ...]
-    lengths: DataFrame
+    texts: DataFrame
+    column: str = "text"
+
+    @cached_property
+    def lengths(self) -> DataFrame:
+        words = self.texts.select(word_count(F.col(self.column)).alias("words"))
+        return stored(value_counts(words, [], F.col("words")), "reference-lengths")
 
     @classmethod
     def fit(cls, texts: DataFrame, column: str = "text", max_features: int = MAX_FEATURES,
             stop_words: Sequence[str] = ENGLISH_STOP_WORDS) -> TextReference:
         weights = TermWeights.fit(texts, column, max_features, stop_words)
         centroid = weights.centroids(texts, column=column).first()["centroid"]
-        lengths = value_counts(texts.select(word_count(F.col(column)).alias("words")), [], F.col("words"))
-        return cls(weights, tuple(centroid), lengths)
+        return cls(weights, tuple(centroid), texts, column)
 
     def centroid_drift(self, current: DataFrame, keys: Sequence[str] = (), column: str = "text") -> DataFrame:
         """Cosine similarity of each key's centroid with the reference's, and 1 minus it as the drift score."""
@@ -148,10 +156,14 @@ class TextReference:
         self, current: DataFrame, keys: Sequence[str] = ("deployment_id",), column: str = "input_text",
         threshold: float = 0.1, significance: float = 0.05,
     ) -> DataFrame:
-        """Text drift per key: centroid distance, and a two-sample test on word counts."""
+        """Text drift per key: centroid distance, and a two-sample test on word counts.
+
+        The counts of lengths are used several times, so they are written once, one row per key and distinct length;
+        the texts are read for them once and once for the vectors.
+        """
         keys = list(keys)
         words = current.select(*keys, word_count(F.col(column)).alias("words"))
-        counts = value_counts(words, keys, F.col("words"))
+        counts = stored(value_counts(words, keys, F.col("words")), "lengths")
         ks = ks_two_sample(self.lengths, counts, keys)
         ref_mean = self.lengths.select(F.sum(F.col("value") * F.col("n")) / F.sum("n")).scalar()
         averages = counts.groupBy(*keys).agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("new_avg_length"))

@@ -72,7 +72,14 @@ def _(t: Tables):
     return scored.select("doc_id", "split", "predicted_label", "predicted_sentiment", "confidence_score", "probabilities")
 
 
-@query("G14_external_model_scores")
+@query(
+    "G14_external_model_scores",
+    "",
+    """WITH z AS (SELECT doc_id, 1 / (1 + exp(-2 * (ln(1 + length(text)) - 7))) AS p FROM documents)
+    SELECT doc_id, CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS predicted_label,
+      CASE WHEN p > 0.5 THEN 'POSITIVE' ELSE 'NEGATIVE' END AS predicted_sentiment,
+      round(greatest(p, 1 - p), 4) AS confidence_score, round(1 - p, 4) AS negative, round(p, 4) AS positive FROM z""",
+)
 def _(t: Tables):
     def load():
         import numpy as np
@@ -85,7 +92,10 @@ def _(t: Tables):
         return predict
 
     scored = scoring.score_with(t.documents.select("doc_id", "text"), load)
-    return scored.select("doc_id", "predicted_label", "predicted_sentiment", "confidence_score", "probabilities")
+    return scored.select(
+        "doc_id", "predicted_label", "predicted_sentiment", "confidence_score",
+        F.col("probabilities")[0].alias("negative"), F.col("probabilities")[1].alias("positive"),
+    )
 
 
 @query("G15_trained_classifier")
