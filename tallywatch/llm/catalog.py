@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallywatch.llm import quality_rules
+from tallywatch.llm import near_dedup, quality_rules
 
 ORACLES: dict[str, str] = {}
 
@@ -15,9 +15,13 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op4_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(_table(spark, folder, "documents"), near_dedup.Params(width=4))
+
+
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return quality_rules.judge(docs, quality_rules.references(docs), keep=["doc_id"])
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op7_quality_rules,)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_near_dedup, op7_quality_rules)}
