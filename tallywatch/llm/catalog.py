@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallywatch.llm import near_dedup, quality_rules
+from tallywatch.llm import language_id, mixing, near_dedup, piece_codec, quality_rules
 
 ORACLES: dict[str, str] = {}
 
@@ -15,13 +15,28 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").withColumn("held_out", language_id.held_out(2, 4))
+    model = language_id.fit(docs.filter("NOT held_out"))
+    return language_id.predict(docs, model, ["doc_id", "held_out"])
+
+
 def op4_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, folder, "documents"), near_dedup.Params(width=4))
 
 
+def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.taken(mixing.mix(_table(spark, folder, "documents")))
+
+
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return quality_rules.judge(docs, quality_rules.references(docs), keep=["doc_id"])
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_near_dedup, op7_quality_rules)}
+def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return piece_codec.digest(piece_codec.encode(docs, ["doc_id"], check=True))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_language_id, op4_near_dedup, op5_mixing, op7_quality_rules, op8_sentencepiece)}
