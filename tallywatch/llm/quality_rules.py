@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallywatch.llm import words as W
+from tallywatch.llm.scratch import cut
 
 SYMBOLS = "#*$%&|<>"
 CLASSES = ("lower", "upper", "digit", "space", "stop", "symbol", "accented", "wide", "control")
@@ -208,7 +209,7 @@ def _tally(df: DataFrame, known: np.ndarray | None, share: float) -> DataFrame:
 def references(docs: DataFrame, limits: Limits = Limits()) -> References:
     """Class and common-word shares of every language, from all texts of `docs` (columns text, lang)."""
     share = limits.common_share
-    first = _tally(docs, None, share / 8)
+    first = cut(_tally(docs, None, share / 8))
     totals = first.filter("kind = 'total' AND n > 0").select("lang", F.col("n").alias("total"))
     everything = totals.agg(F.sum("total")).first()[0] or 0
     large = totals.filter(F.col("total") >= limits.language_share * everything)  # at most 1 / language_share rows
