@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallywatch.llm import language_id, mixing, near_dedup, piece_codec, quality_rules
+from tallywatch.llm import language_id, mixing, near_dedup, piece_codec, quality_rules, scratch, token_files
 
 ORACLES: dict[str, str] = {}
 
@@ -39,4 +39,10 @@ def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return piece_codec.digest(piece_codec.encode(docs, ["doc_id"], check=True))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_language_id, op4_near_dedup, op5_mixing, op7_quality_rules, op8_sentencepiece)}
+def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch.folder(spark, "token-files")
+    token_files.write(_table(spark, folder, "documents"), path)
+    return token_files.read_back(spark.read.schema(token_files.SHARDS).parquet(path))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_language_id, op4_near_dedup, op5_mixing, op7_quality_rules, op8_sentencepiece, op10_token_files)}

@@ -3,20 +3,28 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint of `df` in the folder of `spark.checkpoint.dir`.
-
-    Where that is unset a local master gets a temporary folder; on a cluster it is an error, as executors would not share it.
-    """
-    spark = df.sparkSession
+def _shared(spark: SparkSession) -> str:
+    """The folder of `spark.checkpoint.dir`; where that is unset, a temporary one, for local masters only."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tallywatch-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def folder(spark: SparkSession, purpose: str) -> str:
+    """The path of a new folder for files that every executor shares."""
+    return f"{_shared(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """A reliable checkpoint of `df` on storage that every executor shares."""
+    _shared(df.sparkSession)
     return df.checkpoint()
