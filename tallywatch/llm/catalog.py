@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallywatch.llm import (
     language_id,
@@ -12,6 +13,7 @@ from tallywatch.llm import (
     mixing,
     near_dedup,
     piece_codec,
+    quality_classifier,
     quality_rules,
     scratch,
     token_files,
@@ -54,6 +56,13 @@ def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(_table(spark, folder, "documents"))
 
 
+def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").withColumn("held_out", language_id.held_out(1, 3))
+    labels = _table(spark, folder, "labels").filter(~language_id.held_out(1, 3)).select("doc_id", F.col("quality").alias("label"))
+    model = quality_classifier.fit(docs.filter("NOT held_out"), labels)
+    return quality_classifier.predict(docs, model, ["doc_id", "held_out"])
+
+
 def op4_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, folder, "documents"), near_dedup.Params(width=4))
 
@@ -90,6 +99,7 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 _QUERIES = (
     op1_language_id,
     op2_license_scan,
+    op3_quality_classifier,
     op4_near_dedup,
     op5_mixing,
     op6_url_filter,
