@@ -73,8 +73,8 @@ class Mix:
         return self.slots.join(cut_up, ["src", "block"])
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """Number of words of every row: (row, doc_id, source, size)."""
+def sized(docs: DataFrame, row: str | None = None) -> DataFrame:
+    """Number of words of every row: (row, doc_id, source, size); the column `row`, if named, numbers the rows."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -83,7 +83,7 @@ def sized(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("row", "doc_id", "source")), size], names=["row", "doc_id", "source", "size"])
 
     narrow = docs.select(
-        (F.col("_row") if "_row" in docs.columns else F.lit(0)).cast("long").alias("row"),
+        (F.lit(0) if row is None else F.col(row)).cast("long").alias("row"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         F.col("text").cast("string").alias("text"),
@@ -165,9 +165,10 @@ def _draws(spark, quota: np.ndarray, params: Params) -> DataFrame:
     return spark.range(shards).mapInArrow(draw, "shard long, src long, n long")
 
 
-def mix(docs: DataFrame, params: Params = Params()) -> Mix:
+def mix(docs: DataFrame, params: Params = Params(), row: str | None = None) -> Mix:
+    """The mix of `docs` (doc_id, source, text); the column `row`, if named, is carried to the positions."""
     spark, size = docs.sparkSession, params.block_words
-    sizes = cut(sized(docs))
+    sizes = cut(sized(docs, row))
     sources = _sources(sizes, params)
     table = sources.select("src", "source_size", "target").toPandas().sort_values("src")
     blocks = -(-table["source_size"].to_numpy(dtype=np.int64) // size)
