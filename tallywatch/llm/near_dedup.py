@@ -4,7 +4,8 @@ A text's set holds the hashes of its distinct word shingles. Texts with equal se
 has a sketch of `tokens` minwise tokens. Independent trees branch the classes: in every node the tree selects `branches` of
 the tokens, and a class goes on to the child of each selected token's value. Nodes of up to `leaf` classes are compared
 exhaustively by their sketches, larger ones branch again; a child that holds most of its parent is too dense to branch on
-and is compared exhaustively in blocks. Pairs that pass the sketch and the size bound are confirmed on the full sets.
+and is compared exhaustively in blocks. Pairs that pass the sketch and the size bound are confirmed on the full sets, within the node: only links leave it, no
+more than connect its classes, so families of texts just below the threshold give no pairs either.
 
 Groups of copies stay linear: before any comparison within nodes, each node's classes are compared with one pivot, for
 `rounds` rounds, and a node whose classes are all connected by then needs no comparison at all. Later comparisons are only
@@ -43,9 +44,9 @@ class Params:
     tokens: int = 64
     trees: int = 4
     branches: int = 2
-    leaf: int = 512
+    leaf: int = 1024
     min_matches: int = 36
-    rounds: int = 3
+    rounds: int = 2
     max_depth: int = 8
 
 
@@ -156,10 +157,6 @@ def confirm(docs: DataFrame, pairs: DataFrame, params: Params) -> DataFrame:
     return shared.filter(F.lit(100) * F.col("i") >= F.lit(params.percent) * (F.col("s") - F.col("i"))).select("a", "b")
 
 
-def _matches(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    return (left == right).sum(axis=1)
-
-
 def _tokens(column: pa.Array, count: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint32).reshape(-1, count)
 
@@ -177,61 +174,127 @@ def _passing(pairs: DataFrame, classes: DataFrame, params: Params) -> DataFrame:
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = _matches(_tokens(batch.column("ta"), count), _tokens(batch.column("tb"), count)) >= least
+            same = _tokens(batch.column("ta"), count) == _tokens(batch.column("tb"), count)
+            good = same.sum(axis=1) >= least
             yield batch.select(["a", "b"]).filter(pa.array(good))
 
     return sized.select("a", "b", "ta", "tb").mapInArrow(test, "a long, b long")
 
 
-def _compare(members: DataFrame, params: Params) -> DataFrame:
-    """All pairs of different components within each group (node, i, j) that the sketches let pass, once per group.
+_MEMBER = ["node", "i", "j", "chunk", "rep", "comp", "n", "root", "mask", "tokens"]
 
-    `members` has node, i, j, chunk, rep, comp, n, tokens; a group compares chunk i with chunk j. Rows come sorted by
-    group, so pairs are found by comparing each row with the next, the one after it and so on.
-    """
-    count, least, percent = params.tokens, params.min_matches, params.percent
-
-    def pairs_of(table: pa.Table) -> pa.RecordBatch:
-        group = np.stack([table.column(c).to_numpy() for c in ("node", "i", "j")])
-        chunk, rep, comp, n = (table.column(c).to_numpy() for c in ("chunk", "rep", "comp", "n"))
-        tokens = _tokens(table.column("tokens"), count)
-        crossing = group[1] != group[2]
-        found_a, found_b = [], []
-        for step in range(1, len(rep)):
-            at = np.flatnonzero((group[:, step:] == group[:, :-step]).all(axis=0))
-            if not len(at):
-                break
-            to = at + step
-            small, big = np.minimum(n[at], n[to]), np.maximum(n[at], n[to])
-            fit = (comp[at] != comp[to]) & (100 * small >= percent * big) & (~crossing[at] | (chunk[at] != chunk[to]))
-            at, to = at[fit], to[fit]
-            good = _matches(tokens[at], tokens[to]) >= least
-            found_a.append(np.minimum(rep[at], rep[to])[good])
-            found_b.append(np.maximum(rep[at], rep[to])[good])
-        none = [np.zeros(0, dtype=np.int64)]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(found_a or none)), pa.array(np.concatenate(found_b or none))], names=["a", "b"]
-        )
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: pa.Table | None = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            table = pa.concat_tables([rest, table]) if rest is not None else table
-            if not table.num_rows:
-                continue
-            group = np.stack([table.column(c).to_numpy() for c in ("node", "i", "j")])
-            last = int(np.flatnonzero((group == group[:, -1:]).all(axis=0))[0])  # the last group may go on
-            if last:
-                yield pairs_of(table.slice(0, last))
-            rest = table.slice(last)
-        if rest is not None and rest.num_rows:
-            yield pairs_of(rest)
-
-    placed = members.select("node", "i", "j", "chunk", "rep", "comp", "n", "tokens")
+def _by_group(table: pa.Table) -> np.ndarray:
+    return np.stack([table.column(c).to_numpy() for c in ("node", "i", "j")])
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of sorted batches, cut between groups."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = pa.concat_tables([rest, table]) if rest is not None else table
+        if not table.num_rows:
+            continue
+        group = _by_group(table)
+        last = int(np.flatnonzero((group == group[:, -1:]).all(axis=0))[0])  # the last group may go on
+        if last:
+            yield table.slice(0, last)
+        rest = table.slice(last)
+    if rest is not None and rest.num_rows:
+        yield rest
+
+
+def _candidates(table: pa.Table, params: Params) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of the same group that size bound and sketches let pass and that no other node compares.
+
+    Rows come sorted by group, so pairs are found by comparing each row with the next, the one after it and so on. A pair
+    that also shares a root node with a lower number is left to that one, if it is compared there (`mask`).
+    """
+    group = _by_group(table)
+    chunk, comp, n, root, mask = (table.column(c).to_numpy() for c in ("chunk", "comp", "n", "root", "mask"))
+    tokens = _tokens(table.column("tokens"), params.tokens)
+    roots = params.trees * params.branches
+    lower = (np.arange(roots)[None, :] < root[:, None]) & ((mask[:, None] >> np.arange(roots)) & 1 == 1)
+    crossing = group[1] != group[2]
+    for step in range(1, len(chunk)):
+        at = np.flatnonzero((group[:, step:] == group[:, :-step]).all(axis=0))
+        if not len(at):
+            return
+        to = at + step
+        fit = comp[at] != comp[to]
+        fit &= 100 * np.minimum(n[at], n[to]) >= params.percent * np.maximum(n[at], n[to])
+        fit &= ~crossing[at] | (chunk[at] != chunk[to])
+        at, to = at[fit], to[fit]
+        same = tokens[at] == tokens[to]
+        good = (same.sum(axis=1) >= params.min_matches) & ~(same[:, :roots] & lower[at]).any(axis=1)
+        yield at[good], to[good]
+
+
+def _grouped(members: DataFrame) -> DataFrame:
     tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = placed.repartition(tasks, "node", "i", "j").sortWithinPartitions("node", "i", "j", "rep")
-    return dealt.mapInArrow(compare, "a long, b long")
+    return members.repartition(tasks, "node", "i", "j").sortWithinPartitions("node", "i", "j", "rep")
+
+
+def _flagged(members: DataFrame, params: Params) -> DataFrame:
+    """The members that have a pair to be confirmed in their group."""
+
+    def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_groups(batches):
+            wanted = np.zeros(table.num_rows, dtype=bool)
+            for at, to in _candidates(table, params):
+                wanted[at] = wanted[to] = True
+            yield from table.filter(pa.array(wanted)).to_batches()
+
+    made = members.select(*_MEMBER)
+    return _grouped(made).mapInArrow(flag, made.schema)
+
+
+def _verified(flagged: DataFrame, sets: DataFrame, params: Params) -> DataFrame:
+    """Links (a, b) of members of the same group whose full sets are similar enough.
+
+    A group gives only as many links as connect its members: pairs that are connected already need no look.
+    """
+    percent = params.percent
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_groups(batches):
+            pairs = [np.stack(p) for p in _candidates(table, params)]
+            pairs = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), dtype=np.int64)
+            pairs = pairs[:, np.lexsort(pairs[::-1])]
+            rep = table.column("rep").to_numpy()
+            column = table.column("shingles").combine_chunks()
+            offsets, values = column.offsets.to_numpy(), column.values.to_numpy().view(np.uint64)  # sorted as such
+            parent = np.arange(len(rep))
+            links: list[tuple[int, int]] = []
+
+            def find(x: int) -> int:
+                while parent[x] != x:
+                    parent[x] = x = parent[parent[x]]
+                return x
+
+            starts = np.flatnonzero(np.diff(pairs[0], prepend=-1))
+            for begin, end in zip(starts, np.append(starts[1:], pairs.shape[1])):
+                one, others = int(pairs[0, begin]), pairs[1, begin:end]
+                others = others[[find(int(o)) != find(one) for o in others]]
+                own = values[offsets[one] : offsets[one + 1]]
+                sizes = offsets[others + 1] - offsets[others]
+                every = np.concatenate([values[offsets[o] : offsets[o + 1]] for o in others] or [own[:0]])
+                place = np.minimum(np.searchsorted(own, every), len(own) - 1)
+                inside = np.concatenate([[0], np.cumsum(own[place] == every)])
+                ends = np.cumsum(sizes)
+                shared = inside[ends] - inside[ends - sizes]
+                near = others[100 * shared >= percent * (len(own) + sizes - shared)]
+                for other in near.tolist():
+                    a, b = find(one), find(other)
+                    if a != b:
+                        parent[max(a, b)] = min(a, b)
+                        links.append((int(rep[one]), int(rep[other])))
+            found = np.array(links, dtype=np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+
+    joined = flagged.join(sets.withColumnRenamed("id", "rep"), "rep").select(*_MEMBER, "shingles")
+    return _grouped(joined).mapInArrow(verify, "a long, b long")
 
 
 def _children(rows: DataFrame, params: Params) -> DataFrame:
@@ -244,6 +307,14 @@ def _children(rows: DataFrame, params: Params) -> DataFrame:
     return rows.select(split.alias("child"), *[c for c in rows.columns if c != "node"]).withColumnRenamed("child", "node")
 
 
+def _blocks(compared: DataFrame, params: Params) -> DataFrame:
+    """Members of the groups (node, i, j): a node over `leaf` classes is compared chunk against chunk."""
+    n_chunks = F.ceil(F.col("size") / params.leaf)
+    others = F.explode(F.sequence(F.lit(0).cast("long"), n_chunks - 1))
+    placed = compared.withColumn("chunk", F.pmod(F.xxhash64("rep"), n_chunks)).select("*", others.alias("other"))
+    return placed.withColumns({"i": F.least("chunk", "other"), "j": F.greatest("chunk", "other")}).select(*_MEMBER)
+
+
 def _labelled(rows: DataFrame, comps: DataFrame | None) -> DataFrame:
     """Rows with their component, in nodes that hold more than one component, with the node's size."""
     if comps is None:
@@ -263,10 +334,12 @@ def links(docs: DataFrame, sketched: DataFrame, params: Params) -> tuple[DataFra
         .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("tokens").alias("tokens"))
     )
     total = classes.count()
-    roots = F.explode(F.array(*[F.xxhash64(F.lit(t)) for t in range(params.trees)]))
-    rooted = classes.select("rep", "n", "tokens", roots.alias("node"))
-    rows = cut(_labelled(_children(rooted, params).select("rep", "node"), None))
-    edges, comps = None, None
+    roots = [  # root r selects token r: tokens are independent, so any choice is as good
+        F.struct(F.xxhash64(F.lit(r), F.substring("tokens", 4 * r + 1, 4)).alias("node"), F.lit(r).cast("long").alias("root"))
+        for r in range(params.trees * params.branches)
+    ]
+    rows = cut(_labelled(classes.select("rep", F.inline(F.array(*roots))), None))
+    comps = None
     for step in range(params.rounds):
         key = F.col("rep") if step == 0 else F.xxhash64("rep", F.lit(step))
         pivots = rows.groupBy("node").agg(F.min(F.struct(key.alias("k"), "rep", "comp")).alias("p"))
@@ -280,28 +353,36 @@ def links(docs: DataFrame, sketched: DataFrame, params: Params) -> tuple[DataFra
         edges = found if comps is None else comps.select(F.col("id").alias("a"), F.col("component").alias("b")).union(found)
         comps = cut(components(edges))
         rows = cut(_labelled(rows.drop("size"), comps))
-    tokens = classes.select("rep", "n", "tokens")
-    grown, parent, checks = rows.withColumn("parent", F.lit(total)), None, []
-    for depth in range(params.max_depth + 1):
-        leafy = F.col("size") <= params.leaf
-        dense = (F.col("size") * 2 > F.col("parent")) | F.lit(depth == params.max_depth)
-        grown = grown.join(tokens, "rep") if "tokens" not in grown.columns else grown
-        compared = grown.filter(leafy | dense)
-        n_chunks = F.ceil(F.col("size") / params.leaf)
-        chunk = F.pmod(F.xxhash64("rep"), n_chunks)
-        others = F.explode(F.sequence(F.lit(0).cast("long"), n_chunks - 1))
-        blocks = compared.withColumn("chunk", chunk).select("*", others.alias("other"))
-        checks.append(
-            blocks.select("node", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "rep", "comp", "n", "tokens")
-        )
-        going = grown.filter(~(leafy | dense)).withColumn("parent", F.col("size")).drop("size")
-        if depth == params.max_depth or going.isEmpty():
+
+    def split(grown: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
+        """Rows of the nodes to be compared now, and of those that go on."""
+        now = F.col("size") <= params.leaf
+        if depth:
+            now = now | (F.col("size") * 2 > F.col("parent"))
+        if depth == params.max_depth:
+            now = F.lit(True)
+        return grown.filter(now), grown.filter(~now)
+
+    compared, going = split(rows, 0)
+    masks = compared.groupBy("rep").agg(F.bit_or(F.expr("shiftleft(1L, CAST(root AS INT))")).alias("mask"))
+    described = classes.select("rep", "n", "tokens").join(masks, "rep", "left").withColumn("mask", F.coalesce("mask", F.lit(0)).cast("long"))
+    described = cut(described.join(rows.select("rep").distinct(), "rep", "left_semi"))
+    parts = [_blocks(compared.join(described, "rep"), params)]
+    going = going.join(described, "rep")
+    for depth in range(1, params.max_depth + 1):
+        if going.isEmpty():
             break
-        grown = cut(_labelled(_children(going, params), comps))
-    pairs = _compare(checks[0], params)
-    for more in checks[1:]:
-        pairs = pairs.union(_compare(more, params))
-    found = confirm(docs, pairs.distinct(), params)
+        deeper = _children(going.withColumn("parent", F.col("size")).drop("size"), params)
+        # a pair that a root node compares is left to it: deeper nodes come after all roots
+        deeper = deeper.withColumn("root", F.lit(params.trees * params.branches).cast("long"))
+        compared, going = split(cut(_labelled(deeper, comps)), depth)
+        parts.append(_blocks(compared, params))
+    flagged = _flagged(parts[0], params)
+    for more in parts[1:]:
+        flagged = flagged.union(_flagged(more, params))
+    flagged = cut(flagged)
+    sets = _full_sets(docs, flagged.select(F.col("rep").alias("id")).distinct(), params)
+    found = _verified(flagged, sets, params)
     edges = comps.select(F.col("id").alias("a"), F.col("component").alias("b")).union(found)
     return classes, cut(components(edges))
 
