@@ -1,31 +1,22 @@
-"""Size checks before a small side is broadcast, and the shared scratch folder."""
+"""The shared scratch folder, and how finely hot keys are split."""
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import lru_cache
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 20_000
 
-
-def bounded_table(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> pa.Table | None:
-    """The rows of `df` when there are at most `max_rows`, otherwise None; never fetches more than `max_rows + 1`."""
-    table = df.limit(max_rows + 1).toArrow()
-    return table if table.num_rows <= max_rows else None
-
-
-def join_small(
-    df: DataFrame, side: DataFrame, on: list[str], how: str = "left", max_rows: int = BROADCAST_ROWS
-) -> DataFrame:
-    """Join a usually small `side`: broadcast when its counted rows fit, otherwise a shuffled join left to AQE."""
-    table = bounded_table(side, max_rows)
-    if table is None:
-        return df.join(side, on, how)
-    return df.join(F.broadcast(df.sparkSession.createDataFrame(table, side.schema)), on, how)
+@lru_cache(maxsize=1)
+def _local_folder() -> str:
+    """One folder per process for local masters without a shared one; removed when the process ends."""
+    path = tempfile.mkdtemp(prefix="tallywatch-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
 
 
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
@@ -34,21 +25,17 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = tempfile.mkdtemp(prefix="tallywatch-")
+        shared = _local_folder()
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def spread(table: DataFrame) -> DataFrame:
-    """Give every core some rows of a scanned table whose files make fewer splits than there are cores.
-
-    Large tables have far more splits than cores and are returned as they are; only small ones are shuffled.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
-
-
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write a costly result that is read several times to the shared scratch folder and read it back."""
     path = scratch_folder(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def pieces_of(spark: SparkSession) -> int:
+    """Pieces that an ordered operation splits a key into: as many as a shuffle has partitions."""
+    return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywatch.functions.numeric import truthy
-from tallywatch.functions.sizes import join_small
 from tallywatch.functions.text import word_count
 
 QUALITY_SCORES = ("quality_score", "completeness_score", "consistency_score", "validity_score")
@@ -131,12 +130,12 @@ def stratified_split(
     edge = quota.filter((F.col("before") < F.col("quota")) & (F.col("before") + F.col("n") >= F.col("quota"))).select(
         "_stratum", "_group", (F.col("quota") - F.col("before")).alias("left")
     )
-    in_edge = join_small(keyed, edge, ["_stratum", "_group"], "inner")
+    in_edge = keyed.join(edge, ["_stratum", "_group"])
     rank = F.row_number().over(whole.orderBy("_place"))
     cut = in_edge.withColumn("rank", rank).filter(F.col("rank") == F.col("left")).select(
         "_stratum", F.col("_place").alias("_cut")
     )
-    joined = join_small(df.withColumn("_stratum", stratum), cut, ["_stratum"])
+    joined = df.withColumn("_stratum", stratum).join(cut, "_stratum", "left")
     side = F.when(place <= F.col("_cut"), "validation").otherwise("train")
     return joined.withColumn("split", side).drop("_stratum", "_cut")
 
@@ -156,12 +155,12 @@ def shuffled_sample(df: DataFrame, id_column: str, n: int, seed: int = 42) -> Da
     return df.orderBy(shuffle_key(id_column, seed), F.col(id_column)).limit(n)
 
 
-def reference_sample(texts: DataFrame, id_column: str = "doc_id", n: int = 1000) -> DataFrame:
-    """The first `n` texts by id of the validation split, or of train when there is no validation split.
-
-    A limit leaves one partition; its bounded number of rows is spread again for the work that follows.
-    """
+def reference_texts(texts: DataFrame) -> DataFrame:
+    """All texts of the validation split, or of train when there is no validation split."""
     has_validation = not texts.filter(F.col("split") == "validation").limit(1).isEmpty()
-    chosen = texts.filter(F.col("split") == ("validation" if has_validation else "train"))
-    cores = texts.sparkSession.sparkContext.defaultParallelism
-    return chosen.orderBy(id_column).limit(n).repartition(max(1, min(cores, n // 50)))
+    return texts.filter(F.col("split") == ("validation" if has_validation else "train"))
+
+
+def reference_sample(texts: DataFrame, n: int, id_column: str = "doc_id") -> DataFrame:
+    """The first `n` reference texts by id."""
+    return reference_texts(texts).orderBy(id_column).limit(n)

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tallywatch.functions.numeric import jensen_shannon, stability_index
 from tallywatch.functions.ordered import bucket_of, value_bounds
+from tallywatch.functions.sizes import pieces_of
 from tallywatch.operators.drift_stats import ks_two_sample
 
 SIGNIFICANCE = 0.05
@@ -86,16 +87,22 @@ def categorical_drift(
 
 
 def numeric_drift(
-    reference: DataFrame, current: DataFrame, columns: Sequence[str], significance: float = SIGNIFICANCE, pieces: int = 16
+    reference: DataFrame, current: DataFrame, columns: Sequence[str], significance: float = SIGNIFICANCE,
+    pieces: int | None = None,
 ) -> DataFrame:
-    """Two-sample Kolmogorov-Smirnov test per column over its non-NULL values."""
+    """Two-sample Kolmogorov-Smirnov test per column over its non-NULL values.
+
+    Values are sorted in `pieces` (default: as many as shuffle partitions), cut by the values of both sides, so that a
+    column that has moved away from the reference is spread as well.
+    """
     sides = [
         _long(df, columns, "double").filter(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count("*").alias("n"))
         for df in (reference, current)
     ]
     bucket = F.lit(0)
-    doubles = reference.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    for name, bounds in value_bounds(doubles, columns, pieces).items():
+    doubles = [df.select(*[F.col(c).cast("double").alias(c) for c in columns]) for df in (reference, current)]
+    pieces = pieces_of(reference.sparkSession) if pieces is None else pieces
+    for name, bounds in value_bounds(doubles[0].union(doubles[1]), columns, pieces).items():
         bucket = F.when(F.col("column") == name, bucket_of(F.col("value"), bounds)).otherwise(bucket)
     found = ks_two_sample(sides[0], sides[1], [], ["column"], bucket)
     return found.select(

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import gcd
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywatch.functions.numeric import share
 from tallywatch.functions.ordered import bucket_of, exact_quantiles, value_bounds
+from tallywatch.functions.sizes import pieces_of
 
 # Upper bounds of the histogram buckets; +Inf is added.
 DURATION_BOUNDS = (0.01, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0)
@@ -62,7 +64,7 @@ def window_quantiles(
 
 def exact_window_quantiles(
     df: DataFrame, ts: str, labels: Sequence[str], value: Column, quantiles: dict[str, float] = QUANTILES,
-    width: str = "1 day", pieces: int = 16,
+    width: str = "1 day", pieces: int | None = None,
 ) -> DataFrame:
     """Interpolated exact quantiles per window and label set, from the counts of distinct values."""
     counts = (
@@ -71,6 +73,7 @@ def exact_window_quantiles(
         .groupBy("window_start", *labels, "_value")
         .agg(F.count("*").alias("_n"))
     )
+    pieces = pieces_of(df.sparkSession) if pieces is None else pieces
     bounds = value_bounds(df.select(value.alias("_value")), ["_value"], pieces)["_value"]
     return exact_quantiles(counts, ["window_start", *labels], "_value", "_n", quantiles, bucket_of(F.col("_value"), bounds))
 
@@ -92,9 +95,15 @@ def approximate_window_quantiles(
 def rates(
     df: DataFrame, ts: str, labels: Sequence[str] = (), seconds: int = 300, slide_seconds: int | None = None, per: float = 1.0
 ) -> DataFrame:
-    """Events per `per` seconds in every window."""
+    """Events per `per` seconds in every window.
+
+    Sliding windows are sums of panes: events are counted once per pane as wide as the slide divides both, and only the
+    counts are spread over the windows.
+    """
     width, slide = f"{seconds} seconds", f"{slide_seconds or seconds} seconds"
-    counted = df.groupBy(F.window(ts, width, slide).alias("w"), *labels).agg(F.count("*").alias("events"))
+    pane = f"{gcd(seconds, slide_seconds or seconds)} seconds"
+    panes = df.groupBy(F.window(ts, pane)["start"].alias("_pane"), *labels).agg(F.count("*").alias("_n"))
+    counted = panes.groupBy(F.window("_pane", width, slide).alias("w"), *labels).agg(F.sum("_n").alias("events"))
     return counted.select(
         F.col("w.start").alias("window_start"),
         *labels,

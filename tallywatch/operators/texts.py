@@ -5,13 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywatch.functions.sizes import join_small
 from tallywatch.functions.text import attention_mask, non_letter_share, pad_ids, tokens, word_count
 
 PAD_ID, UNKNOWN_ID, FIRST_ID = 0, 1, 2
 VOCABULARY_SIZE = 30_000
-# a vocabulary up to this size is broadcast; a larger one is joined by a shuffle, whose hot tokens AQE splits
-BROADCAST_TOKENS = 200_000
 
 
 def build_vocabulary(texts: DataFrame, size: int = VOCABULARY_SIZE, column: str = "text") -> DataFrame:
@@ -24,6 +21,12 @@ def build_vocabulary(texts: DataFrame, size: int = VOCABULARY_SIZE, column: str
     return top.select("token", (rank + (FIRST_ID - 1)).cast("int").alias("token_id"))
 
 
+def reference_tokens(texts: DataFrame, column: str = "text") -> DataFrame:
+    """Every distinct token of the texts."""
+    each = texts.select(F.explode_outer(tokens(F.col(column))).alias("token"))
+    return each.filter(F.col("token").isNotNull()).distinct()
+
+
 def encode(
     texts: DataFrame, vocabulary: DataFrame, id_column: str = "doc_id", max_length: int = 512,
     keep: tuple[str, ...] = ("label", "split"), column: str = "text",
@@ -36,7 +39,7 @@ def encode(
     kept = [c for c in keep if c in texts.columns]
     cut = texts.select(id_column, *kept, F.slice(tokens(F.col(column)), 1, max_length).alias("_tokens"))
     each = cut.select(id_column, *kept, F.posexplode_outer("_tokens").alias("_at", "token"))
-    known = join_small(each, vocabulary, ["token"], max_rows=BROADCAST_TOKENS)
+    known = each.join(vocabulary, "token", "left")
     code = F.when(F.col("token").isNotNull(), F.coalesce("token_id", F.lit(UNKNOWN_ID)))
     gathered = known.groupBy(id_column, *kept).agg(
         F.collect_list(F.when(code.isNotNull(), F.struct(F.col("_at"), code.alias("id")))).alias("_coded")
@@ -52,7 +55,7 @@ def encode(
 
 def describe(texts: DataFrame, vocabulary: DataFrame | None = None, id_column: str = "doc_id",
              keep: tuple[str, ...] = ("split",), column: str = "text") -> DataFrame:
-    """Length, word count, non-letter share and, given a vocabulary, the share of tokens outside it."""
+    """Length, word count, non-letter share and, given the reference vocabulary (all its tokens), the share of tokens outside it."""
     text = F.col(column)
     kept = [c for c in keep if c in texts.columns]
     described = texts.select(
@@ -67,7 +70,7 @@ def describe(texts: DataFrame, vocabulary: DataFrame | None = None, id_column: s
         return described
     others = [c for c in described.columns if c != "_tokens"]
     each = described.select(*others, F.explode_outer("_tokens").alias("token"))
-    known = join_small(each, vocabulary.select("token", F.lit(1).alias("_known")), ["token"], max_rows=BROADCAST_TOKENS)
+    known = each.join(vocabulary.select("token", F.lit(1).alias("_known")), "token", "left")
     return known.groupBy(*others).agg(
         F.coalesce(
             1 - F.try_divide(F.count("_known").cast("double"), F.count("token").cast("double")), F.lit(0.0)

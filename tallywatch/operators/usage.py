@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywatch.functions.numeric import share, truthy
-from tallywatch.functions.sizes import join_small
 from tallywatch.operators.filters import since
 
 LOW_CONFIDENCE = 0.6
@@ -71,9 +70,9 @@ def idle_deployments(deployments: DataFrame, logs: DataFrame, as_of: str, days:
 
 
 def logs_of_active(deployments: DataFrame, logs: DataFrame) -> DataFrame:
-    """Log rows of deployments that are ACTIVE; the active ids are counted before they are broadcast."""
+    """Log rows of deployments that are ACTIVE."""
     active = deployments.filter(F.col("status") == "ACTIVE").select(F.col("id").alias("deployment_id"))
-    return join_small(logs, active, ["deployment_id"], "left_semi")
+    return logs.join(active, "deployment_id", "left_semi")
 
 
 def daily_performance(logs: DataFrame, keys: Sequence[str] = ("deployment_id",)) -> DataFrame:

@@ -8,9 +8,9 @@ from tallywatch.functions.numeric import settle
 from tallywatch.functions.sizes import stored
 from tallywatch.operators import drift_columns, drift_stats, drift_text, filters, texts
 from tallywatch.operators.alerts import drift_alerts
-from tallywatch.operators.datasets import reference_sample
+from tallywatch.operators.datasets import reference_texts
 from tallywatch.operators.usage import daily_performance
-from tallywatch.plans.check_texts import CLEAN_WORDS, DESCRIPTORS, VOCABULARY, TOKENS, VOCABULARY_SIZE, WORDS, grams
+from tallywatch.plans.check_texts import CLEAN_WORDS, DESCRIPTORS, REFERENCE_TOKENS, TOKENS, WORDS, grams
 from tallywatch.plans.check_usage import AS_OF, RECENT_DAY, RECENT_WEEK
 from tallywatch.plans.monitor import run_monitor
 from tallywatch.plans.registry import query, settled
@@ -238,11 +238,11 @@ def _(t: Tables):
 
 
 def _monitored(t: Tables):
-    sample = reference_sample(t.labelled_texts.select("doc_id", "split", "text"), n=1000)
-    return run_monitor(drift_text.TextReference.fit(sample), t.logs, AS_OF, t.with_texts)
+    chosen = reference_texts(t.labelled_texts.select("doc_id", "split", "text"))
+    return run_monitor(drift_text.TextReference.fit(chosen), t.logs, AS_OF, t.with_texts)
 
 
-MONITOR = f"""WITH ref AS (SELECT doc_id, text FROM labelled_texts WHERE split = 'validation' ORDER BY doc_id LIMIT 1000),
+MONITOR = f"""WITH ref AS (SELECT doc_id, text FROM labelled_texts WHERE split = 'validation'),
   recent AS (SELECT id, deployment_id, input_text AS text FROM text_logs WHERE {RECENT_DAY}),
   sides AS (SELECT 'ref' AS k, doc_id AS id, text FROM ref UNION ALL SELECT deployment_id, id, text FROM recent),
   w AS (SELECT k, id, {CLEAN_WORDS} AS words FROM sides),
@@ -280,7 +280,7 @@ MONITOR = f"""WITH ref AS (SELECT doc_id, text FROM labelled_texts WHERE split =
       {settled("confidence")} AS confidence FROM results WHERE deployment_id IN (SELECT deployment_id FROM busy)""",
 )
 def _(t: Tables):
-    return _settle(_monitored(t).drop("details"), "drift_score", "confidence")
+    return _settle(_monitored(t).filter("error IS NULL").drop("details", "error"), "drift_score", "confidence")
 
 
 @query(
@@ -404,8 +404,8 @@ def _(t: Tables):
     return _settle(summary.withColumn("drifted", F.array_join(named, ",")).drop("drifted_features"), "drift_share")
 
 
-DESCRIBED = f"""{VOCABULARY}, d0 AS (SELECT doc_id, split, {DESCRIPTORS}, {TOKENS} AS toks FROM labelled_texts),
-  kn AS (SELECT doc_id, count(*) FILTER (WHERE token IN (SELECT token FROM vocabulary)) AS known
+DESCRIBED = f"""{REFERENCE_TOKENS}, d0 AS (SELECT doc_id, split, {DESCRIPTORS}, {TOKENS} AS toks FROM labelled_texts),
+  kn AS (SELECT doc_id, count(*) FILTER (WHERE token IN (SELECT token FROM reference_tokens)) AS known
     FROM (SELECT doc_id, unnest(toks) AS token FROM d0) GROUP BY 1),
   d AS (SELECT split, text_length, word_count, non_letter_share,
     CASE WHEN len(toks) = 0 THEN 0 ELSE 1 - known / CAST(len(toks) AS DOUBLE) END AS oov_share
@@ -427,7 +427,7 @@ DESCRIPTOR_COLUMNS = ("text_length", "word_count", "non_letter_share", "oov_shar
       {settled("d")} AS ks_statistic FROM ks""",
 )
 def _(t: Tables):
-    vocabulary = texts.build_vocabulary(_train(t), VOCABULARY_SIZE)
+    vocabulary = texts.reference_tokens(_train(t))
     described = stored(texts.describe(t.labelled_texts, vocabulary), "descriptors")
     sides = [described.filter(F.col("split") == s) for s in ("train", "test")]
     return _settle(drift_columns.numeric_drift(*sides, list(DESCRIPTOR_COLUMNS)), "score", "ks_statistic")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallywatch.functions.numeric import settle
 from tallywatch.functions.sizes import scratch_folder
-from tallywatch.operators.datasets import reference_sample
+from tallywatch.operators.datasets import reference_texts
 from tallywatch.operators.drift_text import TextReference
 from tallywatch.plans.check_drift import MONITOR
 from tallywatch.plans.check_entities import LIFECYCLE
@@ -195,10 +195,15 @@ def _(t: Tables):
       {settled("confidence")} AS confidence FROM results WHERE deployment_id IN (SELECT deployment_id FROM busy)""",
 )
 def _(t: Tables):
-    reference = TextReference.fit(reference_sample(t.labelled_texts.select("doc_id", "split", "text"), n=1000))
+    # the log arrives in several files and batches; the last batch's results must be those of one batch over all rows
+    reference = TextReference.fit(reference_texts(t.labelled_texts.select("doc_id", "split", "text")))
     out, checkpoint = _folders(t, "drift")
-    _finish(jobs.watch_drift(_log_stream(t), reference, out, checkpoint, t.with_texts, as_of=AS_OF))
-    found = t.spark.read.parquet(f"{out}/results")
+    arriving, events = scratch_folder(t.spark, "arriving"), t.raw("events")
+    events.repartition(4, "event_id").write.parquet(arriving)
+    stream = t.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(arriving)
+    _finish(jobs.watch_drift(logs_from_events(stream), reference, out, checkpoint, t.with_texts, as_of=AS_OF))
+    found = t.spark.read.parquet(f"{out}/results").filter("error IS NULL")
+    found = found.filter(F.col("batch") == found.select(F.max("batch")).scalar())
     return _settle(
         found.select("deployment_id", "drift_type", "is_drift_detected", "drift_score", "confidence"), "drift_score", "confidence"
     )

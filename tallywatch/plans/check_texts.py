@@ -36,6 +36,9 @@ VOCABULARY = f"""vocabulary AS (SELECT token, CAST(row_number() OVER (ORDER BY c
     ORDER BY count(*) DESC, token LIMIT {VOCABULARY_SIZE})"""
 
 
+REFERENCE_TOKENS = f"""reference_tokens AS (SELECT DISTINCT unnest({TOKENS}) AS token FROM labelled_texts WHERE split = 'train')"""
+
+
 def _settle(df, *columns, digits=6):
     return df.withColumns({c: settle(F.col(c), digits) for c in columns})
 
@@ -158,15 +161,16 @@ DESCRIPTORS = f"""CAST(length(text) AS BIGINT) AS text_length, {WORDS} AS word_c
 @query(
     "P18_text_descriptors",
     "labelled_texts",
-    f"""WITH {VOCABULARY}, d AS (SELECT doc_id, {DESCRIPTORS}, {TOKENS} AS toks FROM labelled_texts),
+    f"""WITH {REFERENCE_TOKENS}, d AS (SELECT doc_id, {DESCRIPTORS}, {TOKENS} AS toks FROM labelled_texts),
       x AS (SELECT doc_id, unnest(toks) AS token FROM d),
-      k AS (SELECT doc_id, count(*) FILTER (WHERE token IN (SELECT token FROM vocabulary)) AS known FROM x GROUP BY 1)
+      k AS (SELECT doc_id, count(*) FILTER (WHERE token IN (SELECT token FROM reference_tokens)) AS known FROM x GROUP BY 1)
     SELECT d.doc_id, text_length, word_count, {settled("non_letter_share")} AS non_letter_share,
       {settled("CASE WHEN len(toks) = 0 THEN 0 ELSE 1 - known / CAST(len(toks) AS DOUBLE) END")} AS oov_share
     FROM d LEFT JOIN k ON k.doc_id = d.doc_id""",
 )
 def _(t: Tables):
-    described = texts.describe(t.labelled_texts, _train_vocabulary(t), keep=())
+    train = t.labelled_texts.filter(F.col("split") == "train")
+    described = texts.describe(t.labelled_texts, texts.reference_tokens(train), keep=())
     return _settle(described, "non_letter_share", "oov_share")
 
 
@@ -346,10 +350,13 @@ def _(t: Tables):
 @query(
     "W13_validation_only_if_absent",
     "labelled_texts",
-    "SELECT doc_id, label, split FROM labelled_texts",
+    # without a validation split one is carved out of train; the rest keeps its split
+    f"""WITH whole AS ({STRATIFIED.format(label="label").replace("labelled_texts", "(SELECT * FROM labelled_texts WHERE split = 'train')")})
+    SELECT doc_id, label, split FROM whole UNION ALL SELECT doc_id, label, split FROM labelled_texts WHERE split = 'test'""",
 )
 def _(t: Tables):
-    return datasets.with_validation(t.labelled_texts.select("doc_id", "label", "split"), "doc_id")
+    without = t.labelled_texts.select("doc_id", "label", "split").filter("split <> 'validation'")
+    return datasets.with_validation(without, "doc_id")
 
 
 @query(
@@ -369,4 +376,4 @@ def _(t: Tables):
     """SELECT doc_id, split, label FROM labelled_texts WHERE split = 'validation' ORDER BY doc_id LIMIT 1000""",
 )
 def _(t: Tables):
-    return datasets.reference_sample(t.labelled_texts.select("doc_id", "split", "label"))
+    return datasets.reference_sample(t.labelled_texts.select("doc_id", "split", "label"), 1000)

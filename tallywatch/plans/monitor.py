@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywatch.operators.alerts import drift_alerts
@@ -14,7 +14,10 @@ from tallywatch.operators.drift_text import TextReference
 from tallywatch.operators.filters import since
 
 MIN_ROWS = 10
-RESULT_COLUMNS = ("deployment_id", "drift_type", "is_drift_detected", "drift_score", "confidence", "details")
+RESULT = (
+    "deployment_id string, drift_type string, is_drift_detected boolean, drift_score double, confidence double, "
+    "details string, error string"
+)
 
 log = logging.getLogger(__name__)
 
@@ -29,9 +32,15 @@ def _result(df: DataFrame, drift_type: str, confidence: Column) -> DataFrame:
         "drift_score",
         confidence.alias("confidence"),
         details.alias("details"),
+        F.lit(None).cast("string").alias("error"),
     )
 
 
+def failure(spark: SparkSession, drift_type: str, error: Exception) -> DataFrame:
+    """The result row of a check that failed: no deployment, no verdict, the whole message."""
+    return spark.createDataFrame([(None, drift_type, None, None, None, None, str(error))], RESULT)
+
+
 def drift_checks(
     reference: TextReference, logs: DataFrame, as_of: str, with_texts: Callable[[DataFrame], DataFrame] = lambda logs: logs,
     hours: int = 24, days: int = 7, min_rows: int = MIN_ROWS,
@@ -48,7 +57,7 @@ def drift_checks(
 
     return {
         "data": lambda: _result(
-            scoped(reference.data_drift(with_texts(recent))), "data", F.col("confidence")
+            reference.data_drift(with_texts(scoped(recent))), "data", F.col("confidence")
         ),
         "concept": lambda: _result(scoped(concept_drift(recent)), "concept", F.col("drift_score")),
         "model": lambda: _result(scoped(model_drift(logs, as_of, days)), "model", F.col("confidence")),
@@ -56,32 +65,34 @@ def drift_checks(
 
 
 def run_monitor(*args, **kwargs) -> DataFrame:
-    """All checks in one frame; a check whose plan cannot be built is logged and left out."""
-    results = None
+    """All checks in one frame; a check whose plan cannot be built is a row with its error."""
+    results, spark = None, SparkSession.active()
     for name, build in drift_checks(*args, **kwargs).items():
         try:
             part = build()
-        except Exception:
+        except Exception as error:
             log.exception("drift check %s failed", name)
-            continue
+            part = failure(spark, name, error)
         results = part if results is None else results.unionByName(part)
-    if results is None:
-        raise RuntimeError("no drift check could be built")
     return results
 
 
 def write_monitor(path: str, *args, **kwargs) -> list[str]:
-    """Append every check's rows on its own, so one failing job does not stop the others; the names that failed."""
+    """Append every check's rows on its own, so one failing job does not stop the others; the names that failed.
+
+    A check that failed leaves a row with its error.
+    """
     failed = []
     for name, build in drift_checks(*args, **kwargs).items():
         try:
             build().write.mode("append").parquet(path)
-        except Exception:
+        except Exception as error:
             log.exception("drift check %s failed", name)
+            failure(SparkSession.active(), name, error).write.mode("append").parquet(path)
             failed.append(name)
     return failed
 
 
 def monitor_alerts(results: DataFrame) -> DataFrame:
     """Alerts for the drifts found."""
-    return drift_alerts(results)
+    return drift_alerts(results.drop("error"))

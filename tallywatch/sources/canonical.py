@@ -11,8 +11,6 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywatch.functions.sizes import spread
-
 
 def logs_from_events(events: DataFrame) -> DataFrame:
     """Prediction log columns of an event table or stream."""
@@ -60,8 +58,8 @@ class Tables:
 
     @cached_property
     def documents(self) -> DataFrame:
-        """The texts, spread over the cores: work per text is heavy."""
-        return spread(self.raw("documents"))
+        """The texts."""
+        return self.raw("documents")
 
     def stream(self, name: str) -> DataFrame:
         """One table as a file stream; its files are taken in as they arrive."""
@@ -215,7 +213,11 @@ class Tables:
     @cached_property
     def labelled_texts(self) -> DataFrame:
         """Documents with optional labels, a weak classifier's output and a fixed split."""
-        documents, labels = self.documents, self.raw("labels").withColumnRenamed("doc_id", "labelled_id")
+        # one row per document, so that Catalyst drops the join where no label is read
+        labels = self.raw("labels").groupBy(F.col("doc_id").alias("labelled_id")).agg(
+            F.max("quality").alias("quality"), F.max("toxic").alias("toxic")
+        )
+        documents = self.documents
         return documents.join(labels, documents.doc_id == labels.labelled_id, "left").selectExpr(
             "doc_id",
             "text",
