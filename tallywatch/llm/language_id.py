@@ -76,7 +76,8 @@ def fit(labelled: DataFrame, params: Params = Params()) -> Model:
     sizes = rows.groupBy("lang").agg(F.count("*").alias("texts"))
     place = F.pmod(F.xxhash64("doc_id", F.lit("language sample")), F.lit(1 << 30))
     share = F.col("texts").cast("double") / params.texts_per_language
-    sample = rows.join(sizes, "lang").filter(place * share < (1 << 30)).select("lang", "text")
+    # one row per language; the model itself holds far more for each of them
+    sample = rows.join(F.broadcast(sizes), "lang").filter(place * share < (1 << 30)).select("lang", "text")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("n").desc(), "word"))
     found = _word_counts(sample, params).withColumn("rank", rank).filter(F.col("rank") <= params.words_per_language)
     table = found.select("lang", "word", "n").toPandas()
