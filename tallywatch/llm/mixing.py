@@ -209,7 +209,9 @@ def mix(docs: DataFrame, params: Params = Params(), row: str | None = None) -> M
                         names=["shard", "slot", "src", "pass", "block"],
                     )
 
-    slots = numbered.mapInArrow(place, "shard long, slot long, src long, pass long, block long")
+    # a row stands for up to a shard of slots: dealt out anew, as the few rows would else share a task
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    slots = numbered.repartition(tasks, "src", "shard").mapInArrow(place, "shard long, slot long, src long, pass long, block long")
     return Mix(positions, slots, params)
 
 
