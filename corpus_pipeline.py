@@ -70,7 +70,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """
     numbered = docs.withColumn("_row", F.monotonically_increasing_id())
     mixed = mixing.mix(numbered, row="_row")
-    places = mixed.positions.select("src", "start", "row")
+    places = mixed.positions.filter("size > 0").select("src", "start", "row")  # empty texts share their place
     used = mixed.pieces().groupBy("src", "start", "pass").agg(F.sort_array(F.collect_list(F.struct("first", "n"))).alias("_spans"))
     spans = used.join(places, ["src", "start"]).select(F.col("row").alias("_row"), "pass", "_spans")
     joined = numbered.join(spans, "_row")

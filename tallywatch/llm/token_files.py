@@ -9,8 +9,9 @@ any stretch of ids is found and expanded without the rest (`Shard.read`).
 The file format is a Parquet table of shards, one row each, because only Spark's writers reach the shared storage of a
 cluster: `part` and `shard` give the order, `rules`, `sequence` and `lengths` are little-endian 32-bit numbers.
 
-Encoding works on units: a text is cut before every single space between two other characters, where the tokenizer cuts in
-any case; a unit's ids are kept for the next time it comes (`kept_units`). Texts with two white-space characters in a row
+Encoding works on units: a text is cut before single spaces, around other single white space, and between a letter and
+punctuation (A-Z and ASCII), where the tokenizer cuts in any case. The distinct units of some megabytes of text are encoded
+at once, and their ids are kept for the next time they come (`kept_units`). Texts with two white-space characters in a row
 or special tokens are encoded whole.
 
 Defined cases: a NULL or empty text has only the end id; rows without a doc_id come first; repeated rows are written each
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallywatch.llm.scratch import cut
+from tallywatch.llm import words as W
 
 
 @dataclass(frozen=True)
@@ -43,10 +44,11 @@ class Params:
     rounds: int = 6
     pairs_a_round: int = 2048
     least_count: int = 12
-    kept_units: int = 1_000_000
+    kept_units: int = 2_000_000
+    run_bytes: int = 8 << 20
 
 
-SHARDS = "part long, shard long, n long, docs array<struct<doc_id: long, n: long>>, rules binary, lengths binary, sequence binary"
+SHARDS = "part long, shard long, before long, n long, docs array<struct<doc_id: long, n: long>>, rules binary, lengths binary, sequence binary"
 
 
 # --- encoding -------------------------------------------------------------------------------------------------------
@@ -61,55 +63,103 @@ def _tokenizer(name: str):
     return Tokenizer.from_file(name if os.path.isabs(name) else public_tokenizers.path(name))
 
 
+def _before_spaces() -> np.ndarray:
+    """Bytes of ASCII letters (1) and of ASCII punctuation (2)."""
+    kind = np.zeros(256, dtype=np.uint8)
+    kind[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = 2
+    kind[[*range(65, 91), *range(97, 123)]] = 1
+    return kind
+
+
+_KIND = _before_spaces()
+
+
 class Encoder:
+    """Ids of texts, from the ids of their distinct units."""
+
     def __init__(self, params: Params):
         self.params = params
         self.tokenizer = _tokenizer(params.tokenizer)
-        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.whole = re.compile("|".join([r"\s\s", *map(re.escape, special)]))
-        self.known: dict[str, bytes] = {}
-        self.feed = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
-
-    def _learn(self, new: list[str]) -> None:
-        """Ids of new units. Plain words are encoded as lines of a text, which is quicker than text by text."""
-        words = [u for u in new if len(u.split()) == 1 and u.split()[0] in (u, u[1:])]
-        for low in range(0, len(words), 4096):
-            own = words[low : low + 4096]
-            ids = np.array(self.tokenizer.encode("\n".join(own) + "\n", add_special_tokens=False).ids, dtype="<u4")
-            ends = np.flatnonzero(ids == self.feed)
-            raw, begin = ids.tobytes(), 0
-            for unit, end in zip(own, (4 * ends).tolist(), strict=True):
-                self.known[unit] = raw[begin:end]
-                begin = end + 4
-        others = [u for u in new if u not in self.known]
-        self.known.update(zip(others, self._ids(others)))
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of every text with the end id."""
-        units = [None if self.whole.search(t) else (" " + t).replace(" ", "\0 ").split("\0")[1:] for t in texts]
-        for i, t in enumerate(texts):
-            if units[i] is not None and ("\0" in t or not t):
-                units[i] = None
-            elif units[i]:
-                units[i][0] = units[i][0][1:]
-                if not units[i][0]:
-                    units[i] = units[i][1:]
-        new = list(set().union(*[u for u in units if u]).difference(self.known))
-        if len(self.known) + len(new) > self.params.kept_units:
-            self.known = {u: i for u, i in self.known.items() if len(u) <= 7}  # short units come again most
-            new = list(set().union(*[u for u in units if u]).difference(self.known))
-        self._learn(new)
-        end = np.array([self.params.end_id], dtype="<u4").tobytes()
-        out = []
-        for text, own in zip(texts, units):
-            raw = b"".join(map(self.known.__getitem__, own)) if own else self._ids([text])[0] if text else b""
-            out.append(np.frombuffer(raw + end, dtype="<u4"))
+        special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile(b"|".join(map(re.escape, special)) or rb"(?!)")
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys = np.zeros(0, dtype=np.uint64)  # sorted hashes of known units
+        self.begin, self.count = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)  # where their ids are
+        self.ids = np.zeros(0, dtype=np.uint32)
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _whole(self, run: W.Run) -> np.ndarray:
+        """Rows to be encoded whole: white space touches white space, or a special token is there."""
+        data = run.data
+        ends = np.zeros(len(data) + 3, dtype=np.uint8)
+        ends[: len(data)] = data
+        one, two, three = ends[: len(data)], ends[1 : len(data) + 1], ends[2 : len(data) + 2]
+        inside = np.ones(len(data), dtype=bool)
+        inside[run.offsets[1:][run.offsets[1:] > 0] - 1] = False  # last bytes of rows
+        odd = W.SPACE[one] & W.SPACE[two] & inside
+        # white space beyond ASCII
+        odd |= (one >= 28) & (one <= 31) | (one == 0xC2) & ((two == 0x85) | (two == 0xA0)) | (one == 0xE1) & (two == 0x9A)
+        odd |= (one == 0xE2) & ((two == 0x81) & (three == 0x9F) | (two == 0x80) & ((three <= 0x8A) | (three == 0xA8) | (three == 0xA9) | (three == 0xAF)))
+        odd |= (one == 0xE3) & (two == 0x80) & (three == 0x80)
+        out = run.per_row(odd) > 0
+        for found in self.special.finditer(data.tobytes()):
+            out[np.searchsorted(run.offsets, found.start(), "right") - 1] = True
         return out
 
+    def _learn(self, units: list[str], keys: np.ndarray) -> None:
+        """Add units with their hashes."""
+        found = self._ids(units)
+        count = np.array([len(i) for i in found], dtype=np.int64)
+        ids = np.fromiter((x for i in found for x in i), dtype=np.uint32, count=int(count.sum()))
+        begin = len(self.ids) + np.cumsum(count) - count
+        order = np.argsort(every := np.concatenate([self.keys, keys]), kind="stable")
+        self.keys = every[order]
+        self.begin, self.count = np.concatenate([self.begin, begin])[order], np.concatenate([self.count, count])[order]
+        self.ids = np.concatenate([self.ids, ids])
+
+    def encode(self, run: W.Run) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows of a run one after the other, each with its end id, and how many each row has."""
+        data, whole = run.data, self._whole(run)
+        edge = np.zeros(len(data) + 1, dtype=bool)
+        edge[run.offsets] = True
+        space, kind = W.SPACE[data], _KIND[data]
+        edge[:-1] |= space
+        edge[1:] |= space & (data != 32)
+        edge[1:-1] |= (kind[:-1] == 1) & (kind[1:] == 2)
+        start = np.flatnonzero(edge[:-1])
+        end = np.append(start[1:], len(data))
+        row = np.searchsorted(run.offsets, start, "right") - 1
+        split = ~whole[row]
+        start, end, row = start[split], end[split], row[split]
+        keys, first, unit = np.unique(W.span_hashes(data, start, end), return_index=True, return_inverse=True)
+        if len(self.keys) + len(keys) > self.params.kept_units:
+            self._forget()
+        known = np.zeros(len(keys), dtype=bool)
+        if len(self.keys):
+            place = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            known = self.keys[place] == keys
+        raw = data.tobytes()
+        new = np.flatnonzero(~known)
+        self._learn([raw[a:b].decode("utf-8", "replace") for a, b in zip(start[first[new]], end[first[new]])], keys[new])
+        place = np.searchsorted(self.keys, keys)[unit]
+
+        # every row is a list of parts: its units, or its own ids, and the end id
+        n_end = np.flatnonzero(whole)
+        own = self._ids([raw[run.offsets[i] : run.offsets[i + 1]].decode("utf-8", "replace") for i in n_end])
+        table = np.concatenate([self.ids, [self.params.end_id], *own]).astype(np.uint32)
+        sizes = np.array([len(i) for i in own], dtype=np.int64)
+        rows = np.arange(run.n)
+        part_row = np.concatenate([row, n_end, rows])
+        order = np.argsort(part_row, kind="stable")
+        begin = np.concatenate([self.begin[place], len(self.ids) + 1 + np.cumsum(sizes) - sizes, np.full(run.n, len(self.ids))])[order]
+        count = np.concatenate([self.count[place], sizes, np.ones(run.n, dtype=np.int64)])[order]
+        at = np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+        return table[at], np.bincount(part_row[order], count, minlength=run.n).astype(np.int64)
+
 
 @lru_cache(maxsize=1)
 def _encoder(params: Params) -> Encoder:
@@ -120,15 +170,15 @@ def _encoder(params: Params) -> Encoder:
 # --- Re-Pair --------------------------------------------------------------------------------------------------------
 
 
-def _disjoint(hit: np.ndarray, sequence: np.ndarray) -> np.ndarray:
-    """Of the positions where a pair is to be replaced, every other one in runs that touch."""
-    at = np.flatnonzero(hit)
-    if not len(at):
-        return at
+_HASH = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _disjoint(at: np.ndarray) -> np.ndarray:
+    """Which of the ascending positions of pairs are replaced: every other one in runs that touch."""
     opens = np.ones(len(at), dtype=bool)
     opens[1:] = np.diff(at) != 1
     first = np.maximum.accumulate(np.where(opens, at, 0))
-    return at[(at - first) % 2 == 0]
+    return (at - first) % 2 == 0
 
 
 def compress(ids: np.ndarray, params: Params) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -152,11 +202,17 @@ def compress(ids: np.ndarray, params: Params) -> tuple[np.ndarray, np.ndarray, n
         if len(often) > params.pairs_a_round:
             often = often[np.argpartition(-counts[often], params.pairs_a_round)[: params.pairs_a_round]]
         keys = np.sort(order[edge[often]])
-        place = np.minimum(np.searchsorted(keys, pairs), len(keys) - 1)
-        at = _disjoint(keys[place] == pairs, sequence)
+        maybe = np.zeros(1 << 16, dtype=bool)  # most pairs are seen not to be among the keys by a hash of 16 bits
+        maybe[keys * _HASH >> np.uint64(48)] = True
+        near = np.flatnonzero(maybe[pairs * _HASH >> np.uint64(48)])
+        place = np.minimum(np.searchsorted(keys, pairs[near]), len(keys) - 1)
+        equal = keys[place] == pairs[near]
+        near, place = near[equal], place[equal]
+        kept = _disjoint(near)
+        at, place = near[kept], place[kept]
         new = np.stack([keys >> np.uint64(32), keys & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32)
         sequence = sequence.copy()
-        sequence[at] = (1 << 24) + made + place[at]
+        sequence[at] = (1 << 24) + made + place
         gone = np.zeros(len(sequence), dtype=bool)
         gone[at + 1] = True
         sequence = sequence[~gone]
@@ -207,31 +263,35 @@ def shards(docs: DataFrame, params: Params = Params()) -> DataFrame:
     """The shards of all texts, in the order of doc_id by (part, shard)."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, ids, names, count, size = _encoder(params), [], [], 0, 0
-        part = None
+        encoder, part, shard, before = _encoder(params), None, 0, 0
+        names: list = []  # of the texts that wait for the shard to fill
+        counts: list[int] = []
+        ids: list[np.ndarray] = []
 
         def flush() -> pa.RecordBatch:
             rules, lengths, sequence = compress(np.concatenate(ids), params)
-            docs = [{"doc_id": d, "n": len(i)} for d, i in zip(names, ids)]
-            values = [part, count, size, docs, rules.astype("<u4").tobytes(), lengths.astype("<u4").tobytes(), sequence.astype("<u4").tobytes()]
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("doc_id", pa.int64()), ("n", pa.int64())]))] + [pa.binary()] * 3
+            texts = [{"doc_id": d, "n": n} for d, n in zip(names, counts)]
+            raw = [x.astype("<u4").tobytes() for x in (rules, lengths, sequence)]
+            kinds = [pa.int64()] * 4 + [pa.list_(pa.struct([("doc_id", pa.int64()), ("n", pa.int64())]))] + [pa.binary()] * 3
             return pa.RecordBatch.from_arrays(
-                [pa.array([v], k) for v, k in zip(values, kinds)],
-                names=["part", "shard", "n", "docs", "rules", "lengths", "sequence"],
+                [pa.array([v], k) for v, k in zip([part, shard, before, sum(counts), texts, *raw], kinds)],
+                names=["part", "shard", "before", "n", "docs", "rules", "lengths", "sequence"],
             )
 
         for batch in batches:
             part = batch.column("part")[0].as_py() if batch.num_rows else part
-            for low in range(0, batch.num_rows, 256):
-                piece = batch.slice(low, 256)
-                for doc_id, own in zip(piece.column("doc_id").to_pylist(), encoder.encode(piece.column("text").to_pylist())):
-                    if size and size + len(own) > params.shard_ids:
+            for run in W.runs(batch.column("text"), params.run_bytes):
+                found, n = encoder.encode(run)
+                ends = np.cumsum(n)
+                for doc_id, low, high in zip(batch.column("doc_id")[run.rows].to_pylist(), (ends - n).tolist(), ends.tolist()):
+                    if counts and sum(counts) + high - low > params.shard_ids:
                         yield flush()
-                        ids, names, count, size = [], [], count + 1, 0
-                    ids.append(own)
+                        before, shard = before + sum(counts), shard + 1
+                        names, counts, ids = [], [], []
                     names.append(doc_id)
-                    size += len(own)
-        if size:
+                    counts.append(high - low)
+                    ids.append(found[low:high])
+        if counts:
             yield flush()
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -246,14 +306,12 @@ def write(docs: DataFrame, path: str, params: Params = Params()) -> None:
 
 
 def read_back(files: DataFrame) -> DataFrame:
-    """Every text's ids from its files: (doc_id, start, n_tokens, ids_crc32, shard_start)."""
-    tops = files.groupBy("part").agg(F.sum("n").alias("total"))
-    before = F.coalesce(F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    inside = F.coalesce(
-        F.sum("n").over(Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-    )
-    starts = files.select("part", "shard", inside.alias("inside")).join(tops.select("part", before.alias("before")), "part")
-    placed = files.join(starts.select("part", "shard", (F.col("inside") + F.col("before")).alias("shard_start")), ["part", "shard"])
+    """Every text's ids from its files: (doc_id, start, n_tokens, ids_crc32)."""
+    totals = files.groupBy("part").agg(F.sum("n").alias("total"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per writing task, as many as the shuffle had partitions
+    starts = totals.select("part", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("part_start"))
+    placed = files.join(F.broadcast(starts), "part").withColumn("shard_start", F.col("part_start") + F.col("before"))
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
