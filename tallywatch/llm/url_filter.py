@@ -7,8 +7,8 @@ A host is blocked when its distrust exceeds its trust by `threshold`, counted in
 follow the host.
 
 Links are absolute or protocol-relative `href` values; links inside a host carry nothing. Everything is a DataFrame
-expression; rules are matched once per host, pages only meet the rules of their host. Counting per host and per edge is
-combined before the shuffle, so one host may own most pages.
+expression; the rules, a list of moderate length, are matched where the pages are read. Counting per host and per edge is
+combined before the shuffle, and the last join, with blocked hosts, can be split, so one host may own most pages.
 
 Defined cases: a NULL url or one without `://` has empty host and path, no rule and is allowed; NULL html has no links;
 rounds stop when no score moves by `tolerance`; repeated rows are judged alike and count as pages of their own; an empty
@@ -62,26 +62,21 @@ def addressed(pages: DataFrame) -> DataFrame:
     return pages.withColumns({"host": F.coalesce(host, F.lit("")), "path": F.coalesce(path, F.lit(""))})
 
 
-def host_rules(hosts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
-    """The rules that fit each host: (host, fitting) with structs of path, length, rule and verdict."""
-    spark = hosts.sparkSession
+def _ruled(pages: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    """Pages with the rule that wins and its verdict, NULL when none fits; the rules are part of the expression."""
     listed = F.array(
-        *[F.struct(F.lit(r.host).alias("suffix"), F.lit(r.path).alias("path"), F.lit(r.pattern).alias("rule"), F.lit(r.verdict).alias("verdict")) for r in rules]
+        *[
+            F.struct(
+                F.lit(len(r.pattern)).alias("length"), F.lit(r.pattern).alias("rule"), F.lit(r.host).alias("host"),
+                F.lit(r.path).alias("path"), F.lit(r.verdict).alias("verdict"),
+            )
+            for r in rules
+        ]
     )
-    table = spark.range(1).select(F.inline(listed))
-    labels = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    parts = hosts.select("host", F.explode(suffixes).alias("suffix"))
-    fit = F.struct(F.length("rule").alias("length"), "rule", "path", "verdict")
-    return parts.join(table, "suffix").groupBy("host").agg(F.collect_list(fit).alias("fitting"))
-
-
-def _ruled(pages: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
-    """Pages with the rule that wins and its verdict, NULL when none fits."""
-    hosts = pages.select("host").distinct()
-    found = pages.join(host_rules(hosts, rules), "host", "left")
-    own = F.filter("fitting", lambda r: F.startswith(F.col("path"), r["path"]))
-    return found.withColumn("_won", F.array_max(own)).select(
+    host, path = F.col("host"), F.col("path")
+    under = lambda r: (host == r["host"]) | F.endswith(host, F.concat(F.lit("."), r["host"]))
+    won = F.array_max(F.filter(listed, lambda r: under(r) & F.startswith(path, r["path"])))
+    return pages.withColumn("_won", won).select(
         *pages.columns, F.col("_won.rule").alias("rule"), F.col("_won.verdict").alias("rule_verdict")
     )
 
