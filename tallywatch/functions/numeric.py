@@ -60,9 +60,24 @@ def kolmogorov_p(distance: Column, n_ref: Column, n_cur: Column, terms: int = 10
     return F.when(lam < 0.2, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), series)))
 
 
+LARGE = 10_000
+
+
+def normal_p(z: Column) -> Column:
+    """Two-sided p-value of a standard normal `z` >= 0 (rational approximation of the error function, 7.1.26)."""
+    x = z / math.sqrt(2.0)
+    t = 1.0 / (1.0 + 0.3275911 * x)
+    series = t * (0.254829592 + t * (-0.284496736 + t * (1.421413741 + t * (-1.453152027 + t * 1.061405429))))
+    return F.least(F.lit(1.0), series * F.exp(-x * x))
+
+
 def student_t_p(r: Column, n: Column) -> Column:
-    """Two-sided p-value of a correlation `r` over `n` points, from the closed form for whole degrees of freedom."""
-    df = (n - 2).cast("int")
+    """Two-sided p-value of a correlation `r` over `n` points, from the closed form for whole degrees of freedom.
+
+    The closed form is a sum of n / 2 terms; above `LARGE` points the normal limit is taken instead (error below 1e-4).
+    """
+    large = n > LARGE
+    df = F.when(large, LARGE).otherwise(n - 2).cast("int")
     theta = F.atan(F.abs(r) * F.sqrt(df / (1 - r * r)) / F.sqrt(df.cast("double")))
     cos2 = F.cos(theta) * F.cos(theta)
     odd = df % 2 == 1
@@ -82,7 +97,8 @@ def student_t_p(r: Column, n: Column) -> Column:
     inside = F.when(odd, (2.0 / math.pi) * (theta + F.sin(theta) * F.cos(theta) * total)).otherwise(F.sin(theta) * total)
     p = F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1.0 - inside))
     return (
-        F.when(df < 1, F.lit(1.0)).when(r.isNull(), 1.0).when(F.abs(r) >= 1.0 - 1e-15, 0.0).otherwise(p)
+        F.when(df < 1, F.lit(1.0)).when(r.isNull(), 1.0).when(F.abs(r) >= 1.0 - 1e-15, 0.0)
+        .when(large, normal_p(F.abs(r) * F.sqrt((n - 2) / (1 - r * r)))).otherwise(p)
     )
 
 

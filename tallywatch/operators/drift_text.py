@@ -89,11 +89,18 @@ class TermWeights:
 
 
 def term_weights(weights: TermWeights, texts: DataFrame, id_column: str = "doc_id", column: str = "text") -> DataFrame:
-    """Long form of the vectors: one row per text and known term."""
-    vectors = weights.transform(texts.select(id_column, column), column)
-    names = F.array(*[F.lit(t) for t in weights.terms])
-    pairs = F.arrays_zip(names.alias("term"), vector_to_array("tfidf").alias("weight"))
-    return vectors.select(id_column, F.inline(F.filter(pairs, lambda p: p["weight"] > 0)))
+    """Long form of the unit-length vectors: one row per text and known term.
+
+    Only a text's own terms are looked at; unknown ones fall away where the text is read, before anything is shuffled.
+    """
+    known = texts.sparkSession.createDataFrame(list(zip(weights.terms, weights.idf)), "term string, idf double")
+    each = add_terms(texts.select(id_column, column), column, weights.stop_words, "_terms").select(
+        id_column, F.explode("_terms").alias("term")
+    )
+    # the fitted terms are at most `max_features` rows
+    counted = each.join(F.broadcast(known), "term").groupBy(id_column, "term").agg((F.count("*") * F.first("idf")).alias("_x"))
+    norm = F.sqrt(F.sum(F.col("_x") * F.col("_x")).over(Window.partitionBy(id_column)))
+    return counted.select(id_column, "term", (F.col("_x") / norm).alias("weight")).filter("weight > 0")
 
 
 def centroid_table(weights: TermWeights, texts: DataFrame, column: str = "text") -> DataFrame:

@@ -119,6 +119,39 @@ def _(t: Tables):
     return scoring.weighted_metrics(scoring.score_texts(model, _split(t, "test").drop("predicted_label")))
 
 
+# what SQL can know of a trained model: its examples and classes per split, and that its F1 is a share
+EVALUATED = """WITH n AS (SELECT split, label, count(*) AS n FROM labelled_texts WHERE label IS NOT NULL GROUP BY 1, 2)
+  SELECT split, CAST(sum(n) AS BIGINT) AS examples, count(*) AS classes, true AS f1_is_share FROM n
+  WHERE split IN ({splits}) GROUP BY split"""
+
+
+def _evaluated(scored):
+    labelled = scored.filter(F.col("label").isNotNull())
+    classes = labelled.groupBy("split").agg(F.count_distinct("label").alias("classes"))
+    found = scoring.weighted_metrics(labelled, ["split"]).join(classes, "split")
+    return found.select("split", "examples", "classes", F.col("f1").between(0, 1).alias("f1_is_share"))
+
+
+@query("G15_trained_evaluation", "labelled_texts", EVALUATED.format(splits="'validation', 'test'"))
+def _(t: Tables):
+    model = scoring.train_classifier(_split(t, "train"))
+    return _evaluated(scoring.score_texts(model, _split(t, "validation", "test").drop("predicted_label")))
+
+
+@query("G16_searched_evaluation", "labelled_texts", EVALUATED.format(splits="'test'"))
+def _(t: Tables):
+    model, tried = scoring.search_classifier(_split(t, "train"))
+    if len(tried) != 3:
+        raise ValueError(f"{len(tried)} trials instead of 3")
+    return _evaluated(scoring.score_texts(model, _split(t, "test").drop("predicted_label")))
+
+
+@query("G18_quick_run_evaluation", "labelled_texts", EVALUATED.format(splits="'test'"))
+def _(t: Tables):
+    model = scoring.train_classifier(_split(t, "train"), max_samples=1000)
+    return _evaluated(scoring.score_texts(model, _split(t, "test").drop("predicted_label")))
+
+
 @query(
     "F1_batched_map",
     "",

@@ -151,6 +151,24 @@ def _(t: Tables):
     )
 
 
+@query(
+    "T3_approximate_within_bound",
+    "prediction_logs",
+    """SELECT CAST(date_trunc('day', predicted_at) AS TIMESTAMP) AS window_start, endpoint, true AS within_bound
+    FROM prediction_logs GROUP BY 1, 2 HAVING count(prediction_time) > 0""",
+)
+def _(t: Tables):
+    # an approximate quantile lies between the exact quantiles a rank error of 1 / accuracy away, widened to whole rows
+    labels, value, width = ["endpoint"], F.col("prediction_time"), "1 day"
+    rough = series.approximate_window_quantiles(t.logs, "predicted_at", labels, value, {"p95": 0.95}, width)
+    around = series.exact_window_quantiles(t.logs, "predicted_at", labels, value, {"low": 0.90, "high": 1.0}, width)
+    joined = rough.join(around, ["window_start", "endpoint"])
+    return joined.select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"), "endpoint",
+        F.col("p95").between(F.col("low"), F.col("high")).alias("within_bound"),
+    )
+
+
 @query(
     "T4_mean_confidence",
     "prediction_logs",

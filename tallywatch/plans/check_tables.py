@@ -11,6 +11,7 @@ from tallywatch.operators.drift_text import TextReference
 from tallywatch.plans.check_drift import MONITOR
 from tallywatch.plans.check_entities import LIFECYCLE
 from tallywatch.plans.check_usage import AS_OF
+from tallywatch.plans.monitor import write_monitor
 from tallywatch.plans.registry import query, settled
 from tallywatch.sources import tables
 from tallywatch.sources.canonical import Tables, alert_events_from_lines, logs_from_events
@@ -117,6 +118,90 @@ def _(t: Tables):
     return tables.column_profile(t.raw("lineitem"), exact=False)
 
 
+@query(
+    "S10_approximate_within_bound",
+    "",
+    """SELECT unnest(['l_orderkey', 'l_partkey', 'l_returnflag', 'l_tax']) AS "column", (SELECT count(*) FROM lineitem) AS "rows",
+      true AS within_bound""",
+)
+def _(t: Tables):
+    # the sketch's relative error is 5 %; four times that is never left
+    names = ["l_orderkey", "l_partkey", "l_returnflag", "l_tax"]
+    rough = tables.column_profile(t.raw("lineitem"), names, exact=False)
+    exact = tables.column_profile(t.raw("lineitem"), names).select("column", F.col("n_distinct").alias("exact"))
+    error = F.abs(F.col("n_distinct") - F.col("exact")) / F.col("exact")
+    return rough.join(exact, "column").select("column", "rows", (error <= 0.2).alias("within_bound"))
+
+
+@query("S2_saved_splits", "labelled_texts", "SELECT doc_id, label, split FROM labelled_texts")
+def _(t: Tables):
+    path = scratch_folder(t.spark, "splits")
+    tables.save_splits(t.labelled_texts.select("doc_id", "label", "split"), path)
+    return t.spark.read.parquet(path).select("doc_id", "label", "split")
+
+
+@query("S3_loaded_or_built", "labelled_texts", "SELECT split, count(*) AS texts FROM labelled_texts GROUP BY 1")
+def _(t: Tables):
+    path, texts = scratch_folder(t.spark, "built"), t.labelled_texts.select("doc_id", "split")
+    tables.load_or_build(t.spark, path, lambda: texts)
+    saved = tables.load_or_build(t.spark, path, lambda: texts.limit(0))  # there by now: not built again
+    return saved.groupBy("split").agg(F.count("*").alias("texts"))
+
+
+@query(
+    "S5_appended_runs",
+    "",
+    """SELECT CAST(p_partkey AS VARCHAR) AS id, p_brand AS experiment_name, 'RUNNING' AS status,
+      TIMESTAMP '2024-01-01 00:00:00' AS created_at FROM part""",
+)
+def _(t: Tables):
+    path, now = scratch_folder(t.spark, "runs"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    runs = t.runs.select("id", "mlflow_run_id", "experiment_name", "run_name", F.lit("m").alias("model_name"), F.lit("d").alias("dataset_name"))
+    for part in (runs.filter("id % 2 = 0"), runs.filter("id % 2 = 1")):
+        tables.append_rows(part, "experiment_runs", path, now)
+    return t.spark.read.parquet(path).select("id", "experiment_name", "status", "created_at")
+
+
+@query(
+    "S5_appended_feedback",
+    "feedback",
+    """SELECT CAST(prediction_id AS INT) AS prediction_id, feedback_score AS actual_sentiment, 'user' AS feedback_type,
+      TIMESTAMP '2024-01-01 00:00:00' AS created_at FROM feedback""",
+)
+def _(t: Tables):
+    path, now = scratch_folder(t.spark, "feedback"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    rows = t.feedback.select(
+        F.col("prediction_id").alias("id"), "prediction_id", F.col("feedback_score").alias("actual_sentiment"),
+        F.col("comments").alias("user_feedback"),
+    )
+    tables.append_rows(rows, "feedback", path, now)
+    return t.spark.read.parquet(path).select("prediction_id", "actual_sentiment", "feedback_type", "created_at")
+
+
+@query(
+    "S5_written_drift_reports",
+    "prediction_logs text_logs labelled_texts",
+    f"""{MONITOR} SELECT drift_type AS report_type, is_drift_detected AS drift_detected, {settled("drift_score")} AS drift_score
+    FROM results WHERE deployment_id IN (SELECT deployment_id FROM busy)""",
+)
+def _(t: Tables):
+    path = scratch_folder(t.spark, "reports")
+    reference = TextReference.fit(reference_texts(t.labelled_texts.select("doc_id", "split", "text")))
+    write_monitor(path, reference, t.logs, AS_OF, t.with_texts)
+    return _settle(t.spark.read.parquet(path).select("report_type", "drift_detected", "drift_score"), "drift_score")
+
+
+@query(
+    "S6_exported_json",
+    "model_deployments",
+    "SELECT id, deployment_name, status, avg_response_time FROM model_deployments",
+)
+def _(t: Tables):
+    path = scratch_folder(t.spark, "json")
+    tables.export_json(t.deployments, path)
+    return t.spark.read.schema("id string, deployment_name string, status string, avg_response_time double").json(path)
+
+
 def _folders(t: Tables, name: str) -> tuple[str, str]:
     base = scratch_folder(t.spark, name)
     return f"{base}/out", f"{base}/checkpoint"

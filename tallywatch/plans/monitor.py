@@ -12,6 +12,7 @@ from tallywatch.operators.alerts import drift_alerts
 from tallywatch.operators.drift_stats import concept_drift, model_drift
 from tallywatch.operators.drift_text import TextReference
 from tallywatch.operators.filters import since
+from tallywatch.sources.tables import append_rows
 
 MIN_ROWS = 10
 RESULT = (
@@ -77,18 +78,30 @@ def run_monitor(*args, **kwargs) -> DataFrame:
     return results
 
 
+def report_rows(results: DataFrame) -> DataFrame:
+    """Result rows as rows of the drift reports: everything but type, verdict and score is JSON."""
+    data = F.to_json(F.struct("deployment_id", "confidence", "details", "error"), {"ignoreNullFields": "false"})
+    return results.select(
+        F.pmod(F.xxhash64("deployment_id", "drift_type", "details", "error"), F.lit(2**31 - 1)).cast("int").alias("id"),
+        F.col("drift_type").alias("report_type"),
+        F.col("is_drift_detected").alias("drift_detected"),
+        "drift_score",
+        data.alias("report_data"),
+    )
+
+
 def write_monitor(path: str, *args, **kwargs) -> list[str]:
-    """Append every check's rows on its own, so one failing job does not stop the others; the names that failed.
+    """Append every check's rows to the drift reports on its own, so one failing job does not stop the others.
 
-    A check that failed leaves a row with its error.
+    A check that failed leaves a row with its error; the names of those are returned.
     """
     failed = []
     for name, build in drift_checks(*args, **kwargs).items():
         try:
-            build().write.mode("append").parquet(path)
+            append_rows(report_rows(build()), "drift_reports", path)
         except Exception as error:
             log.exception("drift check %s failed", name)
-            failure(SparkSession.active(), name, error).write.mode("append").parquet(path)
+            append_rows(report_rows(failure(SparkSession.active(), name, error)), "drift_reports", path)
             failed.append(name)
     return failed
 

@@ -15,6 +15,7 @@ NOTIFY_SEVERITY = ("HIGH", "CRITICAL")
 SENTIMENTS = ("POSITIVE", "NEGATIVE")
 LABELS = (0, 1)
 
+# Names and types of the tables' columns.
 EXPERIMENT_RUNS = (
     "id STRING, mlflow_run_id STRING, experiment_name STRING, run_name STRING, status STRING, model_name STRING,"
     "model_version STRING, dataset_name STRING, accuracy DOUBLE, f1_score DOUBLE, precision DOUBLE, recall DOUBLE,"
@@ -47,6 +48,13 @@ MONITORING_ALERTS = (
     "resolved_by STRING, resolution_notes STRING, triggered_at TIMESTAMP_NTZ, acknowledged_at TIMESTAMP_NTZ,"
     "resolved_at TIMESTAMP_NTZ, alert_data STRING"
 )
+DRIFT_REPORTS = (
+    "id INT, created_at TIMESTAMP_NTZ, report_type STRING, drift_detected BOOLEAN, drift_score DOUBLE, report_data STRING"
+)
+FEEDBACK = (
+    "id INT, created_at TIMESTAMP_NTZ, prediction_id INT, actual_sentiment DOUBLE, user_feedback STRING,"
+    "feedback_type STRING"
+)
 
 # DDL text of each table; `table_schema` parses it once a session is running
 TABLES = {
@@ -55,6 +63,8 @@ TABLES = {
     "dataset_metrics": DATASET_METRICS,
     "prediction_logs": PREDICTION_LOGS,
     "monitoring_alerts": MONITORING_ALERTS,
+    "drift_reports": DRIFT_REPORTS,
+    "feedback": FEEDBACK,
 }
 
 # What an appended row gets where the column is NULL or absent; NOW stands for the append time.
@@ -74,6 +84,8 @@ DEFAULTS: dict[str, dict[str, object]] = {
     "dataset_metrics": {"is_drift_detected": False, "computed_at": NOW, "created_at": NOW},
     "prediction_logs": {"predicted_at": NOW},
     "monitoring_alerts": {"severity": "MEDIUM", "status": "ACTIVE", "triggered_at": NOW},
+    "drift_reports": {"created_at": NOW, "drift_detected": False},
+    "feedback": {"created_at": NOW, "feedback_type": "user"},
 }
 REQUIRED: dict[str, tuple[str, ...]] = {
     "experiment_runs": ("id", "mlflow_run_id", "experiment_name", "run_name", "model_name", "dataset_name"),
@@ -81,6 +93,8 @@ REQUIRED: dict[str, tuple[str, ...]] = {
     "dataset_metrics": ("id", "dataset_name", "split_name", "num_examples"),
     "prediction_logs": ("id", "deployment_id", "request_id", "input_text"),
     "monitoring_alerts": ("id", "alert_type", "title"),
+    "drift_reports": ("id", "report_type"),
+    "feedback": ("id",),
 }
 
 

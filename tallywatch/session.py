@@ -11,6 +11,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # streaming state is kept on disk, so it may outgrow the executors' memory
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # P15 collects at most max_length ids per text; the hash path keeps that aggregation from sorting
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
 }
