@@ -1,5 +1,9 @@
 """License scan: parts of texts compared with license templates by the Dice coefficient over word bigrams.
 
+A text that reaches the coefficient t with a template of b bigrams shares at least b * t / (2 - t) of them, so it has one of
+any larger rest of the template's bigrams. Of every template such a rest is taken, the bigrams with the longest words, and
+texts and units without any of those words are passed over.
+
 A text's units are the text, its paragraphs and its lines; they and the templates are normalised (lower case, runs of other
 characters than letters and digits become one space). A unit and a template with n and b distinct bigrams can only reach a
 coefficient t when b * t / (2 - t) <= n <= b * (2 - t) / t, which prunes units before their bigrams are looked at, and
@@ -13,6 +17,8 @@ result. Other columns of the input are ignored.
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -64,8 +70,13 @@ TEMPLATES: dict[str, str] = {
 LEAST = 0.75
 
 
+def _split(text):
+    """Words of the normalised text, with empty ones at its ends."""
+    return F.split(F.lower(F.regexp_replace(text, r"[^\p{L}\p{N}]+", " ")), " ")
+
+
 def _words(text):
-    return F.filter(F.split(F.lower(F.regexp_replace(text, r"[^\p{L}\p{N}]+", " ")), " "), lambda w: w != "")
+    return F.filter(_split(text), lambda w: w != "")
 
 
 def _bigrams(words):
@@ -80,11 +91,27 @@ def template_bigrams(spark, templates: dict[str, str]) -> DataFrame:
     return table.select("license", F.size("bigrams").alias("b"), F.explode("bigrams").alias("bigram"))
 
 
+def anchors(known: list, least: float) -> list[str]:
+    """Words of which every text that reaches the coefficient has at least one, from rows of `template_bigrams`."""
+    of: dict[str, list[str]] = {}
+    for row in known:
+        of.setdefault(row["license"], []).append(row["bigram"])
+    words = set()
+    for bigrams in of.values():
+        rest = len(bigrams) - ceil(len(bigrams) * least / (2 - least) - 1e-9) + 1
+        longest = sorted((max(b.split(" "), key=lambda w: (len(w), w)) for b in bigrams), key=lambda w: (-len(w), w))
+        words.update(longest[:rest])
+    return sorted(words)
+
+
 def matches(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float = LEAST) -> DataFrame:
     """All units that reach the coefficient: (row, kind, unit, license, dice); `docs` has row and text."""
     known = template_bigrams(docs.sparkSession, templates)
-    span = known.agg(F.min("b").alias("low"), F.max("b").alias("high")).first()
-    low, high = (span["low"] or 1) * least / (2 - least), (span["high"] or 0) * (2 - least) / least
+    rows = known.collect()  # as many as the list of templates has bigrams
+    sizes = [row["b"] for row in rows] or [0]
+    low, high = min(sizes) * least / (2 - least), max(sizes) * (2 - least) / least
+    wanted = F.array(*[F.lit(w) for w in anchors(rows, least)]).cast("array<string>")
+    docs = docs.filter(F.arrays_overlap(_split(F.col("text")), wanted))
     lines, paragraphs = F.split("text", "\n"), F.split("text", r"\n[ \t\r]*\n")
 
     def units(parts, kind: str):
@@ -92,7 +119,7 @@ def matches(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float
         return made if kind == "text" else F.when(F.size(parts) > 1, made).otherwise(F.slice(made, 1, 0))
 
     every = F.concat(units(F.array("text"), "text"), units(paragraphs, "paragraph"), units(lines, "line"))
-    split = docs.filter("text IS NOT NULL").select("row", F.inline(every)).withColumn("words", _words(F.col("part"))).filter(F.size("words") > low)
+    split = docs.filter("text IS NOT NULL").select("row", F.inline(every)).filter(F.arrays_overlap(_split(F.col("part")), wanted)).withColumn("words", _words(F.col("part"))).filter(F.size("words") > low)
     sized = split.select("row", "kind", "unit", _bigrams(F.col("words")).alias("bigrams")).withColumn("n", F.size("bigrams"))
     opened = sized.filter(F.col("n").between(low, high)).select("row", "kind", "unit", "n", F.explode("bigrams").alias("bigram"))
     fits = F.col("n").between(F.col("b") * least / (2 - least), F.col("b") * (2 - least) / least)
