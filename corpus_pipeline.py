@@ -5,7 +5,7 @@ Between stages `run` writes Parquet to the shared folder of `spark.checkpoint.di
 failed stage costs no more than that stage.
 
 A null, empty or very long text, a tie, a repeated row, an empty table and extra columns are treated as the operators'
-docstrings say; rows whose text is exactly repeated are near duplicates of each other, also when they repeat a doc_id.
+docstrings say. Stages number the rows of the table they are given, which is a written one, so numbers are the same in every job.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,17 +50,16 @@ def check_rules(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 def deduplicate(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each near-duplicate group: the one with the smallest doc_id.
 
-    Rows that repeat that doc_id are copies as well: of those with equal content one stays.
+    Rows that repeat a doc_id are copies as well: the first of them stays. Rows without a doc_id all stay. What goes is found
+    on row numbers and ids alone, so the texts meet it in one join.
     """
+    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    narrow = numbered.filter("doc_id IS NOT NULL").select("_row", "doc_id")
     groups = near_dedup.near_duplicates(docs, near_dedup.Params(width=5))
-    gone = groups.filter("NOT kept").select("doc_id").distinct()
-    repeated = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
-    left = docs.join(gone, "doc_id", "left_anti")
-    single = left.join(repeated, "doc_id", "left_anti")
-    # a stable order of equal ids; only ids that come more than once are sorted
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(*[F.col(f"`{c}`") for c in docs.columns if c != "doc_id"]))
-    again = left.join(repeated, "doc_id", "left_semi").withColumn("_first", first).filter("_first = 1").drop("_first")
-    return single.union(again.select(*single.columns)).select(*docs.columns)
+    gone = narrow.join(groups.filter("NOT kept").select("doc_id").distinct(), "doc_id", "left_semi").select("_row")
+    first = narrow.groupBy("doc_id").agg(F.min("_row").alias("first"), F.count("*").alias("n")).filter("n > 1")
+    later = narrow.join(first, "doc_id").filter("_row <> first").select("_row")
+    return numbered.join(scratch.cut(gone.union(later).distinct()), "_row", "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
