@@ -341,3 +341,50 @@ def test_newest_page_and_lookback_bound(spark):
     frame = logs(spark, *[("d", "POSITIVE", 0.5, 1.0, h) for h in (1, 1, 2, 24, 25)])
     assert [r.id for r in filters.newest(frame, "predicted_at", 2, offset=1).collect()] == [0, 2]
     assert filters.since(frame, "predicted_at", NOW, hours=24).count() == 4
+
+
+def test_reference_is_the_whole_validation_split(spark):
+    rows = [(i, "validation", "alpha beta") for i in range(1000)] + [(1000, "validation", "gamma gamma gamma"), (1001, "train", "delta")]
+    texts = spark.createDataFrame(rows, "doc_id int, split string, text string")
+    current = spark.createDataFrame([("d", "gamma gamma gamma")], "deployment_id string, input_text string")
+    scores = []
+    for chosen in (datasets.reference_texts(texts), datasets.reference_sample(texts, 1000)):
+        scores.append(TextReference.fit(chosen).data_drift(current).first().drift_score)
+    assert datasets.reference_texts(texts).count() == 1001 and scores[0] != scores[1] == 1.0
+
+
+def test_a_shifted_column_is_spread_over_the_pieces(spark):
+    from tallywatch.functions.ordered import bucket_of, value_bounds
+
+    reference = spark.range(2000).select((F.col("id") / 2000).alias("x"))
+    current = reference.select((F.col("x") + 5).alias("x"))
+    bounds = value_bounds(reference.union(current), ["x"], 16)["x"]
+    counts = [r["count"] for r in current.groupBy(bucket_of(F.col("x"), bounds).alias("b")).count().collect()]
+    assert len(counts) >= 7 and max(counts) < 600
+    found = drift_columns.numeric_drift(reference, current, ["x"]).first()
+    assert found.ks_statistic == 1.0 and found.drift_detected
+
+
+def test_large_samples_take_the_normal_limit(spark):
+    from tallywatch.functions.numeric import student_t_p
+
+    rows = [(0.02, 9_999), (0.02, 10_001), (0.0, 1_000_000), (0.5, 1_000_000)]
+    got = [r.p for r in spark.createDataFrame(rows, "r double, n long").select(student_t_p(F.col("r"), F.col("n")).alias("p")).collect()]
+    assert got[0] == pytest.approx(got[1], abs=1e-3) and got[2] == pytest.approx(1.0, abs=1e-6) and got[3] == 0.0
+
+
+def test_sliding_rates_equal_counts_of_their_windows(spark):
+    rows = [(NOW + timedelta(seconds=s),) for s in (0, 1, 59, 60, 61, 150, 299, 301)]
+    found = series.rates(spark.createDataFrame(rows, "ts timestamp_ntz"), "ts", [], 120, 60).collect()
+    for r in found:
+        assert r.events == sum(r.window_start <= t < r.window_start + timedelta(seconds=120) for t, in rows)
+    assert len(found) == 7
+
+
+def test_requests_at_their_default_limits(spark):
+    hits = [("h", i, NOW + timedelta(seconds=s)) for i, s in enumerate((0, 300, 601))]
+    frame = spark.createDataFrame(hits, "input_hash string, id int, predicted_at timestamp_ntz")
+    assert [r.seconds_since for r in requests.repeats_within(frame).orderBy("id").collect()] == [None, 300.0, 301.0]
+    calls = [("c", NOW + timedelta(milliseconds=500 * i)) for i in range(110)] + [("d", NOW)]
+    over = requests.over_rate(spark.createDataFrame(calls, "client string, ts timestamp_ntz"), ["client"], "ts").collect()
+    assert {r.client for r in over} == {"c"} and len(over) == 10

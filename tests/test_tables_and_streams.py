@@ -140,3 +140,23 @@ def test_drift_watch_keeps_going_when_a_check_fails(spark, tmp_path):
     assert {r.drift_type for r in found if r.error is None} == {"concept", "model"}
     assert [(r.drift_type, r.deployment_id) for r in found if r.error] == [("data", None)]
     assert [r.alert_type for r in spark.read.parquet(f"{out}/alerts").collect()] == ["CONCEPT_DRIFT"]
+
+
+def test_drift_watch_looks_back_over_all_batches(spark, tmp_path):
+    from tallywatch.operators.drift_stats import model_drift
+    from tallywatch.operators.drift_text import TextReference
+
+    reference = TextReference.fit(spark.createDataFrame([("alpha beta",), ("gamma delta",)], "text string"))
+    schema = "id int, deployment_id string, predicted_sentiment string, confidence_score double, prediction_time double, predicted_at timestamp_ntz, input_text string"
+    source, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    everything = []
+    for day in range(5):
+        rows = [(100 * day + i, "d", "POSITIVE", 0.95 - 0.15 * day, 1.0, NOW + timedelta(days=day, minutes=i), "alpha") for i in range(12)]
+        everything += rows
+        _arrive(spark.createDataFrame(rows, schema), source, f"f{day}")
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(source)
+        jobs.watch_drift(stream, reference, out, check).awaitTermination()
+    moment = str(max(r[5] for r in everything))
+    batch = model_drift(spark.createDataFrame(everything, schema), moment).first()
+    found = spark.read.parquet(f"{out}/results").filter("batch = 4 AND drift_type = 'model'").first()
+    assert batch.is_drift_detected and found.is_drift_detected and found.drift_score == pytest.approx(batch.drift_score)
