@@ -37,7 +37,7 @@ _UNITS = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
 class Params:
     vocabulary: str = "/opt/tokenizers/piece_bpe_32k.model"
     chunk_chars: int = 1 << 16
-    kept_units: int = 500_000
+    kept_units: int = 250_000
 
 
 def marked(text: str) -> str:
@@ -248,8 +248,8 @@ def encode(docs: DataFrame, keep: list[str], params: Params = Params(), check: b
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(params)
         for batch in batches:
-            for low in range(0, batch.num_rows, 512):
-                part = batch.slice(low, 512)
+            for low in range(0, batch.num_rows, 256):
+                part = batch.slice(low, 256)
                 texts = part.column("text").to_pylist()
                 done = "ids" in part.schema.names
                 ids = part.column("ids").to_pylist() if done else encoder.encode([marked(t) for t in texts])

@@ -13,8 +13,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-RUN_BYTES = 4 << 20
-BLOCK_BYTES = 1 << 20
+RUN_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -120,6 +120,7 @@ def runs(column: pa.Array | pa.ChunkedArray, run_bytes: int = RUN_BYTES) -> Iter
         stop = min(stop, len(column))
         yield Run(slice(at, stop), data[offsets[at] : offsets[stop]], offsets[at : stop + 1] - offsets[at])
         at = stop
+    pa.default_memory_pool().release_unused()  # a reused worker would keep what its largest batch took
 
 
 def windows(values: np.ndarray, row: np.ndarray, width: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
