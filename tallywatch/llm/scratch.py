@@ -13,7 +13,7 @@ def _shared(spark: SparkSession) -> str:
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder and not context.master.startswith("local["):
+        if not folder and context.master != "local" and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tallywatch-"))
     return context._jsc.sc().getCheckpointDir().get()
