@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tallywatch.llm.scratch import cut
 
+EDGES_A_PART = 500_000  # edges are two numbers: fewer, fuller partitions write fewer shuffle files
+
 
 def components(edges: DataFrame) -> DataFrame:
     """Every id in `edges` (columns a, b; any order, repeats allowed) with the smallest id it can reach: (id, component).
@@ -23,11 +25,12 @@ def components(edges: DataFrame) -> DataFrame:
     seen = None
     while True:
         mark = current.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
+        parts = 1 + mark["n"] // EDGES_A_PART
         if seen == mark or mark["n"] == 0:
             return current.select(F.col("u").alias("id"), F.col("v").alias("component")).union(
                 current.select("v", "v")
-            ).groupBy("id").agg(F.min("component").alias("component"))
-        seen = mark
+            ).groupBy("id").agg(F.min("component").alias("component")).coalesce(parts)
+        seen, current = mark, current.coalesce(parts)
         both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(lowest, "u").filter("v > u AND v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
