@@ -4,7 +4,7 @@ A rule is a host with a path prefix and a verdict; it fits its host and all subd
 and of several the longest wins. Hosts are seeds by the share of their pages that rules allow (trust) or block (distrust).
 Trust follows links (personalised PageRank), distrust goes against them, so a host that links to blocked hosts earns it.
 A host is blocked when its distrust exceeds its trust by `threshold`, counted in whole seeds; its pages that no rule fits
-follow the host.
+follow the host. Hosts that are only link targets have no pages to count; a rule for the whole host makes them whole seeds.
 
 Links are absolute or protocol-relative `href` values; links inside a host carry nothing. Everything is a DataFrame
 expression; the rules, a list of moderate length, are matched where the pages are read. Counting per host and per edge is
@@ -125,8 +125,12 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...], params: Params = Params())
             F.struct(F.lit("distrust").alias("kind"), (F.col("blocked") / F.col("pages")).alias("score")),
         )
     )
-    seeds = cut(counts.select("host", kinds).filter("score > 0"))
-    scores = propagate(cut(host_edges(placed.select("host", "html"))), seeds, params)
+    edges = cut(host_edges(placed.select("host", "html")))
+    linked = edges.select(F.col("target").alias("host"), F.lit("/").alias("path")).distinct().join(counts.select("host"), "host", "left_anti")
+    kind = F.when(F.col("rule_verdict") == "allow", "trust").otherwise("distrust").alias("kind")
+    uncrawled = _ruled(linked, rules).filter("rule_verdict IS NOT NULL").select("host", kind, F.lit(1.0).alias("score"))
+    seeds = cut(counts.select("host", kinds).filter("score > 0").union(uncrawled))
+    scores = propagate(edges, seeds, params)
     signed = F.when(F.col("kind") == "distrust", F.col("score")).otherwise(-F.col("score"))
     # settled, so that the order of summing does not decide at the threshold
     bad = scores.groupBy("host").agg(F.round(F.sum(signed), 9).alias("surplus")).filter(F.col("surplus") >= params.threshold)

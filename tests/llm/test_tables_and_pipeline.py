@@ -56,6 +56,15 @@ def test_distrust_goes_against_links_and_trust_along(spark):
     assert found == {"bad.com": "block", "good.com": "allow", "friend.com": "allow", "fan.com": "block", "other.com": "block", "alone.com": "allow"}
 
 
+def test_hosts_without_pages_are_seeds(spark):
+    rows = [page(1, "http://fan.com/", "http://spam.net/a", "http://x.junk.net/"), page(2, "http://plain.com/", "http://elsewhere.com/"),
+            page(3, "http://part.com/", "http://example.com/de/"), page(4, "http://spam.net.com/")]
+    rules = catalog.URL_RULES
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.host: r.verdict for r in url_filter.judge(df, rules, url_filter.Params(threshold=0.4)).collect()}
+    assert found == {"fan.com": "block", "plain.com": "allow", "part.com": "allow", "spam.net.com": "allow"}
+
+
 def test_url_filter_equals_its_oracle_with_links(spark):
     import duckdb
 
