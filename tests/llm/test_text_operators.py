@@ -102,6 +102,33 @@ def test_license_scan_finds_wrapped_and_changed_notices(spark):
     assert licenses.scan(empty(spark)).collect() == []
 
 
+def laid_out(text: str, width: int, indent: str = "") -> str:
+    import textwrap
+
+    return "\n".join(textwrap.wrap(text, width, initial_indent=indent, subsequent_indent=indent))
+
+
+def test_license_scan_finds_notices_that_are_no_unit(spark):
+    code = "\n".join(f"def f{i}(x): return x + {i}" for i in range(40))
+    mit, gpl, apache = (licenses.TEMPLATES[k] for k in ("MIT-text", "GPL-3.0-header", "Apache-2.0-header"))
+    cuts = mit.index("The above"), mit.index("THE SOFTWARE IS")
+    usual = "\n\n".join(laid_out(p, 70) for p in (mit[: cuts[0]], mit[cuts[0] : cuts[1]], mit[cuts[1] :]))
+    three = "\n#\n".join(laid_out(p, 60, "# ") for p in (gpl[:290], gpl[290:560], gpl[560:]))
+    rows = [
+        (1, "Copyright 2020 A. Person\n\n" + usual + "\n\n" + code), (2, three + "\n" + code), (3, code + "\n" + laid_out(apache, 50, "// ") + "\n" + code),
+        (4, "The code is released under the MIT License, see the file for what else there is to know"),
+        (5, code), (6, usual + "\n\n" + code + "\n\n" + usual), (7, "Released under the MIT License."),
+        (8, "of the software in the software and the of this software " * 50),
+        (9, code + "\nParts are licensed under CC BY-NC 4.0 as well, and all the other parts are released under the MIT License as it is"),
+    ]
+    found = by_id(licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert {i: r.license for i, r in found.items()} == {
+        1: "MIT-text", 2: "GPL-3.0-header", 3: "Apache-2.0", 4: "MIT", 5: None, 6: "MIT-text", 7: "MIT", 8: None, 9: "CC-BY-NC-4.0",
+    }
+    assert all(found[i].dice > 0.9 for i in (1, 2, 3, 4, 6, 7, 9))
+    assert [found[i].n_matches for i in (1, 2, 4, 5, 6, 7, 9)] == [1, 1, 1, 0, 2, 1, 2]
+
+
 # --- quality classifier
 
 
