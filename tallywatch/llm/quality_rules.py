@@ -1,14 +1,15 @@
 """Quality rules by distribution divergence.
 
 Every text is compared with references of the languages in the corpus: the Jensen-Shannon distance of its
-character-class histogram and of its common-word histogram to the nearest reference. Short texts are not judged by a
+character-class histogram and of its common-word histogram to one and the same reference: its own language's when the text
+is within the limits there, else that of the smallest sum. Short texts are not judged by a
 distance (`min_words`). The references come from all texts: a language's common words are the words that make up at least
 `common_share` of its words, so there are at most 1 / common_share of them.
 
 Counting is exact and its tables are bounded. A task first reports only words above an eighth of that share in what it has
 read; a word at the full share keeps at least 7/8 of its count this way, so at most 8 / (7 * common_share) candidates per
-language remain, and those are then counted in full. Languages (NULL is one of its own) below `language_share` of all words
-get no reference.
+language remain, and those are then counted in full. Languages (NULL is one of its own) below `language_words` words get no
+reference, and their texts pass the distances.
 
 Defined cases: a NULL or empty text has no words and fails the base rules; texts below `min_words` words pass the
 distances; without references (empty table) nothing fails by distance; repeated rows are judged alike; other columns of the
@@ -55,7 +56,7 @@ class Limits:
     max_class_distance: float = 0.30
     max_word_distance: float = 0.45
     common_share: float = 0.004
-    language_share: float = 0.001
+    language_words: int = 1000
     base_min_words: int = 10
     base_repeat_percent: int = 20
 
@@ -211,9 +212,8 @@ def references(docs: DataFrame, limits: Limits = Limits()) -> References:
     share = limits.common_share
     first = cut(_tally(docs, None, share / 8))
     totals = first.filter("kind = 'total' AND n > 0").select("lang", F.col("n").alias("total"))
-    everything = totals.agg(F.sum("total")).first()[0] or 0
-    large = totals.filter(F.col("total") >= limits.language_share * everything)  # at most 1 / language_share rows
-    kept = first.join(F.broadcast(large), first["lang"].eqNullSafe(large["lang"])).drop(large["lang"])
+    large = totals.filter(F.col("total") >= limits.language_words)
+    kept = first.join(large, first["lang"].eqNullSafe(large["lang"])).drop(large["lang"])
     found = kept.filter((F.col("kind") != "word") | (F.col("n") >= 0.875 * share * F.col("total"))).collect()
     languages = sorted({r["lang"] for r in found}, key=lambda x: (x is None, x))
     place = {name: i for i, name in enumerate(languages)}
@@ -227,7 +227,7 @@ def references(docs: DataFrame, limits: Limits = Limits()) -> References:
     counts = np.zeros((len(languages), len(candidates)))
     if len(candidates):
         second = _tally(docs, candidates, 0.0).filter("kind = 'word'")
-        for r in second.join(F.broadcast(large), second["lang"].eqNullSafe(large["lang"])).drop(large["lang"]).collect():
+        for r in second.join(large, second["lang"].eqNullSafe(large["lang"])).drop(large["lang"]).collect():
             counts[place[r["lang"]], np.searchsorted(candidates, np.int64(r["key"]).view(np.uint64))] = r["n"]
     common = counts / np.maximum(total, 1)[:, None]
     common[common < share] = 0
@@ -237,11 +237,19 @@ def references(docs: DataFrame, limits: Limits = Limits()) -> References:
     return References(tuple(languages), candidates[used], _shares(classes), np.hstack([common, rest]))
 
 
-def distances(run: W.Run, refs: References) -> tuple[np.ndarray, np.ndarray]:
-    """Distance of each row's class and common-word shares to the nearest language reference; 0 without references."""
-    near_class, near_word = np.zeros(run.n), np.zeros(run.n)
+def word_limits(refs: References, limits: Limits = Limits()) -> np.ndarray:
+    """Largest word distance to each reference."""
+    return np.full(len(refs.languages), limits.max_word_distance)
+
+
+def distances(run: W.Run, refs: References, own: np.ndarray, limits: Limits = Limits()) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Class and common-word distance of each row to one reference, and whether they are over the limits.
+
+    `own` is the place of each row's language among the references, -1 without one: such rows are never over the limits.
+    """
+    by_class, by_word, far = np.zeros(run.n), np.zeros(run.n), np.zeros(run.n, dtype=bool)
     if not refs.languages:
-        return near_class, near_word
+        return by_class, by_word, far
     hashes, row = _word_hashes(run)
     place = np.searchsorted(refs.hashes, hashes)
     place[place == len(refs.hashes)] = 0
@@ -250,21 +258,34 @@ def distances(run: W.Run, refs: References) -> tuple[np.ndarray, np.ndarray]:
         place = np.where(refs.hashes[place] == hashes, place, width)
     seen = np.bincount(row * (width + 1) + place, minlength=run.n * (width + 1)).reshape(run.n, width + 1)
     classes, seen = _shares(_classes(run)), _shares(seen)
-    by_class, by_word = [], []
-    for own_class, own_word in zip(refs.classes, refs.words):
-        common = np.append(own_word[:-1] > 0, True)  # words common in other languages only are "other" here
-        folded = seen[:, common].copy()
-        folded[:, -1] += seen[:, ~common].sum(axis=1)
-        by_class.append(_js(classes, own_class))
-        by_word.append(_js(folded, own_word[common]))
-    return np.min(by_class, axis=0), np.min(by_word, axis=0)
+    most = word_limits(refs, limits)
+
+    def to(k: int, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        common = np.append(refs.words[k, :-1] > 0, True)  # words common in other languages only are "other" here
+        folded = seen[np.ix_(rows, common)]
+        folded[:, -1] += seen[np.ix_(rows, ~common)].sum(axis=1)
+        one = _js(classes[rows], refs.classes[k])
+        two = _js(folded, refs.words[k, common]) if np.isfinite(most[k]) else np.zeros(len(rows))
+        return one, two, (one > limits.max_class_distance) | (two > most[k])
+
+    for k in np.unique(own[own >= 0]):
+        rows = np.flatnonzero(own == k)
+        by_class[rows], by_word[rows], far[rows] = to(int(k), rows)
+    rows = np.flatnonzero(far | (own < 0))
+    if len(rows):
+        every = [to(k, rows) for k in range(len(refs.languages))]
+        near = np.argmin([one + two for one, two, _ in every], axis=0)
+        at = np.arange(len(rows))
+        by_class[rows], by_word[rows], over = (np.stack([e[i] for e in every])[near, at] for i in range(3))
+        far[rows] = over & (own[rows] >= 0)
+    return by_class, by_word, far
 
 
 JUDGED = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, class_distance double, word_distance double, kept boolean"
 
 
 def judge(docs: DataFrame, refs: References, limits: Limits = Limits(), keep: list[str] | None = None, only_kept: bool = False) -> DataFrame:
-    """Add features, distances and the verdict to every row; `keep` names the columns to carry along (default all).
+    """Add features, distances and the verdict to every row (columns text, lang); `keep` names the columns to carry along (default all).
 
     `only_kept` returns the kept rows with the carried columns alone.
     """
@@ -273,14 +294,16 @@ def judge(docs: DataFrame, refs: References, limits: Limits = Limits(), keep: li
     added = T._parse_datatype_string(JUDGED)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = {name: i for i, name in enumerate(refs.languages)}
         for batch in batches:
+            langs = batch.column("_lang").to_pylist()
             for run in W.runs(batch.column("_text")):
                 out = _base(run)
                 out["base_failed"] = (out["n_words"] < limits.base_min_words) | (
                     100 * out["n_repeat_words"] > limits.base_repeat_percent * out["n_words"]
                 )
-                out["class_distance"], out["word_distance"] = distances(run, refs)
-                far = (out["class_distance"] > limits.max_class_distance) | (out["word_distance"] > limits.max_word_distance)
+                own = np.array([places.get(x, -1) for x in langs[run.rows]], dtype=np.int64)
+                out["class_distance"], out["word_distance"], far = distances(run, refs, own, limits)
                 out["kept"] = ~out["base_failed"] & ~(far & (out["n_words"] >= limits.min_words))
                 part = batch.slice(run.rows.start, run.n)
                 arrays = [part.column(f"_{i}") for i in range(len(columns))]
@@ -292,6 +315,6 @@ def judge(docs: DataFrame, refs: References, limits: Limits = Limits(), keep: li
 
     fields = [T.StructField(f"_{i}", docs.schema[c].dataType) for i, c in enumerate(columns)]
     schema = T.StructType(fields + ([] if only_kept else list(added)))
-    made = docs.select(*carried, F.col("text").cast("string").alias("_text")).mapInArrow(work, schema)
+    made = docs.select(*carried, F.col("text").cast("string").alias("_text"), F.col("lang").cast("string").alias("_lang")).mapInArrow(work, schema)
     back = [F.col(f"_{i}").alias(c) for i, c in enumerate(columns)]
     return made.select(*back) if only_kept else made.select(*back, *added.names)

@@ -310,6 +310,28 @@ def test_rules_on_awkward_rows(spark):
     assert all(r.kept != r.base_failed for r in quality_rules.judge(docs, nothing, keep=["doc_id"]).collect())
 
 
+def spoken(words_: list[str], seed: int, n: int) -> str:
+    rng = random.Random(seed)
+    return " ".join(rng.choice(words_[:12]) if rng.random() < 0.4 else rng.choice(words_[12:]) + rng.choice(words_[12:]) for _ in range(n))
+
+
+LATIN = "the of and to in is that it was for on with river stone garden letter winter market silver mountain window paper".split()
+GREEK = "και του της το να με για από στο που δεν είναι θάλασσα βουνό δρόμος σπίτι χρόνος κόσμος λόγος ήλιος".split()
+
+
+def judged(spark, rows: list[tuple]) -> dict:
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    return by_id(quality_rules.judge(docs, quality_rules.references(docs)))
+
+
+def test_texts_of_small_languages_are_kept(spark):
+    """A language below 0.1% of all words, once with words enough for a reference and once without."""
+    english = [(i, spoken(LATIN, i, 20_000), "en") for i in range(120)]
+    greek = [(1000 + i, spoken(GREEK, i, 700), "el") for i in range(3)]
+    assert all(r.kept for r in judged(spark, english + greek).values())
+    assert all(r.kept for r in judged(spark, english + greek[:1]).values())
+
+
 # --- piece encoding
 
 
