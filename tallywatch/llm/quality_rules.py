@@ -2,7 +2,8 @@
 
 Every text is compared with references of the languages in the corpus: the Jensen-Shannon distance of its
 character-class histogram and of its common-word histogram to one and the same reference: its own language's when the text
-is within the limits there, else that of the smallest sum. Short texts are not judged by a
+is within the limits there, else that of the smallest sum. The word limit stays below the distance that a text without any
+common word has (`word_limits`); references with less than `common_mass` of common words have no word rule. Short texts are not judged by a
 distance (`min_words`). The references come from all texts: a language's common words are the words that make up at least
 `common_share` of its words, so there are at most 1 / common_share of them.
 
@@ -57,6 +58,8 @@ class Limits:
     max_word_distance: float = 0.45
     common_share: float = 0.004
     language_words: int = 1000
+    common_mass: float = 0.05
+    word_margin: float = 0.95
     base_min_words: int = 10
     base_repeat_percent: int = 20
 
@@ -238,8 +241,11 @@ def references(docs: DataFrame, limits: Limits = Limits()) -> References:
 
 
 def word_limits(refs: References, limits: Limits = Limits()) -> np.ndarray:
-    """Largest word distance to each reference."""
-    return np.full(len(refs.languages), limits.max_word_distance)
+    """Largest word distance to each reference; infinite where too few words are common for a rule."""
+    none = np.zeros(refs.words.shape)
+    none[:, -1] = 1
+    bare = np.array([_js(p[None, :], q)[0] for p, q in zip(none, refs.words)])
+    return np.where(1 - refs.words[:, -1] < limits.common_mass, np.inf, np.minimum(limits.max_word_distance, limits.word_margin * bare))
 
 
 def distances(run: W.Run, refs: References, own: np.ndarray, limits: Limits = Limits()) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -332,6 +332,15 @@ def test_texts_of_small_languages_are_kept(spark):
     assert all(r.kept for r in judged(spark, english + greek[:1]).values())
 
 
+def test_texts_without_common_words_are_dropped_whatever_the_languages(spark):
+    rng = random.Random(9)
+    english = [(i, spoken(LATIN, i, 300), "en") for i in range(100)]
+    unspaced = [(1000 + i, " ".join("".join(rng.choice("日本語漢字学校時間") for _ in range(30)) for _ in range(60)), "ja") for i in range(40)]
+    random_letters = [(2000 + i, " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(80)), "en") for i in range(2)]
+    found = judged(spark, english + unspaced + random_letters)
+    assert {i for i, r in found.items() if not r.kept} == {2000, 2001}
+
+
 # --- piece encoding
 
 
