@@ -11,7 +11,7 @@ coefficient t when b * t / (2 - t) <= n <= b * (2 - t) / t, which prunes units b
 templates for every unit. Bigrams find their templates by an equality join with the templates' bigrams, a table as large as
 the list of templates; only bigrams that a template has are grouped, and they are counted before the shuffle.
 
-Of the forms and versions that a place matches the best by Dice
+`scan` compares with `TEMPLATES` and the further `FORMS`; of the forms and versions that a place matches the best by Dice
 counts, so a place is one match. The SQL of `oracle` covers units and `TEMPLATES`.
 
 Defined cases: NULL and empty texts and texts of one word match nothing; of equally good matches the template that sorts
@@ -27,6 +27,7 @@ from math import ceil
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallywatch.llm.license_forms import FORMS
 from tallywatch.llm.scratch import cut
 
 # Names and texts of public license notices.
@@ -74,7 +75,7 @@ TEMPLATES: dict[str, str] = {
     ),
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
-ALL: dict[str, str] = TEMPLATES
+ALL: dict[str, str] = TEMPLATES | FORMS
 LEAST = 0.75
 BLANK = r"\n[ \t\r]*\n"  # between paragraphs
 MARGIN = 0.25  # of the least score: how far a window may fall below its peak before it ends

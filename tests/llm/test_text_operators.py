@@ -129,6 +129,22 @@ def test_license_scan_finds_notices_that_are_no_unit(spark):
     assert [found[i].n_matches for i in (1, 2, 4, 5, 6, 7, 9)] == [1, 1, 1, 0, 2, 1, 2]
 
 
+def test_license_versions_and_forms_by_name(spark):
+    texts = {
+        "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
+        "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
+        "LGPL-2.1": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        "AGPL-3.0-header": licenses.ALL["AGPL-3.0-header"], "BSD-2-Clause-text": licenses.ALL["BSD-2-Clause-text"],
+        "BSD-3-Clause-text": licenses.ALL["BSD-3-Clause-text"].replace("copyright holder nor", "University nor"),
+        "CC-BY-3.0-short": "Licensed under CC BY 3.0.", "CC0-1.0": "This work is released under CC0 1.0 Universal.",
+        "GPL-2.0-full": licenses.ALL["GPL-2.0-full"].replace("Everyone", "Anyone"), "MPL-2.0-full": licenses.ALL["MPL-2.0-full"],
+        "Apache-2.0-full": licenses.ALL["Apache-2.0-full"].split("APPENDIX")[0],
+    }
+    rows = list(enumerate(texts.values()))
+    found = by_id(licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert [found[i].license for i in range(len(rows))] == list(texts)
+
+
 # --- quality classifier
 
 
