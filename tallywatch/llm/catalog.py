@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywatch.llm import (
+    decontamination,
+    hard_negatives,
     language_id,
+    lexical_search,
     licenses,
     mixing,
     near_dedup,
@@ -39,6 +42,9 @@ WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CA
     FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id)
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS "rank", vec_id, score
 FROM s QUALIFY "rank" <= 20""",
+    "op11_lexical_search": lexical_search.ORACLE,
+    "op12_decontamination": decontamination.ORACLE,
+    "op13_hard_negatives": hard_negatives.ORACLE,
 }
 
 
@@ -96,6 +102,20 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_back(spark.read.schema(token_files.SHARDS).parquet(path))
 
 
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.rank(_table(spark, folder, "benchmark"), _table(spark, folder, "documents"))
+
+
+def op12_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    index = decontamination.build(_table(spark, folder, "documents"))
+    return decontamination.verdicts(index, decontamination.phrases(index, _table(spark, folder, "benchmark")))
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _table(spark, folder, "embeddings").withColumn("label", F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END"))
+    return hard_negatives.mine(rows.filter("vec_id % 100 = 0"), rows)
+
+
 _QUERIES = (
     op1_language_id,
     op2_license_scan,
@@ -107,5 +127,8 @@ _QUERIES = (
     op8_sentencepiece,
     op9_vector_search,
     op10_token_files,
+    op11_lexical_search,
+    op12_decontamination,
+    op13_hard_negatives,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _QUERIES}

@@ -20,6 +20,8 @@ _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
+NO_TERM = np.ones(256, dtype=bool)  # all but ASCII digits and letters and the bytes of other characters
+NO_TERM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -79,13 +81,13 @@ class Run:
     def n(self) -> int:
         return len(self.offsets) - 1
 
-    def words(self, data: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Byte positions where words begin and end, and the row each belongs to, in order."""
+    def words(self, data: np.ndarray | None = None, outside: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Byte positions where words (runs of bytes not in `outside`) begin and end, and the row each belongs to, in order."""
         data = self.data if data is None else data
         if not len(data):
             none = np.zeros(0, dtype=np.int64)
             return none, none, none
-        inside = ~SPACE[data]
+        inside = ~outside[data]
         edge = np.zeros(len(data) + 1, dtype=bool)
         edge[self.offsets] = True
         before = np.zeros(len(data), dtype=bool)
@@ -97,6 +99,12 @@ class Run:
         start = np.flatnonzero(begins)
         return start, np.flatnonzero(ends) + 1, np.searchsorted(self.offsets, start, "right") - 1
 
+    def terms(self) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the lower-cased runs of ASCII letters, digits and other characters, and the row of each, in order."""
+        data = LOWER[self.data]
+        start, end, row = self.words(data, NO_TERM)
+        return span_hashes(data, start, end), row
+
     def per_row(self, flags: np.ndarray) -> np.ndarray:
         """Number of set flags among the bytes of each row."""
         sums = np.zeros(len(flags) + 1, dtype=np.int64)
