@@ -91,8 +91,8 @@ class Block:
         order = np.argsort(ids, kind="stable")
         self.ids, self.labels = ids[order], np.asarray(table.column("label").to_pylist(), dtype=object)[order]
         self.weights, self.norm = _matrix(table.column("weights"))[order], table.column("norm").to_numpy()[order]
-        flat = table.column("angles").combine_chunks()
-        self.angles = np.asarray(flat.flatten(), dtype=np.float64).reshape(len(ids), -1)[order]
+        angles = np.asarray(table.column("angles").combine_chunks().flatten(), dtype=np.float64)
+        self.angles = angles.reshape(len(ids), len(angles) // max(len(ids), 1))[order]
 
     def bounds(self, norm: float, angles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Lower and upper bounds of the scores with a vector of this norm and these angles."""
