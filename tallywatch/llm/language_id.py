@@ -5,7 +5,8 @@ segmentations by a forward algorithm, a text's is the product over its words (A-
 no piece crosses a word mark), and the languages' posterior with equal priors is the score.
 
 The piece probabilities are fitted by expectation maximisation on a bounded sample of labelled rows: at most about
-`texts_per_language` texts of each language, chosen by a hash, and of their words the `words_per_language` most frequent.
+`texts_per_language` texts of each language, chosen by a hash, with all their words. Words of scripts without spaces are cut
+where no piece spans before they are summed, which changes no sum and keeps their cost that of short words.
 Scoring reads whole texts and is a narrow pass; a word's scores are kept between batches of a task up to `kept_words`.
 
 Defined cases: NULL texts and texts without a letter are `und` with score 0; ties go to the language that sorts first; when
@@ -23,10 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from tallywatch.llm import words as W
-from tallywatch.llm.lattice import SPACE, Lattice, distinct_words, in_batches, vocabulary
+from tallywatch.llm.lattice import SPACE, Lattice, cut_units, distinct_words, in_batches, vocabulary
 
 UNKNOWN = "und"
 
@@ -35,7 +35,6 @@ UNKNOWN = "und"
 class Params:
     vocabulary: str = "/opt/tokenizers/piece_bpe_32k.model"
     texts_per_language: int = 600
-    words_per_language: int = 30_000
     rounds: int = 3
     smoothing: float = 0.02
     kept_words: int = 1_000_000
@@ -78,9 +77,7 @@ def fit(labelled: DataFrame, params: Params = Params()) -> Model:
     share = F.col("texts").cast("double") / params.texts_per_language
     # one row per language; the model itself holds far more for each of them
     sample = rows.join(F.broadcast(sizes), "lang").filter(place * share < (1 << 30)).select("lang", "text")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("n").desc(), "word"))
-    found = _word_counts(sample, params).withColumn("rank", rank).filter(F.col("rank") <= params.words_per_language)
-    table = found.select("lang", "word", "n").toPandas()
+    table = _word_counts(sample, params).toPandas()  # the words of a bounded number of texts
     vocab = vocabulary(params.vocabulary)
     languages = tuple(sorted(table["lang"].unique()))
     logs = np.empty((vocab.size + 1, len(languages)))
@@ -91,12 +88,11 @@ def fit(labelled: DataFrame, params: Params = Params()) -> Model:
     number = {w: i for i, w in enumerate(words)}
     counts = np.zeros((len(words), len(languages)))
     counts[table["word"].map(number), table["lang"].map(languages.index)] = table["n"]
-    units = [SPACE + w for w in words]
-    batches = [(b, Lattice(vocab, [units[i] for i in b])) for b in in_batches(units)]
+    units, owner = cut_units(vocab, [SPACE + w for w in words])
     for _ in range(params.rounds):
         uses = np.full_like(logs, params.smoothing)
-        for batch, lattice in batches:
-            uses += lattice.expected(logs, counts[batch])
+        for batch in in_batches(units):
+            uses += Lattice(vocab, [units[i] for i in batch]).expected(logs, counts[owner[batch]])
         logs = np.log(uses / uses.sum(axis=0))
     return Model(languages, logs, params)
 
@@ -124,9 +120,15 @@ class _Scorer:
         values[known] = self.values[place[known]]
         new = np.flatnonzero(~known)
         raw = data.tobytes()
-        units = [SPACE + raw[a:b].decode("utf-8", "replace") for a, b in zip(start[new], end[new])]
-        for batch in in_batches(units):
-            values[new[batch]] = Lattice(self.vocab, [units[i] for i in batch]).scores(self.model.logs)
+        units, owner = cut_units(self.vocab, [SPACE + raw[a:b].decode("utf-8", "replace") for a, b in zip(start[new], end[new])])
+        distinct = list(dict.fromkeys(units))  # parts of long words repeat
+        number = {u: i for i, u in enumerate(distinct)}
+        sums = np.empty((len(distinct), values.shape[1]))
+        for batch in in_batches(distinct):
+            sums[batch] = Lattice(self.vocab, [distinct[i] for i in batch]).scores(self.model.logs)
+        part = np.fromiter((number[u] for u in units), dtype=np.int64, count=len(units))
+        for k in range(values.shape[1]):
+            values[new, k] = np.bincount(owner, sums[part, k], minlength=len(new))
         if len(self.keys) + len(new) > self.model.params.kept_words:
             self.clear()
             new = new[: self.model.params.kept_words]

@@ -189,6 +189,35 @@ class Lattice:
         return out
 
 
+def cut_units(vocab: Vocabulary, units: list[str], longer: int = 32, block: int = 1 << 16) -> tuple[list[str], np.ndarray]:
+    """The units with long ones cut wherever no piece spans, and the unit that each part belongs to.
+
+    Every path goes through such a place, so sums over paths, best paths and their ties are those of the whole unit. Scripts
+    written without spaces fall into parts of few characters.
+    """
+    parts, owner = [], []
+    for i, unit in enumerate(units):
+        if len(unit) <= longer:
+            parts.append(unit)
+            owner.append(i)
+            continue
+        chars = np.frombuffer(unit.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        inside = np.zeros(len(chars) + 1, dtype=bool)  # whether an edge reaches over the place before a character
+        for low in range(0, len(chars), block):
+            part = chars[low : low + block + vocab.longest]
+            edge = vocab.edges(part, np.full(len(part), len(part)))[:, :block]
+            change = np.zeros(len(part) + 2, dtype=np.int64)
+            for m in range(2, vocab.longest + 1):
+                begin = np.flatnonzero(edge[m - 1] >= 0)
+                np.add.at(change, begin + 1, 1)
+                np.add.at(change, begin + m, -1)
+            inside[low : low + len(part) + 1] |= np.cumsum(change)[: len(part) + 1] > 0
+        cuts = np.flatnonzero(~inside).tolist()
+        parts += [unit[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+        owner += [i] * (len(cuts) - 1)
+    return parts, np.array(owner, dtype=np.int64)
+
+
 def in_batches(units: list[str], chars: int = 1 << 16):
     """Index ranges of the units with about so many characters each, units of similar length together."""
     order = sorted(range(len(units)), key=lambda i: len(units[i]))

@@ -4,8 +4,8 @@ A text is a bag of passages of `passage_words` words. Every passage is described
 repetition and hashed words, and encoded by a learned layer; gated attention, learned from the labels of whole texts, weighs
 the passages, and the weighted sum of their encodings is scored.
 
-The model is fitted on a bounded sample of labelled texts: about `sample_texts` of them, chosen by a hash, and at most
-`sample_passages` passages of each, evenly spread over the text. Scoring takes all passages of whole texts in one narrow
+The model is fitted on a bounded sample of labelled texts: about `sample_texts` of them, chosen by a hash, with all their
+passages; of different texts under one id the first in order is taken. Scoring takes all passages of whole texts in one narrow
 pass and holds a few megabytes of text at a time.
 
 Defined cases: a NULL or empty text is one passage without words and gets that passage's score; rows without an id or label
@@ -51,7 +51,6 @@ FEATURES = _KINDS + _SHAPES + _HASHED
 class Params:
     passage_words: int = 64
     sample_texts: int = 4000
-    sample_passages: int = 64
     encoded: int = 24
     gated: int = 12
     epochs: int = 30
@@ -201,16 +200,14 @@ def fit(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Model:
     )
     place = F.pmod(F.xxhash64("doc_id", F.lit("quality sample")), F.lit(1 << 30))
     sample = agreed.filter(place < int((1 << 30) * min(1.0, params.sample_texts / max(agreed.count(), 1))))
-    size, most = params.passage_words, params.sample_passages
+    size = params.passage_words
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for run in W.runs(batch.column("text")):
                 features, owner = passages(run, size)
-                bags = []
-                for i in range(run.n):
-                    own = features[owner == i]
-                    bags.append(own[np.unique(np.linspace(0, len(own) - 1, min(most, len(own))).astype(int))].tobytes())
+                cuts = np.searchsorted(owner, np.arange(run.n + 1))
+                bags = [features[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
                 part = batch.slice(run.rows.start, run.n)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("label"), pa.array(bags, pa.binary())], names=["doc_id", "label", "bag"]
@@ -218,7 +215,9 @@ def fit(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Model:
 
     # the sample has about `sample_texts` rows of two numbers, whatever the input
     joined = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(sample.select("doc_id", "label")), "doc_id")
-    rows = joined.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("long").alias("label"), "text")
+    rows = joined.groupBy(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("long").alias("label")).agg(
+        F.min(F.coalesce("text", F.lit(""))).alias("text")
+    )
     found = rows.mapInArrow(describe, "doc_id long, label long, bag binary").toPandas().sort_values(["doc_id", "bag"])
     bags = [np.frombuffer(b, dtype=np.float32).reshape(-1, FEATURES).astype(np.float64) for b in found["bag"]]
     return train(bags, found["label"].to_numpy(dtype=np.float64), params)

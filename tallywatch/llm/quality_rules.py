@@ -10,10 +10,10 @@ distance (`min_words`). The references come from all texts: a language's common
 Counting is exact and its tables are bounded. A task first reports only words above an eighth of that share in what it has
 read; a word at the full share keeps at least 7/8 of its count this way, so at most 8 / (7 * common_share) candidates per
 language remain, and those are then counted in full. Languages (NULL is one of its own) below `language_words` words get no
-reference, and their texts pass the distances.
+reference: nothing can be said about their texts, which pass the distances and say so in `reason`.
 
 Defined cases: a NULL or empty text has no words and fails the base rules; texts below `min_words` words pass the
-distances; without references (empty table) nothing fails by distance; repeated rows are judged alike; other columns of the
+distances (`reason` tells: base, distance, too short, no reference, or NULL for a text that was judged and kept); without references (empty table) nothing fails by distance; repeated rows are judged alike; other columns of the
 input are kept by `judge` and ignored by `references`.
 """
 
@@ -287,7 +287,10 @@ def distances(run: W.Run, refs: References, own: np.ndarray, limits: Limits = Li
     return by_class, by_word, far
 
 
-JUDGED = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, class_distance double, word_distance double, kept boolean"
+JUDGED = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, class_distance double, word_distance double, kept boolean, reason string"
+
+
+_REASONS = np.array(["base", "too short", "no reference", "distance", None], dtype=object)
 
 
 def judge(docs: DataFrame, refs: References, limits: Limits = Limits(), keep: list[str] | None = None, only_kept: bool = False) -> DataFrame:
@@ -310,13 +313,16 @@ def judge(docs: DataFrame, refs: References, limits: Limits = Limits(), keep: li
                 )
                 own = np.array([places.get(x, -1) for x in langs[run.rows]], dtype=np.int64)
                 out["class_distance"], out["word_distance"], far = distances(run, refs, own, limits)
-                out["kept"] = ~out["base_failed"] & ~(far & (out["n_words"] >= limits.min_words))
+                long = out["n_words"] >= limits.min_words
+                out["kept"] = ~out["base_failed"] & ~(far & long)
+                cases = [out["base_failed"], ~long, own < 0, far]
+                out["reason"] = np.select(cases, _REASONS[:4], _REASONS[4])
                 part = batch.slice(run.rows.start, run.n)
                 arrays = [part.column(f"_{i}") for i in range(len(columns))]
                 if only_kept:
                     yield pa.RecordBatch.from_arrays(arrays, names=[f"_{i}" for i in range(len(columns))]).filter(pa.array(out["kept"]))
                 else:
-                    arrays += [pa.array(out[f.name]) for f in added]
+                    arrays += [pa.array(out[f.name].tolist() if f.name == "reason" else out[f.name], pa.string() if f.name == "reason" else None) for f in added]
                     yield pa.RecordBatch.from_arrays(arrays, names=[*[f"_{i}" for i in range(len(columns))], *added.names])
 
     fields = [T.StructField(f"_{i}", docs.schema[c].dataType) for i, c in enumerate(columns)]

@@ -28,3 +28,10 @@ def cut(df: DataFrame) -> DataFrame:
     """A reliable checkpoint of `df` on storage that every executor shares."""
     _shared(df.sparkSession)
     return df.checkpoint()
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """`df` written to a new folder of the shared storage and read back; unlike `cut`, it may be joined with itself."""
+    path = folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

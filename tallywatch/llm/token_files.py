@@ -263,7 +263,7 @@ def shards(docs: DataFrame, params: Params = Params()) -> DataFrame:
     """The shards of all texts, in the order of doc_id by (part, shard)."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, shard, before = _encoder(params), None, 0, 0
+        encoder, part, shard, before, held = _encoder(params), None, 0, 0, 0
         names: list = []  # of the texts that wait for the shard to fill
         counts: list[int] = []
         ids: list[np.ndarray] = []
@@ -274,7 +274,7 @@ def shards(docs: DataFrame, params: Params = Params()) -> DataFrame:
             raw = [x.astype("<u4").tobytes() for x in (rules, lengths, sequence)]
             kinds = [pa.int64()] * 4 + [pa.list_(pa.struct([("doc_id", pa.int64()), ("n", pa.int64())]))] + [pa.binary()] * 3
             return pa.RecordBatch.from_arrays(
-                [pa.array([v], k) for v, k in zip([part, shard, before, sum(counts), texts, *raw], kinds)],
+                [pa.array([v], k) for v, k in zip([part, shard, before, held, texts, *raw], kinds)],
                 names=["part", "shard", "before", "n", "docs", "rules", "lengths", "sequence"],
             )
 
@@ -284,10 +284,11 @@ def shards(docs: DataFrame, params: Params = Params()) -> DataFrame:
                 found, n = encoder.encode(run)
                 ends = np.cumsum(n)
                 for doc_id, low, high in zip(batch.column("doc_id")[run.rows].to_pylist(), (ends - n).tolist(), ends.tolist()):
-                    if counts and sum(counts) + high - low > params.shard_ids:
+                    if counts and held + high - low > params.shard_ids:
                         yield flush()
-                        before, shard = before + sum(counts), shard + 1
+                        before, shard, held = before + held, shard + 1, 0
                         names, counts, ids = [], [], []
+                    held += high - low
                     names.append(doc_id)
                     counts.append(high - low)
                     ids.append(found[low:high])

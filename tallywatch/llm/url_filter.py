@@ -3,7 +3,7 @@
 A rule is a host with a path prefix and a verdict; it fits its host and all subdomains when the path starts with the prefix,
 and of several the longest wins. Hosts are seeds by the share of their pages that rules allow (trust) or block (distrust).
 Trust follows links (personalised PageRank), distrust goes against them, so a host that links to blocked hosts earns it.
-A host is blocked when its distrust exceeds its trust by `threshold`, counted in whole seeds; its pages that no rule fits
+A host is blocked when its distrust exceeds its trust by `threshold` or more, counted in whole seeds; its pages that no rule fits
 follow the host. Hosts that are only link targets have no pages to count; a rule for the whole host makes them whole seeds.
 
 Links are absolute or protocol-relative `href` values; links inside a host carry nothing. Everything is a DataFrame
@@ -11,24 +11,28 @@ expression; the rules, a list of moderate length, are matched where the pages ar
 combined before the shuffle, and the last join, with blocked hosts, can be split, so one host may own most pages.
 
 Defined cases: a NULL url or one without `://` has empty host and path, no rule and is allowed; NULL html has no links;
-rounds stop when no score moves by `tolerance`; repeated rows are judged alike and count as pages of their own; an empty
-table gives an empty result. Other columns are ignored.
+rounds end when what is still to come cannot bring any host over the threshold, or when four of them moved no score by more
+than `tolerance`; repeated rows are judged alike and count as pages of their own; an empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 import string
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywatch.llm.scratch import cut
+from tallywatch.llm.scratch import written
 
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 LINK = r"(?i)<a\s[^>]*?href\s*=\s*[\"']?\s*(?:https?:)?//([^/?#\"'\s>]+)"
 
 
+ROUNDS_A_JOB = 4  # rounds between two written tables of scores
+
+
 @dataclass(frozen=True)
 class Rule:
     pattern: str  # host/path prefix
@@ -46,7 +50,6 @@ class Rule:
 @dataclass(frozen=True)
 class Params:
     damping: float = 0.85
-    rounds: int = 10
     tolerance: float = 1e-9
     threshold: float = 0.5
 
@@ -93,21 +96,35 @@ def propagate(edges: DataFrame, seeds: DataFrame, params: Params) -> DataFrame:
     out = edges.groupBy("source").agg(F.sum("n").alias("all_out"))
     into = edges.groupBy("target").agg(F.sum("n").alias("all_in"))
     full = edges.join(out, "source").join(into, "target")
-    steps = cut(
+    steps = written(
         full.select(F.col("source").alias("host"), F.lit("trust").alias("kind"), F.col("target").alias("to"), (F.col("n") / F.col("all_out")).alias("part"))
-        .union(full.select("target", F.lit("distrust"), "source", F.col("n") / F.col("all_in")))
+        .union(full.select("target", F.lit("distrust"), "source", F.col("n") / F.col("all_in"))),
+        "link-steps",
     )
     scores = seeds
-    for _ in range(params.rounds):
-        moved = scores.join(steps, ["host", "kind"]).select(F.col("to").alias("host"), "kind", (F.col("score") * F.col("part") * params.damping).alias("score"))
-        new = cut(seeds.union(moved).groupBy("host", "kind").agg(F.sum("score").alias("score")))
-        change = new.withColumnRenamed("score", "new").join(scores, ["host", "kind"], "left").agg(
-            F.max(F.abs(F.col("new") - F.coalesce("score", F.lit(0.0))))
-        )
-        scores, moved_by = new, change.first()[0] or 0.0
-        if moved_by <= params.tolerance:
-            break
-    return scores
+    while True:
+        new = scores
+        for _ in range(ROUNDS_A_JOB):
+            moved = new.join(steps, ["host", "kind"]).select(F.col("to").alias("host"), "kind", (F.col("score") * F.col("part") * params.damping).alias("score"))
+            new = seeds.union(moved).groupBy("host", "kind").agg(F.sum("score").alias("score"))
+        new = written(new, "host-scores")
+        change = new.withColumnRenamed("score", "new").join(scores, ["host", "kind"], "left").select(
+            F.abs(F.col("new") - F.coalesce("score", F.lit(0.0))).alias("moved")
+        ).agg(F.max("moved").alias("most"), F.sum("moved").alias("all")).first()
+        scores = new
+        if (change["most"] or 0.0) <= params.tolerance:
+            return scores
+        # what later rounds add to all hosts together: every four carry at most damping ** 4 of what the last four moved
+        to_come = change["all"] * params.damping**ROUNDS_A_JOB / (1 - params.damping**ROUNDS_A_JOB)
+        nearest = surplus(scores).agg(F.min(F.abs(F.col("surplus") - params.threshold))).first()[0]
+        if to_come + 1e-8 < min(nearest, params.threshold):
+            return scores
+
+
+def surplus(scores: DataFrame) -> DataFrame:
+    """Distrust minus trust of every host, settled so that the order of summing does not decide at the threshold."""
+    signed = F.when(F.col("kind") == "distrust", F.col("score")).otherwise(-F.col("score"))
+    return scores.groupBy("host").agg(F.round(F.sum(signed), 9).alias("surplus"))
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...], params: Params = Params()) -> DataFrame:
@@ -125,21 +142,20 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...], params: Params = Params())
             F.struct(F.lit("distrust").alias("kind"), (F.col("blocked") / F.col("pages")).alias("score")),
         )
     )
-    edges = cut(host_edges(placed.select("host", "html")))
+    edges = written(host_edges(placed.select("host", "html")), "host-edges")
     linked = edges.select(F.col("target").alias("host"), F.lit("/").alias("path")).distinct().join(counts.select("host"), "host", "left_anti")
     kind = F.when(F.col("rule_verdict") == "allow", "trust").otherwise("distrust").alias("kind")
     uncrawled = _ruled(linked, rules).filter("rule_verdict IS NOT NULL").select("host", kind, F.lit(1.0).alias("score"))
-    seeds = cut(counts.select("host", kinds).filter("score > 0").union(uncrawled))
+    seeds = written(counts.select("host", kinds).filter("score > 0").union(uncrawled), "seeds")
     scores = propagate(edges, seeds, params)
-    signed = F.when(F.col("kind") == "distrust", F.col("score")).otherwise(-F.col("score"))
-    # settled, so that the order of summing does not decide at the threshold
-    bad = scores.groupBy("host").agg(F.round(F.sum(signed), 9).alias("surplus")).filter(F.col("surplus") >= params.threshold)
+    bad = surplus(scores).filter(F.col("surplus") >= params.threshold)
     out = ruled.join(bad.select("host", F.lit("block").alias("host_verdict")), "host", "left")
     return out.select("page_id", "host", "path", "rule", F.coalesce("rule_verdict", "host_verdict", F.lit("allow")).alias("verdict"))
 
 
 def oracle(rules: tuple[Rule, ...], params: Params = Params()) -> str:
-    """The same in DuckDB, with the rounds written out."""
+    """The same in DuckDB, with as many rounds written out as it takes until a seed's score has faded to the tolerance."""
+    n_rounds = math.ceil(math.log(params.tolerance) / math.log(params.damping))
     values = ", ".join(f"('{r.host}', '{r.path}', '{r.pattern}', '{r.verdict}')" for r in rules)
     up, low = string.ascii_uppercase, string.ascii_lowercase
     url = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -150,7 +166,7 @@ def oracle(rules: tuple[Rule, ...], params: Params = Params()) -> str:
     SELECT * FROM seeds UNION ALL
     SELECT p."to", p.kind, s.score * p.part * {params.damping} FROM s{k - 1} s JOIN steps p ON s.host = p.host AND s.kind = p.kind
   ) GROUP BY host, kind)"""
-        for k in range(1, params.rounds + 1)
+        for k in range(1, n_rounds + 1)
     )
     return f"""
 WITH rules(rhost, rpath, rule, verdict) AS (VALUES {values}),
@@ -161,15 +177,19 @@ WITH rules(rhost, rpath, rule, verdict) AS (VALUES {values}),
       WHERE (p.host = r.rhost OR p.host LIKE '%.' || r.rhost) AND starts_with(p.path, r.rpath)) AS won FROM placed p),
   counts AS (SELECT host, count(*) AS pages, count(*) FILTER (won.verdict = 'allow') AS allowed,
     count(*) FILTER (won.verdict = 'block') AS blocked FROM ruled WHERE host <> '' GROUP BY host),
-  seeds AS (SELECT host, 'trust' AS kind, allowed / pages AS score FROM counts WHERE allowed > 0
-    UNION ALL SELECT host, 'distrust', blocked / pages FROM counts WHERE blocked > 0),
   links AS (SELECT host AS source, translate(unnest(regexp_extract_all(coalesce(html, ''), '{link}', 1)), '{up}', '{low}') AS target
     FROM placed WHERE host <> ''),
   edges AS (SELECT source, target, count(*) AS n FROM links WHERE source <> target GROUP BY source, target),
+  uncrawled AS (SELECT t.host, (SELECT max(struct_pack(l := length(r.rule), rule := r.rule, verdict := r.verdict)) FROM rules r
+      WHERE (t.host = r.rhost OR t.host LIKE '%.' || r.rhost) AND r.rpath = '/') AS won
+    FROM (SELECT DISTINCT target AS host FROM edges WHERE target NOT IN (SELECT host FROM counts)) t),
+  seeds AS (SELECT host, 'trust' AS kind, allowed / pages AS score FROM counts WHERE allowed > 0
+    UNION ALL SELECT host, 'distrust', blocked / pages FROM counts WHERE blocked > 0
+    UNION ALL SELECT host, CASE won.verdict WHEN 'allow' THEN 'trust' ELSE 'distrust' END, 1.0 FROM uncrawled WHERE won IS NOT NULL),
   steps AS (SELECT source AS host, 'trust' AS kind, target AS "to", n / sum(n) OVER (PARTITION BY source) AS part FROM edges
     UNION ALL SELECT target, 'distrust', source, n / sum(n) OVER (PARTITION BY target) FROM edges),
   s0 AS (SELECT * FROM seeds){rounds},
-  bad AS (SELECT host FROM s{params.rounds} GROUP BY host
+  bad AS (SELECT host FROM s{n_rounds} GROUP BY host
     HAVING round(sum(CASE kind WHEN 'distrust' THEN score ELSE -score END), 9) >= {params.threshold})
 SELECT page_id, host, path, won.rule AS rule,
   coalesce(won.verdict, CASE WHEN host IN (SELECT host FROM bad) THEN 'block' END, 'allow') AS verdict FROM ruled"""

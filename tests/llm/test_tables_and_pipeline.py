@@ -70,7 +70,8 @@ def test_url_filter_equals_its_oracle_with_links(spark):
 
     rng = random.Random(4)
     hosts = [f"{a}.example.{b}" for a in ("x", "y", "z", "w") for b in ("net", "com", "org")]
-    rows = [page(i, f"https://{rng.choice(hosts)}/{rng.choice(['en', 'de', 'fr'])}/{i}", *[f"http://{rng.choice(hosts)}/" for _ in range(3)]) for i in range(300)]
+    uncrawled = [f"u{i}.{b}" for i in range(4) for b in ("net", "com", "org")]  # link targets without pages
+    rows = [page(i, f"https://{rng.choice(hosts)}/{rng.choice(['en', 'de', 'fr'])}/{i}", *[f"http://{rng.choice(hosts + uncrawled)}/" for _ in range(3)]) for i in range(300)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     con = duckdb.connect()
     con.register("pages", df.toPandas())
@@ -78,6 +79,27 @@ def test_url_filter_equals_its_oracle_with_links(spark):
     assert sorted(map(tuple, url_filter.judge(df, catalog.URL_RULES).collect())) == expected
 
 
+def test_trust_travels_along_many_links(spark):
+    """A ring that distrust goes round many times, and a chain of 14 links: what ten rounds would leave out decides."""
+    rules = (url_filter.Rule("bad.com/", "block"),)
+    ring = [page(i, f"http://r{i}.com/", f"http://r{(i + 1) % 3}.com/", *(["http://bad.com/"] if i == 0 else [])) for i in range(3)]
+    chain = [page(100 + i, f"http://c{i}.com/", f"http://c{i + 1}.com/" if i < 13 else "http://bad2.com/") for i in range(14)]
+    df = spark.createDataFrame(ring + chain + [page(200, "http://bad.com/"), page(201, "http://bad2.com/")], "page_id long, url string, html string")
+    rules += (url_filter.Rule("bad2.com/", "block"),)
+    found = {r.host: r.verdict for r in url_filter.judge(df, rules, url_filter.Params(threshold=0.1, tolerance=1e-4)).collect()}
+    for i in range(14):  # c13 is one link from the blocked host
+        assert found[f"c{i}.com"] == ("block" if 0.85 ** (14 - i) >= 0.1 else "allow")
+    # distrust of r0: 0.85 from bad.com, then a third of the ring's turns come back: 0.85 / (1 - 0.85 ** 3) in the limit
+    limit = 0.85 / (1 - 0.85**3)
+    params = url_filter.Params(threshold=limit - 1e-3, tolerance=1e-5)
+    assert {r.host for r in url_filter.judge(df, rules, params).collect() if r.verdict == "block"} == {"bad.com", "bad2.com", "r0.com"}
+
+
+def test_url_filter_of_an_empty_table(spark):
+    none = spark.createDataFrame([], "page_id long, url string, html string")
+    assert url_filter.judge(none, catalog.URL_RULES).collect() == []
+
+
 # --- vector search
 
 
@@ -155,11 +177,14 @@ def test_pipeline_with_awkward_rows_and_without_rows(spark, tmp_path):
         assert stage(spark, docs.limit(0), folder).count() == 0
 
 
-def test_repeated_rows_are_one_after_deduplication(spark):
-    rows = [(5, "one two three four five six", "a"), (5, "one two three four five six", "a"), (6, "one two three four five six", "b"), (None, "x", "c"), (None, "x", "c")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+def test_deduplication_compares_rows_and_not_ids(spark):
+    one, two = "one two three four five six", "seven eight nine ten eleven twelve"
+    rows = [(5, one, "a"), (5, one, "a"), (6, one, "b"), (5, two, "c"), (7, two, "d"), (None, "x", "e"), (None, "x", "f"), (None, two, "g"), (None, None, "h"), (8, None, "i"),
+            (9, "", "j"), (None, "alone among all the others here", "k")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1)
     found = corpus_pipeline.STAGES[2][1](spark, docs, "")
-    assert sorted(((r.doc_id or 0), r.lang) for r in found.collect()) == [(0, "c"), (0, "c"), (5, "a")]
+    assert sorted(r.lang for r in found.collect()) == ["a", "c", "e", "h", "i", "j", "k"]
+    assert found.filter("lang = 'c'").first().doc_id == 5
 
 
 @pytest.mark.parametrize("name", ["tallywatch.llm.catalog", "tallywatch.llm"])

@@ -67,6 +67,36 @@ def test_forward_sums_all_segmentations():
     assert np.allclose(got, [[plain(u, k) for k in range(2)] for u in units])
 
 
+def test_cut_units_change_no_sum_and_no_path():
+    vocab = L.vocabulary(language_id.Params().vocabulary)
+    rng = np.random.default_rng(4)
+    logs = np.log(rng.random((vocab.size + 1, 3)))
+    chinese = "".join(chr(0x4E00 + int(c)) for c in rng.integers(0, 3000, 300))
+    units = [L.SPACE + chinese, L.SPACE + "antidisestablishmentarianism" * 4 + chinese[:40], "short", L.SPACE + "日本語テキスト" * 20]
+    for block in (1 << 16, 50):
+        parts, owner = L.cut_units(vocab, units, block=block)
+        assert ["".join(p for p, o in zip(parts, owner) if o == i) for i in range(len(units))] == units and len(parts) > 100
+        sums = np.stack([np.bincount(owner, c) for c in L.Lattice(vocab, parts).scores(logs).T], axis=1)
+        assert np.allclose(sums, L.Lattice(vocab, units).scores(logs))
+        paths = L.Lattice(vocab, parts).best()
+        for i, whole in enumerate(L.Lattice(vocab, units).best()):
+            assert np.array_equal(np.concatenate([p for p, o in zip(paths, owner) if o == i]), whole)
+
+
+def test_text_without_spaces_costs_no_more_than_words():
+    import time
+
+    rng = np.random.default_rng(5)
+    texts = ["".join(chr(0x4E00 + int(c)) for c in rng.integers(0, 5000, 60_000)), " ".join(prose(i, 50) for i in range(250))[:60_000]]
+    encoder, spent = piece_codec.Encoder(piece_codec.Params()), []
+    encoder.encode([piece_codec.marked("warm")])
+    for text in texts:
+        began = time.process_time()
+        encoder.encode([piece_codec.marked(text)])
+        spent.append(time.process_time() - began)
+    assert spent[0] < 3  # 13 s before units were cut
+
+
 def test_language_of_awkward_rows(spark):
     docs = awkward(spark)
     model = language_id.fit(docs)
@@ -148,6 +178,21 @@ def test_license_versions_and_forms_by_name(spark):
 # --- quality classifier
 
 
+def test_scores_equal_a_plain_form():
+    """The attention-weighted score of each text, passage by passage in plain Python."""
+    rng = np.random.default_rng(8)
+    bags = [rng.normal(size=(n, quality_classifier.FEATURES)) for n in (1, 3, 2, 5) * 10]
+    labels = np.array([float(b[:, 0].max() > 0.5) for b in bags])
+    model = quality_classifier.train(bags, labels, quality_classifier.Params(epochs=3))
+    w = model.weights
+    found = model.score(np.concatenate(bags), np.repeat(np.arange(len(bags)), [len(b) for b in bags]), len(bags))
+    for bag, score in zip(bags, found):
+        encoded = [np.tanh(w["encode0"] + sum(((x - m) / s) * row for x, m, s, row in zip(p, model.middle, model.scale, w["encode"]))) for p in bag]
+        gates = [np.exp(np.dot(np.tanh(h @ w["view"] + w["view0"]) / (1 + np.exp(-(h @ w["gate"] + w["gate0"]))), w["attend"])) for h in encoded]
+        bag_code = sum(g * h for g, h in zip(gates, encoded)) / sum(gates)
+        assert score == pytest.approx(float((1 / (1 + np.exp(-(bag_code @ w["score"] + w["score0"])))).item()), abs=1e-9)
+
+
 def test_gradient_equals_differences():
     rng = np.random.default_rng(3)
     params = quality_classifier.Params(encoded=4, gated=3, epochs=0)
