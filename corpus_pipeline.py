@@ -48,18 +48,18 @@ def check_rules(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each near-duplicate group: the one with the smallest doc_id.
+    """One row of each near-duplicate group: the one with the smallest doc_id (none counts last), then the first of the table.
 
-    Rows that repeat a doc_id are copies as well: the first of them stays. Rows without a doc_id all stay. What goes is found
-    on row numbers and ids alone, so the texts meet it in one join.
+    Rows are compared, not ids: rows that share an id and hold different texts stay, copies go whatever their ids are. What goes
+    is found on row numbers and ids alone, so the texts meet it in one join.
     """
     numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    narrow = numbered.filter("doc_id IS NOT NULL").select("_row", "doc_id")
-    groups = near_dedup.near_duplicates(docs, near_dedup.Params(width=5))
-    gone = narrow.join(groups.filter("NOT kept").select("doc_id").distinct(), "doc_id", "left_semi").select("_row")
-    first = narrow.groupBy("doc_id").agg(F.min("_row").alias("first"), F.count("*").alias("n")).filter("n > 1")
-    later = narrow.join(first, "doc_id").filter("_row <> first").select("_row")
-    return numbered.join(scratch.cut(gone.union(later).distinct()), "_row", "left_anti").select(*docs.columns)
+    by_row = numbered.select(F.col("_row").alias("doc_id"), "text")
+    groups = near_dedup.near_duplicates(by_row, near_dedup.Params(width=5)).select(F.col("doc_id").alias("_row"), "component_id")
+    narrow = scratch.cut(groups.join(numbered.select("_row", "doc_id"), "_row"))
+    first = narrow.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("first"))
+    gone = narrow.join(first.select("first._row"), "_row", "left_anti").select("_row")
+    return numbered.join(scratch.cut(gone), "_row", "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
