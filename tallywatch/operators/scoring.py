@@ -53,15 +53,18 @@ def confusion(df: DataFrame, label: str = "label", predicted: str = "predicted_l
 
 
 def weighted_metrics(
-    df: DataFrame, keys: Sequence[str] = (), label: str = "label", predicted: str = "predicted_label"
+    df: DataFrame, keys: Sequence[str] = (), label: str = "label", predicted: str = "predicted_label", weight: str | None = None
 ) -> DataFrame:
     """Accuracy and support-weighted precision, recall and F1 per key; undefined ratios count as 0.
 
     All sums come from the confusion counts, so only the first aggregation sees rows. Unlabelled rows are left out, a
-    missing prediction counts as wrong; predictions are not filtered on, which would compute them twice.
+    missing prediction counts as wrong; predictions are not filtered on, which would compute them twice. A row counts as
+    many times as its `weight` says.
     """
     scored = df.filter(F.col(label).isNotNull())
-    counts = scored.groupBy(*keys, F.col(label).alias("_l"), F.col(predicted).alias("_p")).agg(F.count("*").alias("n"))
+    counts = scored.groupBy(*keys, F.col(label).alias("_l"), F.col(predicted).alias("_p")).agg(
+        (F.count("*") if weight is None else F.sum(weight)).alias("n")
+    )
     hit = F.when(F.col("_l") == F.col("_p"), F.col("n")).otherwise(0)
     sides = counts.select(
         *keys,

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import math
+from dataclasses import replace
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallywatch.functions.numeric import settle
+from tallywatch.functions.sizes import scratch_folder
 from tallywatch.functions.text import tokens
-from tallywatch.operators import batches, scoring
+from tallywatch.operators import batches, scoring, training
 from tallywatch.plans.check_texts import TOKENS
 from tallywatch.plans.registry import query, settled
 from tallywatch.sources.canonical import Tables
@@ -119,37 +124,76 @@ def _(t: Tables):
     return scoring.weighted_metrics(scoring.score_texts(model, _split(t, "test").drop("predicted_label")))
 
 
-# what SQL can know of a trained model: its examples and classes per split, and that its F1 is a share
-EVALUATED = """WITH n AS (SELECT split, label, count(*) AS n FROM labelled_texts WHERE label IS NOT NULL GROUP BY 1, 2)
-  SELECT split, CAST(sum(n) AS BIGINT) AS examples, count(*) AS classes, true AS f1_is_share FROM n
-  WHERE split IN ({splits}) GROUP BY split"""
+# a model must do better than always giving the most frequent class, whose weighted F1 is share * 2 * share / (1 + share)
+MAJORITY = f"""WITH n AS (SELECT split, label, count(*) AS n FROM labelled_texts WHERE label IS NOT NULL AND split IN ({{splits}}) GROUP BY 1, 2),
+  m AS (SELECT split, CAST(sum(n) AS BIGINT) AS examples, max(n) / CAST(sum(n) AS DOUBLE) AS share FROM n GROUP BY 1),
+  b AS (SELECT split, examples, {settled("share * 2 * share / (1 + share)")} AS majority_f1 FROM m)"""
+EPOCHS = training.TrainingConfig(epochs=5, batch_size=64)
+GRID = [{"learning_rate": 0.02}, {"learning_rate": 0.05}, {"learning_rate": 0.05, "weight_decay": 0.1}]
+
 
+def _against_majority(scored):
+    """Per split: examples, F1 of the most frequent class, and whether the model's is higher."""
+    n = scored.filter(F.col("label").isNotNull()).groupBy("split", "label").agg(F.count("*").alias("n"))
+    share = F.max("n") / F.sum("n").cast("double")
+    plain = n.groupBy("split").agg(F.sum("n").alias("examples"), share.alias("share"))
+    plain = plain.withColumn("majority_f1", settle(F.col("share") * 2 * F.col("share") / (1 + F.col("share"))))
+    found = scoring.weighted_metrics(scored, ["split"]).select("split", "f1")
+    return plain.join(found, "split").select("split", "examples", "majority_f1", (F.col("f1") > F.col("majority_f1")).alias("beats_majority"))
 
-def _evaluated(scored):
-    labelled = scored.filter(F.col("label").isNotNull())
-    classes = labelled.groupBy("split").agg(F.count_distinct("label").alias("classes"))
-    found = scoring.weighted_metrics(labelled, ["split"]).join(classes, "split")
-    return found.select("split", "examples", "classes", F.col("f1").between(0, 1).alias("f1_is_share"))
 
+def _sides(t: Tables):
+    texts = t.labelled_texts.drop("predicted_label")
+    return texts.filter("split = 'train'"), texts.filter("split = 'validation'"), texts.filter("split <> 'train'")
 
-@query("G15_trained_evaluation", "labelled_texts", EVALUATED.format(splits="'validation', 'test'"))
+
+@query(
+    "G15_training_epochs",
+    "labelled_texts",
+    """SELECT CAST(e AS INT) AS epoch, CAST(e * ceil((SELECT count(*) FROM labelled_texts WHERE label IS NOT NULL AND split = 'train') / 64.0) AS BIGINT) AS step,
+      true AS loss_fell FROM range(1, 6) r(e)""",
+)
 def _(t: Tables):
-    model = scoring.train_classifier(_split(t, "train"))
-    return _evaluated(scoring.score_texts(model, _split(t, "validation", "test").drop("predicted_label")))
+    train, validation, _ = _sides(t)
+    path = scratch_folder(t.spark, "training")
+    training.train(train, validation, path, EPOCHS, until=2)
+    done = training.train(train, validation, path, EPOCHS)  # goes on from the second epoch's checkpoint
+    before = F.coalesce(F.lag("train_loss").over(Window.orderBy("epoch")), F.lit(math.log(2)))  # one row per epoch
+    return done.select("epoch", "step", (F.col("train_loss") < before).alias("loss_fell"))
 
 
-@query("G16_searched_evaluation", "labelled_texts", EVALUATED.format(splits="'test'"))
+@query("G15_trained_evaluation", "labelled_texts", MAJORITY.format(splits="'validation', 'test'") + " SELECT *, true AS beats_majority FROM b")
 def _(t: Tables):
-    model, tried = scoring.search_classifier(_split(t, "train"))
-    if len(tried) != 3:
-        raise ValueError(f"{len(tried)} trials instead of 3")
-    return _evaluated(scoring.score_texts(model, _split(t, "test").drop("predicted_label")))
+    train, validation, held = _sides(t)
+    path = scratch_folder(t.spark, "training")
+    training.train(train, validation, path, EPOCHS)
+    return _against_majority(training.score(training.load(t.spark, path, EPOCHS), held))
 
 
-@query("G18_quick_run_evaluation", "labelled_texts", EVALUATED.format(splits="'test'"))
+@query(
+    "G16_searched_evaluation",
+    "labelled_texts",
+    MAJORITY.format(splits="'test'") + """, t(trial, learning_rate, weight_decay) AS (VALUES (0, 0.02, 0.01), (1, 0.05, 0.01), (2, 0.05, 0.1))
+    SELECT CAST(trial AS INT) AS trial, CAST(learning_rate AS DOUBLE) AS learning_rate, CAST(weight_decay AS DOUBLE) AS weight_decay,
+      examples, majority_f1, true AS best_beats_majority FROM t, b""",
+)
 def _(t: Tables):
-    model = scoring.train_classifier(_split(t, "train"), max_samples=1000)
-    return _evaluated(scoring.score_texts(model, _split(t, "test").drop("predicted_label")))
+    train, validation, held = _sides(t)
+    path, config = scratch_folder(t.spark, "search"), replace(EPOCHS, epochs=3)
+    trials = training.search(train, validation, path, GRID, config)
+    best = trials.filter("best").first()["trial"]
+    test = _against_majority(training.score(training.load(t.spark, f"{path}/trial-{best}", config), held.filter("split = 'test'")))
+    rates = trials.select("trial", "learning_rate", F.coalesce("weight_decay", F.lit(config.weight_decay)).alias("weight_decay"))
+    of_best = test.withColumnRenamed("beats_majority", "best_beats_majority").drop("split").first().asDict()
+    return rates.withColumns({name: F.lit(value) for name, value in of_best.items()}).withColumn("examples", F.col("examples").cast("bigint"))
+
+
+@query("G18_quick_run_evaluation", "labelled_texts", MAJORITY.format(splits="'test'") + " SELECT *, true AS beats_majority FROM b")
+def _(t: Tables):
+    train, validation, held = _sides(t)
+    path = scratch_folder(t.spark, "quick-run")
+    training.quick_run(train, validation, path, config=EPOCHS)
+    return _against_majority(training.score(training.load(t.spark, path, EPOCHS), held.filter("split = 'test'")))
 
 
 @query(
