@@ -15,8 +15,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
+from tallywatch.functions.files import existing
 from tallywatch.functions.vectors import flat, gram_counts, lists, text_runs, unit_length
 from tallywatch.operators.datasets import shuffled_sample
 from tallywatch.operators.experiments import best_checkpoint
@@ -149,16 +149,6 @@ class Moments:
         return weights - rate * (move + decay)
 
 
-def _read(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
-    """A finished table, or nothing where none has been written."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
 def prepare(train: DataFrame, validation: DataFrame, path: str, config: TrainingConfig, column: str = "text") -> None:
     """Write the examples of both sides: training examples by mini-batch, about `batch_size` in each."""
     spark = train.sparkSession
@@ -174,7 +164,7 @@ def prepare(train: DataFrame, validation: DataFrame, path: str, config: Training
 
 def checkpoints(spark: SparkSession, path: str) -> DataFrame:
     """The metric rows of a run's checkpoints, one per epoch."""
-    found = _read(spark, f"{path}/checkpoints", f"epoch int, {CHECKPOINT}")
+    found = existing(spark, f"{path}/checkpoints", f"epoch int, {CHECKPOINT}")
     found = spark.createDataFrame([], f"epoch int, {CHECKPOINT}") if found is None else found
     return found.drop("weights", "first_moment", "second_moment")
 
@@ -188,7 +178,7 @@ def train(train_texts: DataFrame, validation: DataFrame, path: str, config: Trai
     """
     spark = train_texts.sparkSession
     source = prepared or path
-    if _read(spark, f"{source}/classes", CLASSES) is None:
+    if existing(spark, f"{source}/classes", CLASSES) is None:
         prepare(train_texts, validation, source, config, column)
     classes = {int(r["label"]): r for r in spark.read.schema(CLASSES).parquet(f"{source}/classes").collect()}
     total, slots = sum(r["n"] for r in classes.values()), max([r["slots"] for r in classes.values()], default=0)
@@ -200,7 +190,7 @@ def train(train_texts: DataFrame, validation: DataFrame, path: str, config: Trai
     held = spark.read.schema(EXAMPLES).parquet(f"{source}/validation")
     weights = np.zeros(config.buckets + 1)
     moments, done = Moments(np.zeros_like(weights), np.zeros_like(weights)), 0
-    kept = _read(spark, f"{path}/checkpoints", f"epoch int, {CHECKPOINT}")
+    kept = existing(spark, f"{path}/checkpoints", f"epoch int, {CHECKPOINT}")
     if kept is not None and (last := kept.orderBy(F.col("epoch").desc()).first()):
         weights, first, second = (np.frombuffer(last[c]).copy() for c in ("weights", "first_moment", "second_moment"))
         moments, done = Moments(first, second, last["step"]), last["epoch"]

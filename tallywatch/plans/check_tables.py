@@ -15,7 +15,7 @@ from tallywatch.plans.monitor import write_monitor
 from tallywatch.plans.registry import query, settled
 from tallywatch.sources import tables
 from tallywatch.sources.canonical import Tables, alert_events_from_lines, logs_from_events
-from tallywatch.streaming import jobs
+from tallywatch.streaming import jobs, lifecycle
 
 EVERY_TABLE = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -298,8 +298,9 @@ def _(t: Tables):
 @query("R6_streamed_alert_lifecycle", "monitoring_alerts alert_events", LIFECYCLE)
 def _(t: Tables):
     out, checkpoint = _folders(t, "lifecycle")
-    _finish(jobs.follow_alerts(alert_events_from_lines(t.stream("lineitem")), out, checkpoint))
-    return jobs.followed_alerts(t.spark, out, t.alerts)
+    events = alert_events_from_lines(t.stream("lineitem"))
+    _finish(lifecycle.follow_alerts(events, out, checkpoint))
+    return lifecycle.followed_alerts(t.spark, out, t.alerts, events.schema["happened_at"].dataType.simpleString())
 
 
 @query(

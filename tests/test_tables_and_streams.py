@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallywatch.operators import folds
 from tallywatch.sources import tables
 from tallywatch.sources.canonical import Tables, alert_events_from_lines
-from tallywatch.streaming import jobs
+from tallywatch.streaming import jobs, lifecycle
 
 NOW = datetime(2024, 5, 10, 12)
 
@@ -117,13 +117,45 @@ def test_followed_alerts_equal_the_batch_fold_over_many_batches(spark, small, tm
     source, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
     t = Tables(spark, small)
     lines = t.raw("lineitem")
-    for i in range(3):
-        _arrive(lines.filter(F.col("l_linenumber") % 3 == i), source, f"f{i}")
-        stream = spark.readStream.schema(lines.schema).option("recursiveFileLookup", "true").parquet(source)
-        jobs.follow_alerts(alert_events_from_lines(stream), out, check).awaitTermination()
-    got = jobs.followed_alerts(spark, out, t.alerts)
+    kind = t.alert_events.schema["happened_at"].dataType.simpleString()
     expected = folds.alert_lifecycle(t.alerts, t.alert_events)
+    for i in range(5):
+        _arrive(lines.filter(F.col("l_linenumber") % 5 == i), source, f"f{i}")
+        stream = spark.readStream.schema(lines.schema).option("recursiveFileLookup", "true").parquet(source)
+        lifecycle.follow_alerts(alert_events_from_lines(stream), out, check, buckets=8).awaitTermination()
+    got = lifecycle.followed_alerts(spark, out, t.alerts, kind)
+    assert got.exceptAll(expected).isEmpty() and expected.exceptAll(got).isEmpty()
+    assert spark.read.parquet(f"{out}/current").count() == t.alert_events.select("alert_id").distinct().count()
+
+
+def test_states_of_resolved_alerts_fall_and_late_actions_still_count(spark, tmp_path):
+    source, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    schema = "alert_id long, seq long, action string, actor string, notes string, happened_at timestamp_ntz"
+    first = [(i, 10 + i, "resolve" if i < 40 else "acknowledge", f"u{i}", "why", NOW) for i in range(50)]
+    late = [(1, 5, "acknowledge", "early", None, NOW), (2, 99, "resolve", "again", "", NOW + timedelta(days=1))]
+    rows, sizes = [], []
+    for i, batch in enumerate([first, late, [(45, 100, "acknowledge", "second", None, NOW)]]):
+        rows += batch
+        _arrive(spark.createDataFrame(batch, schema), source, f"f{i}")
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(source)
+        query = lifecycle.follow_alerts(stream, out, check, buckets=4, resolved_ms=1)
+        query.awaitTermination()
+        sizes.append(sum(op["numRowsTotal"] for p in query.recentProgress[-1:] for op in p["stateOperators"]))
+    alerts = spark.createDataFrame([(i, "ACTIVE") for i in range(51)], "id long, status string")
+    expected = folds.alert_lifecycle(alerts, spark.createDataFrame(rows, schema))
+    got = lifecycle.followed_alerts(spark, out, alerts)
     assert got.exceptAll(expected).isEmpty() and expected.exceptAll(got).isEmpty()
+    assert sizes[0] > sizes[-1] and sizes[-1] < 40  # of 50 alerts 40 are resolved
+
+
+def test_a_replayed_batch_changes_nothing(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = "alert_id long, seq long, action string, actor string, notes string, happened_at timestamp_ntz"
+    _arrive(spark.createDataFrame([(i, i, "acknowledge", "a", None, NOW) for i in range(9)], schema), source, "a")
+    for attempt in ("one", "two"):  # a lost checkpoint: everything comes again as batch 0
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(source)
+        lifecycle.follow_alerts(stream, out, str(tmp_path / attempt), buckets=4).awaitTermination()
+    assert spark.read.parquet(f"{out}/current").count() == 9
 
 
 def test_drift_watch_keeps_going_when_a_check_fails(spark, tmp_path):

@@ -91,7 +91,7 @@ def test_quick_run_bounds_and_odd_labels(spark, tmp_path):
     with pytest.raises(ValueError):
         training.train(texts.withColumn("label", texts.label + 1), texts, str(tmp_path / "odd"))
     empty = training.train(texts.limit(0), texts.limit(0), str(tmp_path / "none"), training.TrainingConfig(epochs=1, buckets=16)).collect()
-    assert [(r.epoch, r.step, r.train_loss, r.eval_f1) for r in empty] == [(1, 0, 0.0, None)]
+    assert [(r.epoch, r.step, r.train_loss, r.eval_loss) for r in empty] == [(1, 0, 0.0, None)]
 
 
 def test_gram_and_term_counts():
