@@ -85,11 +85,19 @@ def bucket_of(value: Column, bounds: Sequence[float]) -> Column:
     """Number of cut points below the value: a pure function of the value, so it is the same in every stage."""
     if not bounds:
         return F.lit(0)
-    return F.aggregate(
-        F.array(*[F.lit(float(b)) for b in bounds]),
-        F.lit(0),
-        lambda acc, cut: acc + F.when(cut < value, 1).otherwise(0),
-    )
+    cuts = F.array(*[F.lit(float(b)) for b in bounds])  # folded to one constant
+    whole = F.struct(F.lit(0).alias("low"), F.lit(len(bounds)).alias("high"))
+
+    def halve(acc: Column, _: Column) -> Column:
+        middle = F.shiftright(acc["low"] + acc["high"], 1)
+        above = (acc["low"] < acc["high"]) & (F.get(cuts, middle) < value)
+        return F.struct(
+            F.when(above, middle + 1).otherwise(acc["low"]).alias("low"),
+            F.when(above | (acc["low"] >= acc["high"]), acc["high"]).otherwise(middle).alias("high"),
+        )
+
+    steps = F.sequence(F.lit(1), F.lit(len(bounds).bit_length()))
+    return F.aggregate(steps, whole, halve, lambda acc: acc["low"])
 
 
 def exact_quantiles(

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from tallywatch.shipping import ship
+
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -26,4 +28,4 @@ def build_session(app: str = "tallywatch", master: str | None = None, **conf: st
     settings = DEFAULT_CONF | {key.replace("__", "."): value for key, value in conf.items()}
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship(builder.getOrCreate())
