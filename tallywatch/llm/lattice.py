@@ -17,6 +17,7 @@ from tallywatch.llm import words as W
 SPACE = "▁"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 LOWEST = np.int64(-(1 << 60))
+LONG = 32  # characters above which a unit is cut
 
 
 class Vocabulary:
@@ -189,7 +190,7 @@ class Lattice:
         return out
 
 
-def cut_units(vocab: Vocabulary, units: list[str], longer: int = 32, block: int = 1 << 16) -> tuple[list[str], np.ndarray]:
+def cut_units(vocab: Vocabulary, units: list[str], longer: int = LONG, block: int = 1 << 16) -> tuple[list[str], np.ndarray]:
     """The units with long ones cut wherever no piece spans, and the unit that each part belongs to.
 
     Every path goes through such a place, so sums over paths, best paths and their ties are those of the whole unit. Scripts

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywatch.llm.lattice import LOWEST, SPACE, Lattice, Vocabulary, cut_units, in_batches, vocabulary
+from tallywatch.llm.lattice import LONG, LOWEST, SPACE, Lattice, Vocabulary, cut_units, in_batches, vocabulary
 from tallywatch.llm.scratch import cut
 
 _UNITS = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
@@ -56,15 +56,21 @@ class Encoder:
         new = list(units.difference(self.known))
         if len(self.known) + len(new) > self.params.kept_units:
             self.known = {u: self.known[u] for u in units if u in self.known}
-        parts, owner = cut_units(self.vocab, new)
-        distinct, solved = list(dict.fromkeys(parts)), {}
-        for batch in in_batches(distinct):
-            own = [distinct[i] for i in batch]
-            for unit, pieces in zip(own, Lattice(self.vocab, own).best()):
-                solved[unit] = self._ids(unit, pieces)
-        first = np.searchsorted(owner, np.arange(len(new) + 1))
-        for unit, low, high in zip(new, first[:-1].tolist(), first[1:].tolist()):
-            self.known[unit] = b"".join(map(solved.__getitem__, parts[low:high]))
+        self.known |= self._solved([u for u in new if len(u) <= LONG])
+        long = [u for u in new if len(u) > LONG]
+        if long:
+            parts, owner = cut_units(self.vocab, long)
+            solved = self._solved(list(dict.fromkeys(parts)))
+            first = np.searchsorted(owner, np.arange(len(long) + 1)).tolist()
+            for unit, low, high in zip(long, first[:-1], first[1:]):
+                self.known[unit] = b"".join(map(solved.__getitem__, parts[low:high]))
+
+    def _solved(self, units: list[str]) -> dict[str, bytes]:
+        out = {}
+        for batch in in_batches(units):
+            own = [units[i] for i in batch]
+            out.update((unit, self._ids(unit, pieces)) for unit, pieces in zip(own, Lattice(self.vocab, own).best()))
+        return out
 
     def _ids(self, unit: str, pieces: np.ndarray) -> bytes:
         if not (pieces == self.vocab.size).any():
