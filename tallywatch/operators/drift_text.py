@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from functools import cached_property
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 
 from tallywatch.functions.sizes import stored
 from tallywatch.functions.text import ENGLISH_STOP_WORDS, with_bigrams, word_count, words_without_stops
-from tallywatch.operators.drift_stats import ks_two_sample, value_counts
+from tallywatch.functions.vectors import term_counts, unit_length
+from tallywatch.operators.drift_stats import ks_two_sample
 
 MAX_FEATURES = 1000
 
@@ -88,19 +90,68 @@ class TermWeights:
         )
 
 
+def text_sums(weights: TermWeights, texts: DataFrame, keys: Sequence[str] = (), column: str = "text") -> DataFrame:
+    """What drift needs of texts, in one pass and ready to be added up: (keys, kind, place, x).
+
+    Kind `weight` holds the summed unit-length TF-IDF weight of each fitted term (its place), kind `length` the number of texts
+    with so many words (the place). A task sums what it reads per key; rows of any parts of a table add up to those of the whole.
+    """
+    if not weights.terms:
+        raise ValueError("the reference texts hold no terms")
+    vocabulary, idf = list(weights.terms), np.array(weights.idf)
+    names = [f"_k{i}" for i in range(len(keys))]
+    terms = add_terms(texts.select(*keys, column), column, weights.stop_words, "_terms")
+    narrow = terms.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], word_count(F.col(column)).alias("_words"), "_terms")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.array(vocabulary, pa.string())
+        for batch in batches:
+            code = np.zeros(batch.num_rows, dtype=np.int64)
+            for name in names:
+                coded = batch.column(name).dictionary_encode(null_encoding="encode")
+                code = np.unique(code * max(len(coded.dictionary), 1) + np.asarray(coded.indices), return_inverse=True)[1]
+            first = np.unique(code, return_index=True)[1]
+            row, place, count = term_counts(batch.column("_terms"), known)
+            weight = unit_length(row, count * idf[place], batch.num_rows)
+            words = np.asarray(batch.column("_words"))
+            for kind, group, place, x in (("weight", code[row], place, weight), ("length", code, words, np.ones(len(code)))):
+                size = int(place.max(initial=0)) + 1
+                cells, cell = np.unique(group * size + place, return_inverse=True)
+                owner = pa.array(first[cells // size])
+                arrays = [batch.column(n).take(owner) for n in names]
+                arrays += [pa.array([kind] * len(cells), pa.string()), pa.array(cells % size), pa.array(np.bincount(cell, x, minlength=len(cells)))]
+                yield pa.RecordBatch.from_arrays(arrays, names=[*names, "kind", "place", "x"])
+
+    kinds = ", ".join(f"{n} {texts.schema[k].dataType.simpleString()}" for k, n in zip(keys, names))
+    made = narrow.mapInArrow(work, ", ".join(filter(None, [kinds, "kind string, place long, x double"])))
+    return added_up(made.select(*[F.col(n).alias(k) for k, n in zip(keys, names)], "kind", "place", "x"), keys)
+
+
+def added_up(sums: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Text sums of parts as those of the whole."""
+    return sums.groupBy(*keys, "kind", "place").agg(F.sum("x").alias("x"))
+
+
 def term_weights(weights: TermWeights, texts: DataFrame, id_column: str = "doc_id", column: str = "text") -> DataFrame:
-    """Long form of the unit-length vectors: one row per text and known term.
+    """Long form of the unit-length vectors: one row per text and known term, made in the task that reads the text.
 
-    Only a text's own terms are looked at; unknown ones fall away where the text is read, before anything is shuffled.
+    Texts that share an id are taken as texts of their own. Nothing is shuffled.
     """
-    known = texts.sparkSession.createDataFrame(list(zip(weights.terms, weights.idf)), "term string, idf double")
-    each = add_terms(texts.select(id_column, column), column, weights.stop_words, "_terms").select(
-        id_column, F.explode("_terms").alias("term")
-    )
-    # the fitted terms are at most `max_features` rows
-    counted = each.join(F.broadcast(known), "term").groupBy(id_column, "term").agg((F.count("*") * F.first("idf")).alias("_x"))
-    norm = F.sqrt(F.sum(F.col("_x") * F.col("_x")).over(Window.partitionBy(id_column)))
-    return counted.select(id_column, "term", (F.col("_x") / norm).alias("weight")).filter("weight > 0")
+    if not weights.terms:
+        raise ValueError("the reference texts hold no terms")
+    vocabulary, idf = list(weights.terms), np.array(weights.idf)
+    narrow = add_terms(texts.select(F.col(id_column).alias("_id"), column), column, weights.stop_words, "_terms").select("_id", "_terms")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.array(vocabulary, pa.string())
+        for batch in batches:
+            row, place, count = term_counts(batch.column("_terms"), known)
+            weight = unit_length(row, count * idf[place], batch.num_rows)
+            arrays = [batch.column("_id").take(pa.array(row)), known.take(pa.array(place)), pa.array(weight)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["_id", "term", "weight"])
+
+    kind = texts.schema[id_column].dataType.simpleString()
+    return narrow.mapInArrow(work, f"_id {kind}, term string, weight double").withColumnRenamed("_id", id_column)
 
 
 def centroid_table(weights: TermWeights, texts: DataFrame, column: str = "text") -> DataFrame:
@@ -125,56 +176,65 @@ def as_array(values: Sequence[float]) -> Column:
     return F.array(*[F.lit(float(v)) for v in values])
 
 
+def length_counts(sums: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Texts per key and number of words, from text sums."""
+    return sums.filter(F.col("kind") == "length").select(*keys, F.col("place").alias("value"), F.col("x").cast("bigint").alias("n"))
+
+
 @dataclass(frozen=True)
 class TextReference:
     """What is kept of the reference texts: fitted terms, their centroid, and the counts of text lengths.
 
     Terms and centroid have at most `max_features` numbers each and are fetched once; the length counts, one row per
-    distinct length, are written to the scratch folder when first used. A stream compares every batch with them without
-    reading the reference again.
+    distinct length, are written to the scratch folder. Fitting reads the texts twice: for the terms, then for the rest.
     """
 
     weights: TermWeights
     centroid: tuple[float, ...]
-    texts: DataFrame
-    column: str = "text"
-
-    @cached_property
-    def lengths(self) -> DataFrame:
-        words = self.texts.select(word_count(F.col(self.column)).alias("words"))
-        return stored(value_counts(words, [], F.col("words")), "reference-lengths")
+    lengths: DataFrame
 
     @classmethod
     def fit(cls, texts: DataFrame, column: str = "text", max_features: int = MAX_FEATURES,
             stop_words: Sequence[str] = ENGLISH_STOP_WORDS) -> TextReference:
         weights = TermWeights.fit(texts, column, max_features, stop_words)
-        centroid = weights.centroids(texts, column=column).first()["centroid"]
-        return cls(weights, tuple(centroid), texts, column)
+        sums = stored(text_sums(weights, texts, column=column), "reference-sums")
+        lengths = length_counts(sums, [])
+        total = lengths.agg(F.sum("n")).scalar()
+        centroid = np.zeros(len(weights.terms))
+        for r in sums.filter(F.col("kind") == "weight").select("place", (F.col("x") / total).alias("x")).collect():  # one per term
+            centroid[r["place"]] = r["x"]
+        return cls(weights, tuple(centroid.tolist()), lengths)
+
+    def similarity(self, sums: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+        """Cosine of each key's centroid with the reference's, and 1 minus it, from its text sums."""
+        x = F.when(F.col("kind") == "weight", F.col("x"))
+        place = F.when(F.col("kind") == "weight", F.col("place")).cast("int")
+        found = sums.groupBy(*keys).agg(
+            F.sum(x * F.get(as_array(self.centroid), place)).alias("_dot"), F.sum(x * x).alias("_norm")
+        )
+        norm = F.sqrt("_norm") * F.lit(float(np.sqrt(np.square(self.centroid).sum())))
+        cosine_similarity = F.coalesce(F.try_divide("_dot", norm), F.lit(0.0)).alias("cosine_similarity")
+        return found.select(*keys, cosine_similarity).withColumn("drift_score", 1.0 - F.col("cosine_similarity"))
 
     def centroid_drift(self, current: DataFrame, keys: Sequence[str] = (), column: str = "text") -> DataFrame:
         """Cosine similarity of each key's centroid with the reference's, and 1 minus it as the drift score."""
-        means = self.weights.centroids(current, keys, column)
-        similarity = cosine(F.col("centroid"), as_array(self.centroid))
-        return means.select(*keys, similarity.alias("cosine_similarity")).withColumn(
-            "drift_score", 1.0 - F.col("cosine_similarity")
-        )
+        return self.similarity(text_sums(self.weights, current, keys, column), keys)
 
     def data_drift(
         self, current: DataFrame, keys: Sequence[str] = ("deployment_id",), column: str = "input_text",
         threshold: float = 0.1, significance: float = 0.05,
     ) -> DataFrame:
-        """Text drift per key: centroid distance, and a two-sample test on word counts.
-
-        The counts of lengths are used several times, so they are written once, one row per key and distinct length;
-        the texts are read for them once and once for the vectors.
-        """
+        """Text drift per key: centroid distance, and a two-sample test on word counts; the texts are read once."""
         keys = list(keys)
-        words = current.select(*keys, word_count(F.col(column)).alias("words"))
-        counts = stored(value_counts(words, keys, F.col("words")), "lengths")
+        return self.drift_of(stored(text_sums(self.weights, current, keys, column), "text-sums"), keys, threshold, significance)
+
+    def drift_of(self, sums: DataFrame, keys: Sequence[str], threshold: float = 0.1, significance: float = 0.05) -> DataFrame:
+        """Text drift per key from its text sums; they are read several times."""
+        counts = length_counts(sums, keys)
         ks = ks_two_sample(self.lengths, counts, keys)
         ref_mean = self.lengths.select(F.sum(F.col("value") * F.col("n")) / F.sum("n")).scalar()
         averages = counts.groupBy(*keys).agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("new_avg_length"))
-        centroid = self.centroid_drift(current, keys, column)
+        centroid = self.similarity(sums, keys)
         if keys:
             joined = centroid.join(ks, keys).join(averages, keys)
         else:
