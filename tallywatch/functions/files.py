@@ -20,3 +20,12 @@ def finished(spark: SparkSession, path: str) -> bool:
     """Whether the job that writes `path` has ended well."""
     mark = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
     return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none where it does not exist."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return []
+    return sorted(f.getPath().getName() for f in system.listStatus(folder) if f.isDirectory())

@@ -81,13 +81,33 @@ def concept_drift(
 
     Rows are aggregated once per (key, sentiment); means and deviations are merged from there.
     """
-    parts = logs.groupBy(*keys, "predicted_sentiment").agg(
+    return concept_of(confidence_parts(logs, keys), keys, limits)
+
+
+def confidence_parts(logs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Counts and confidence moments per key and sentiment."""
+    return logs.groupBy(*keys, "predicted_sentiment").agg(
         F.count("*").cast("double").alias("n"),
         F.count("confidence_score").cast("double").alias("c"),
         F.avg("confidence_score").alias("mean"),
         F.var_pop("confidence_score").alias("var"),
         F.count_if(F.col("confidence_score") < LOW_CONFIDENCE).cast("double").alias("low"),
     )
+
+
+def merged_parts(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Confidence parts of several sets of rows as those of all rows: one per key and sentiment."""
+    second = F.sum(F.col("c") * (F.col("var") + F.col("mean") * F.col("mean")))
+    found = parts.groupBy(*keys, "predicted_sentiment").agg(
+        F.sum("n").alias("n"), F.sum("c").alias("c"), F.try_divide(F.sum(F.col("c") * F.col("mean")), F.sum("c")).alias("mean"),
+        F.try_divide(second, F.sum("c")).alias("_second"), F.sum("low").alias("low"),
+    )
+    var = F.greatest(F.lit(0.0), F.col("_second") - F.col("mean") * F.col("mean"))
+    return found.withColumn("var", F.when(F.col("_second").isNotNull(), var)).drop("_second")
+
+
+def concept_of(parts: DataFrame, keys: Sequence[str], limits: ConceptThresholds = ConceptThresholds()) -> DataFrame:
+    """Concept drift from one row of confidence parts per key and sentiment."""
     n, c, mean = F.sum("n"), F.sum("c"), F.sum(F.col("c") * F.col("mean")) / F.sum("c")
     merged = parts.groupBy(*keys).agg(
         n.cast("bigint").alias("predictions"),
@@ -152,8 +172,14 @@ def model_drift(
     logs: DataFrame, as_of: str, days: int = 7, threshold: float = 0.05, significance: float = 0.05, min_days: int = 3
 ) -> DataFrame:
     """Declining confidence or growing latency per deployment over the daily means of the lookback."""
+    daily = daily_performance(since(logs, "predicted_at", as_of, days=days), ["deployment_id"])
+    return trend_of(daily, threshold, significance, min_days)
+
+
+def trend_of(daily: DataFrame, threshold: float = 0.05, significance: float = 0.05, min_days: int = 3) -> DataFrame:
+    """Model drift from the means of each deployment's days."""
     keys = ["deployment_id"]
-    daily = day_index(daily_performance(since(logs, "predicted_at", as_of, days=days), keys), keys)
+    daily = day_index(daily, keys)
     # one pass fits both series: days with a NULL or 0 time void the time trend of the deployment
     timed = F.coalesce(F.col("avg_prediction_time"), F.lit(0.0)) != 0
     both = F.array(

@@ -15,7 +15,7 @@ from tallywatch.plans.monitor import write_monitor
 from tallywatch.plans.registry import query, settled
 from tallywatch.sources import tables
 from tallywatch.sources.canonical import Tables, alert_events_from_lines, logs_from_events
-from tallywatch.streaming import jobs, lifecycle
+from tallywatch.streaming import drift_watch, jobs, lifecycle
 
 EVERY_TABLE = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -286,7 +286,7 @@ def _(t: Tables):
     arriving, events = scratch_folder(t.spark, "arriving"), t.raw("events")
     events.repartition(4, "event_id").write.parquet(arriving)
     stream = t.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(arriving)
-    _finish(jobs.watch_drift(logs_from_events(stream), reference, out, checkpoint, t.with_texts, as_of=AS_OF))
+    _finish(drift_watch.watch_drift(logs_from_events(stream), reference, out, checkpoint, t.with_texts, as_of=AS_OF))
     found = t.spark.read.parquet(f"{out}/results").filter("error IS NULL")
     found = found.filter(F.col("batch") == found.select(F.max("batch")).scalar())
     return _settle(

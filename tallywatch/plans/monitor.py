@@ -23,7 +23,7 @@ RESULT = (
 log = logging.getLogger(__name__)
 
 
-def _result(df: DataFrame, drift_type: str, confidence: Column) -> DataFrame:
+def result_rows(df: DataFrame, drift_type: str, confidence: Column) -> DataFrame:
     known = ("deployment_id", "is_drift_detected", "drift_score")
     details = F.to_json(F.struct(*[c for c in df.columns if c not in known]))
     return df.select(
@@ -57,11 +57,11 @@ def drift_checks(
         return df.join(busy, "deployment_id", "left_semi")
 
     return {
-        "data": lambda: _result(
+        "data": lambda: result_rows(
             reference.data_drift(with_texts(scoped(recent))), "data", F.col("confidence")
         ),
-        "concept": lambda: _result(scoped(concept_drift(recent)), "concept", F.col("drift_score")),
-        "model": lambda: _result(scoped(model_drift(logs, as_of, days)), "model", F.col("confidence")),
+        "concept": lambda: result_rows(scoped(concept_drift(recent)), "concept", F.col("drift_score")),
+        "model": lambda: result_rows(scoped(model_drift(logs, as_of, days)), "model", F.col("confidence")),
     }
 
 

@@ -13,10 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallywatch.functions.text import input_hash
-from tallywatch.operators.alerts import drift_alerts, routed
-from tallywatch.operators.drift_text import TextReference
+from tallywatch.operators.alerts import routed
 from tallywatch.operators.usage import ANOMALY_CONFIDENCE
-from tallywatch.plans.monitor import drift_checks, failure
 
 
 def start(df: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = ()) -> StreamingQuery:
@@ -92,41 +90,6 @@ def low_confidence_alerts(stream: DataFrame, deployments: DataFrame, threshold:
     )
 
 
-def watch_drift(
-    stream: DataFrame, reference: TextReference, path: str, checkpoint: str,
-    with_texts: Callable[[DataFrame], DataFrame] = lambda logs: logs, as_of: str | None = None, hours: int = 24, days: int = 7,
-) -> StreamingQuery:
-    """Run the drift checks whenever rows arrive, over the log kept so far, against a fixed reference.
-
-    Every batch is first added to the log under `path`/log, in a folder of its own that a replay overwrites, split by day.
-    The checks then read the days they look back on, so results do not depend on how rows fall into batches. `as_of`
-    defaults to the newest time of the batch. Results and alerts are files per batch. Each check writes on its own; one
-    that fails leaves a row with its error.
-    """
-
-    def check(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        log_rows(batch).write.mode("overwrite").partitionBy("predicted_on").parquet(f"{path}/log/batch={batch_id}")
-        log = spark.read.option("basePath", f"{path}/log").parquet(f"{path}/log").filter(F.col("batch") <= batch_id)
-        moment = as_of or log.filter(F.col("batch") == batch_id).agg(F.max("predicted_at")).first()[0]
-        if moment is None:
-            return
-        back = F.lit(str(moment)).cast("timestamp_ntz") - F.make_dt_interval(F.lit(max(days, -(-hours // 24)) + 1))
-        run(log.filter(F.col("predicted_on") >= back.cast("date")).drop("batch", "predicted_on"), batch_id, str(moment))
-
-    def run(rows: DataFrame, batch_id: int, moment: str) -> None:
-        spark = rows.sparkSession
-        for name, build in drift_checks(reference, rows, moment, with_texts, hours, days).items():
-            try:
-                build().write.mode("overwrite").parquet(f"{path}/results/batch={batch_id}/check={name}")
-            except Exception as error:  # the other checks go on; the failure is a row among the results
-                failure(spark, name, error).write.mode("overwrite").parquet(f"{path}/results/batch={batch_id}/check={name}")
-        results = spark.read.parquet(f"{path}/results/batch={batch_id}")
-        drift_alerts(results.drop("error")).write.mode("overwrite").parquet(f"{path}/alerts/batch={batch_id}")
-
-    return start_batches(stream, check, checkpoint)
-
-
 def route_alerts(alerts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Active alerts to two partitions of one table: `route=notify` for HIGH and CRITICAL, `route=log` for the others."""
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallywatch.operators import folds
 from tallywatch.sources import tables
 from tallywatch.sources.canonical import Tables, alert_events_from_lines
-from tallywatch.streaming import jobs, lifecycle
+from tallywatch.streaming import drift_watch, jobs, lifecycle
 
 NOW = datetime(2024, 5, 10, 12)
 
@@ -167,7 +167,7 @@ def test_drift_watch_keeps_going_when_a_check_fails(spark, tmp_path):
     _arrive(spark.createDataFrame([(i, "d", "POSITIVE", 0.9, 1.0, NOW) for i in range(12)], schema), source, "a")
     stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(source)
     # there is no input_text, so the text check fails
-    jobs.watch_drift(stream, reference, out, check).awaitTermination()
+    drift_watch.watch_drift(stream, reference, out, check).awaitTermination()
     found = spark.read.parquet(f"{out}/results").collect()
     assert {r.drift_type for r in found if r.error is None} == {"concept", "model"}
     assert [(r.drift_type, r.deployment_id) for r in found if r.error] == [("data", None)]
@@ -187,7 +187,7 @@ def test_drift_watch_looks_back_over_all_batches(spark, tmp_path):
         everything += rows
         _arrive(spark.createDataFrame(rows, schema), source, f"f{day}")
         stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(source)
-        jobs.watch_drift(stream, reference, out, check).awaitTermination()
+        drift_watch.watch_drift(stream, reference, out, check).awaitTermination()
     moment = str(max(r[5] for r in everything))
     batch = model_drift(spark.createDataFrame(everything, schema), moment).first()
     found = spark.read.parquet(f"{out}/results").filter("batch = 4 AND drift_type = 'model'").first()
