@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywatch.functions.numeric import kolmogorov_p, share, student_t_p
+from tallywatch.functions.numeric import kolmogorov_p, kolmogorov_small_p, share, student_t_p
 from tallywatch.functions.ordered import running_totals
 from tallywatch.operators.filters import since
 from tallywatch.operators.usage import LOW_CONFIDENCE, daily_performance
@@ -29,13 +29,15 @@ def magnitude_bucket(value: Column) -> Column:
 
 
 def ks_two_sample(
-    reference: DataFrame, current: DataFrame, keys: Sequence[str], shared: Sequence[str] = (), bucket: Column | None = None
+    reference: DataFrame, current: DataFrame, keys: Sequence[str], shared: Sequence[str] = (), bucket: Column | None = None,
+    exact_cells: int = 0,
 ) -> DataFrame:
     """Kolmogorov-Smirnov distance and p-value of every key of `current` against the reference.
 
     Both sides hold one row per distinct value (`value`, `n`); `shared` are keys of both sides, `keys` of the current
     side only. The distance is reached at a current value or just below one, so the reference's running totals are
-    joined to the current values by equality and the reference is never repeated per key.
+    joined to the current values by equality and the reference is never repeated per key. The p-value is the limiting series;
+    where the product of the sizes is at most `exact_cells`, the exact one.
     """
     bucket = magnitude_bucket(F.col("value")) if bucket is None else bucket
     shared, keys = list(shared), list(keys)
@@ -59,7 +61,8 @@ def ks_two_sample(
         F.max("cum_ref_total").alias("n_ref"),
         F.max("cum_cur_total").alias("n_cur"),
     )
-    return found.withColumn("p_value", kolmogorov_p(F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur")))
+    sides = F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur")
+    return found.withColumn("p_value", kolmogorov_small_p(*sides, exact_cells) if exact_cells else kolmogorov_p(*sides))
 
 
 @dataclass(frozen=True)

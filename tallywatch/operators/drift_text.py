@@ -222,16 +222,20 @@ class TextReference:
 
     def data_drift(
         self, current: DataFrame, keys: Sequence[str] = ("deployment_id",), column: str = "input_text",
-        threshold: float = 0.1, significance: float = 0.05,
+        threshold: float = 0.1, significance: float = 0.05, exact_cells: int = 0,
     ) -> DataFrame:
-        """Text drift per key: centroid distance, and a two-sample test on word counts; the texts are read once."""
+        """Text drift per key: centroid distance, and a two-sample test on word counts; the texts are read once.
+
+        `exact_cells` is that of `ks_two_sample`.
+        """
         keys = list(keys)
-        return self.drift_of(stored(text_sums(self.weights, current, keys, column), "text-sums"), keys, threshold, significance)
+        return self.drift_of(stored(text_sums(self.weights, current, keys, column), "text-sums"), keys, threshold, significance, exact_cells)
 
-    def drift_of(self, sums: DataFrame, keys: Sequence[str], threshold: float = 0.1, significance: float = 0.05) -> DataFrame:
+    def drift_of(self, sums: DataFrame, keys: Sequence[str], threshold: float = 0.1, significance: float = 0.05,
+                 exact_cells: int = 0) -> DataFrame:
         """Text drift per key from its text sums; they are read several times."""
         counts = length_counts(sums, keys)
-        ks = ks_two_sample(self.lengths, counts, keys)
+        ks = ks_two_sample(self.lengths, counts, keys, exact_cells=exact_cells)
         ref_mean = self.lengths.select(F.sum(F.col("value") * F.col("n")) / F.sum("n")).scalar()
         averages = counts.groupBy(*keys).agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("new_avg_length"))
         centroid = self.similarity(sums, keys)

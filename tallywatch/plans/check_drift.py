@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallywatch.functions.numeric import settle
 from tallywatch.functions.sizes import stored
+from tallywatch.functions.text import word_count
 from tallywatch.operators import drift_columns, drift_stats, drift_text, filters, texts
 from tallywatch.operators.alerts import drift_alerts
 from tallywatch.operators.datasets import reference_texts
@@ -114,8 +115,6 @@ KS_LENGTHS = ks_sql(
       {settled("p")} AS p_value FROM ks""",
 )
 def _(t: Tables):
-    from tallywatch.functions.text import word_count
-
     counts = [drift_stats.value_counts(df, [], word_count(F.col("text"))) for df in (_train(t), _test(t))]
     return _settle(drift_stats.ks_two_sample(*counts, []), "ks_statistic", "p_value")
 
@@ -389,6 +388,76 @@ def _(t: Tables):
     return _settle(_columns(t), "score")
 
 
+# the lower tail of the chi-square distribution as a power series
+CHI_P = """CASE WHEN chi <= 0 THEN 1 ELSE greatest(0, 1 - list_sum(list_transform(range(0, 400 + CAST(ceil(2 * chi) AS INT)),
+  lambda j: exp(-chi / 2 + ((categories - 1) / 2.0 + j) * ln(chi / 2) - lgamma((categories - 1) / 2.0 + j + 1))))) END"""
+LABELS = f"""cat AS ({_category_sql('endpoint')} UNION ALL {_category_sql('predicted_sentiment')} UNION ALL {_category_sql('model_version')}
+  UNION ALL {_category_sql('predicted_label').replace('predicted_label AS value', 'CAST(CAST(predicted_label AS DOUBLE) AS VARCHAR) AS value')}),"""
+LISTED = LABELS + CATEGORICAL[CATEGORICAL.index("s AS (") :]
+AREAS = " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", CAST({c} AS DOUBLE) AS value, count(*) FILTER (WHERE predicted_at < TIMESTAMP '{MIDDLE}') AS a,
+    count(*) FILTER (WHERE predicted_at >= TIMESTAMP '{MIDDLE}') AS b FROM prediction_logs WHERE {c} IS NOT NULL GROUP BY {c}"""
+    for c in ("confidence_score", "prediction_time")
+)
+
+
+@query(
+    "G11_distances_by_kind",
+    "prediction_logs",
+    f"""WITH v AS ({AREAS}), {LISTED},
+    w AS (SELECT *, sum(a) OVER k - a AS ca, sum(b) OVER k - b AS cb, sum(a) OVER (PARTITION BY "column") AS ta,
+      sum(b) OVER (PARTITION BY "column") AS tb, value - lag(value) OVER k AS gap FROM v
+      WINDOW k AS (PARTITION BY "column" ORDER BY value)),
+    spread AS (SELECT 'confidence_score' AS "column", stddev_pop(confidence_score) AS sd FROM prediction_logs WHERE predicted_at < TIMESTAMP '{MIDDLE}'
+      UNION ALL SELECT 'prediction_time', stddev_pop(prediction_time) FROM prediction_logs WHERE predicted_at < TIMESTAMP '{MIDDLE}'),
+    far AS (SELECT "column", sum(abs(ca / CAST(ta AS DOUBLE) - cb / CAST(tb AS DOUBLE)) * gap) / greatest(any_value(sd), 0.001) AS score
+      FROM w JOIN spread USING ("column") GROUP BY 1)
+    SELECT "column", 'wasserstein' AS stattest, {settled("score")} AS score, score >= 0.1 AS drift_detected FROM far
+    UNION ALL SELECT "column", 'jensen_shannon', {settled("score")}, score >= 0.1 FROM js""",
+)
+def _(t: Tables):
+    found = drift_columns.drift_by_kind(
+        *_halves(t), ["confidence_score", "prediction_time", "predicted_label"], ["endpoint", "predicted_sentiment", "model_version"], small=0
+    )
+    return _settle(found, "score")
+
+
+@query(
+    "G11_tests_by_kind",
+    "prediction_logs",
+    f"""WITH {NUMERIC}, {LISTED},
+    tested AS (SELECT "column", CASE categories WHEN 2 THEN 'z_test' ELSE 'chi_square' END AS stattest, {CHI_P} AS p FROM js)
+    SELECT k AS "column", 'kolmogorov_smirnov' AS stattest, {settled("p")} AS score, p < 0.05 AS drift_detected FROM ks WHERE k <> 'predicted_label'
+    UNION ALL SELECT "column", stattest, {settled("p")}, p < 0.05 FROM tested""",
+)
+def _(t: Tables):
+    found = drift_columns.drift_by_kind(
+        *_halves(t), ["confidence_score", "prediction_time", "predicted_label"], ["endpoint", "predicted_sentiment", "model_version"], small=1_000_000_000
+    )
+    return _settle(found, "score")
+
+
+@query(
+    "G4_exact_length_ks",
+    "labelled_texts",
+    f"""WITH RECURSIVE words AS (SELECT split, {WORDS} AS value FROM labelled_texts
+      WHERE label IS NOT NULL AND split IN ('validation', 'test')),
+    c AS (SELECT value, count(*) FILTER (WHERE split = 'validation') AS a, count(*) FILTER (WHERE split = 'test') AS b FROM words GROUP BY 1),
+    t AS (SELECT sum(a) AS n, sum(b) AS m FROM c),
+    d AS (SELECT CAST(n AS BIGINT) AS n, CAST(m AS BIGINT) AS m, CAST(max(abs(ca * m - cb * n)) AS BIGINT) AS far FROM
+      (SELECT sum(a) OVER (ORDER BY value) AS ca, sum(b) OVER (ORDER BY value) AS cb FROM c), t GROUP BY n, m),
+    walk AS (SELECT 0 AS s, list_transform(range(0, n + 1), lambda i: CASE WHEN i = 0 THEN CAST(1 AS DOUBLE) ELSE 0 END) AS p FROM d
+      UNION ALL SELECT s + 1, list_transform(range(0, n + 1), lambda i: CASE WHEN i <= s + 1 AND s + 1 - i <= m AND abs(i * m - (s + 1 - i) * n) < far
+        THEN p[i + 1] * (s + 1 - i) / (s + 1) + coalesce(p[i], 0) * i / (s + 1) ELSE CAST(0 AS DOUBLE) END) FROM walk, d WHERE s < n + m)
+    SELECT n AS n_ref, m AS n_cur, {settled("far / CAST(n * m AS DOUBLE)")} AS ks_statistic, {settled("1 - p[n + 1]")} AS p_value FROM walk, d WHERE s = n + m""",
+)
+def _(t: Tables):
+    counted = t.labelled_texts.filter("label IS NOT NULL").select("split", word_count(F.col("text")).alias("words"))
+    sides = [drift_stats.value_counts(counted.filter(F.col("split") == s), [], F.col("words")) for s in ("validation", "test")]
+    found = drift_stats.ks_two_sample(*sides, [], exact_cells=4_000_000)
+    return _settle(found.select("n_ref", "n_cur", "ks_statistic", "p_value"), "ks_statistic", "p_value")
+
+
 @query(
     "G12_drift_summary",
     "prediction_logs",

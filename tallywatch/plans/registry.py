@@ -19,6 +19,8 @@ def with_views(names: str, body: str) -> str:
     if not views:
         return body.strip()
     body = body.strip()
+    if body.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {views}, {body[15:]}"
     if body.upper().startswith("WITH "):
         return f"WITH {views}, {body[5:]}"
     return f"WITH {views} {body}"
