@@ -208,9 +208,10 @@ def train(train_texts: DataFrame, validation: DataFrame, path: str, config: Trai
 
 
 def load(spark: SparkSession, path: str, config: TrainingConfig, metric: str = "eval_f1", highest: bool = True) -> Trained:
-    """The model of the best checkpoint, the earliest of equals."""
+    """The model of the best checkpoint, the earliest of equals; by `metric` epoch, the last one."""
     kept = spark.read.schema(f"epoch int, {CHECKPOINT}").parquet(f"{path}/checkpoints")
-    best = best_checkpoint(kept.select(F.lit(path).alias("run"), "epoch", metric), ["run"], metric, highest).first()["epoch"]
+    ranked = kept.select(F.lit(path).alias("run"), "epoch", F.col(metric).alias("metric"))
+    best = best_checkpoint(ranked, ["run"], "metric", highest).first()["epoch"]
     return Trained(np.frombuffer(kept.filter(F.col("epoch") == best).first()["weights"]).copy(), config)
 
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallywatch.functions.numeric import settle
-from tallywatch.functions.sizes import stored
+from tallywatch.functions.sizes import scratch_folder, stored
 from tallywatch.functions.text import word_count
-from tallywatch.operators import drift_columns, drift_stats, drift_text, filters, texts
+from tallywatch.operators import drift_columns, drift_content, drift_stats, drift_text, filters, texts
 from tallywatch.operators.alerts import drift_alerts
 from tallywatch.operators.datasets import reference_texts
 from tallywatch.operators.usage import daily_performance
@@ -473,6 +473,36 @@ def _(t: Tables):
     return _settle(summary.withColumn("drifted", F.array_join(named, ",")).drop("drifted_features"), "drift_share")
 
 
+@query(
+    "G13_rank_sum_auc",
+    "prediction_logs",
+    f"""WITH r AS (SELECT endpoint, predicted_at >= TIMESTAMP '{MIDDLE}' AS current, confidence_score AS s FROM prediction_logs WHERE confidence_score IS NOT NULL),
+    k AS (SELECT *, rank() OVER (PARTITION BY endpoint ORDER BY s) + (count(*) OVER (PARTITION BY endpoint, s) - 1) / 2.0 AS mid FROM r),
+    t AS (SELECT endpoint, count(*) FILTER (WHERE NOT current) AS n_ref, count(*) FILTER (WHERE current) AS n_cur,
+      CAST(sum(mid) FILTER (WHERE current) AS DOUBLE) AS ranks FROM k GROUP BY 1)
+    SELECT endpoint, n_ref, n_cur, {settled("(ranks - n_cur * (n_cur + 1) / 2.0) / nullif(CAST(n_ref AS DOUBLE) * n_cur, 0)")} AS auc FROM t""",
+)
+def _(t: Tables):
+    sided = t.logs.withColumn("label", (F.col("predicted_at") >= filters.moment(MIDDLE)).cast("int"))
+    return _settle(drift_content.area_under_curve(sided, ["endpoint"], value="confidence_score"), "auc")
+
+
+@query(
+    "G13_content_drift",
+    "",
+    """SELECT 'another language' AS compared, true AS told_apart UNION ALL SELECT 'equal sides', false""",
+)
+def _(t: Tables):
+    english, german = (t.documents.filter(F.col("lang") == lang) for lang in ("en", "de"))
+    made = [
+        drift_content.content_drift(reference, current, scratch_folder(t.spark, "content")).select(
+            F.lit(name).alias("compared"), F.when(F.col("auc").between(0.45, 0.55), False).when(F.col("auc") > 0.9, True).alias("told_apart")
+        )
+        for name, reference, current in (("another language", english, german), ("equal sides", english, english))
+    ]
+    return made[0].unionByName(made[1])
+
+
 DESCRIBED = f"""{REFERENCE_TOKENS}, d0 AS (SELECT doc_id, split, {DESCRIPTORS}, {TOKENS} AS toks FROM labelled_texts),
   kn AS (SELECT doc_id, count(*) FILTER (WHERE token IN (SELECT token FROM reference_tokens)) AS known
     FROM (SELECT doc_id, unnest(toks) AS token FROM d0) GROUP BY 1),
