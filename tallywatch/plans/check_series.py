@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallywatch.functions.numeric import settle
-from tallywatch.operators import requests, series, usage
+from tallywatch.functions.sizes import stored
+from tallywatch.operators import requests, series, sketches, usage
 from tallywatch.plans.registry import query, settled
 from tallywatch.sources.canonical import Tables
 
@@ -169,6 +170,28 @@ def _(t: Tables):
     )
 
 
+@query(
+    "T3_merged_sketches",
+    "prediction_logs",
+    """SELECT CAST(date_trunc('day', predicted_at) AS TIMESTAMP) AS window_start, endpoint, CAST(count(prediction_time) AS BIGINT) AS n,
+      count(prediction_time) > 0 AS p95_within_bound, true AS clients_within_bound FROM prediction_logs GROUP BY 1, 2""",
+)
+def _(t: Tables):
+    # panes of five minutes are stored and merged to days; a merged quantile lies between the exact ones of nearby ranks
+    labels, value, width = ["endpoint"], F.col("prediction_time"), "1 day"
+    panes = stored(sketches.sketch_panes(t.logs, "predicted_at", labels, value, F.col("client_id")), "panes")
+    merged = sketches.from_panes(panes, labels, width, quantiles={"p95": 0.95})
+    low, high = 0.95 - sketches.RANK_ERROR - 0.03, min(1.0, 0.95 + sketches.RANK_ERROR + 0.03)  # widened to whole rows
+    around = series.exact_window_quantiles(t.logs, "predicted_at", labels, value, {"low": low, "high": high}, width)
+    clients = t.logs.groupBy(F.window("predicted_at", width)["start"].alias("window_start"), "endpoint").agg(F.count_distinct("client_id").alias("exact"))
+    joined = merged.join(around, ["window_start", "endpoint"], "left").join(clients, ["window_start", "endpoint"])
+    near = F.abs(F.col("clients") - F.col("exact")) <= F.greatest(F.lit(1.0), sketches.COUNT_ERROR * F.col("exact"))
+    return joined.select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"), "endpoint", "n",
+        F.coalesce(F.col("p95").between(F.col("low"), F.col("high")), F.lit(False)).alias("p95_within_bound"), near.alias("clients_within_bound"),
+    )
+
+
 @query(
     "T4_mean_confidence",
     "prediction_logs",
