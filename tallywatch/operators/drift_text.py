@@ -119,7 +119,8 @@ def text_sums(weights: TermWeights, texts: DataFrame, keys: Sequence[str] = (),
                 cells, cell = np.unique(group * size + place, return_inverse=True)
                 owner = pa.array(first[cells // size])
                 arrays = [batch.column(n).take(owner) for n in names]
-                arrays += [pa.array([kind] * len(cells), pa.string()), pa.array(cells % size), pa.array(np.bincount(cell, x, minlength=len(cells)))]
+                total = np.bincount(cell, x, minlength=len(cells)).astype(np.float64)  # integers where there is nothing to count
+                arrays += [pa.array([kind] * len(cells), pa.string()), pa.array(cells % size), pa.array(total)]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*names, "kind", "place", "x"])
 
     kinds = ", ".join(f"{n} {texts.schema[k].dataType.simpleString()}" for k, n in zip(keys, names))
