@@ -37,7 +37,7 @@ _UNITS = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
 class Params:
     vocabulary: str = "/opt/tokenizers/piece_bpe_32k.model"
     chunk_chars: int = 1 << 16
-    kept_units: int = 250_000
+    kept_units: int = 100_000
 
 
 def marked(text: str) -> str:
@@ -269,6 +269,7 @@ def encode(docs: DataFrame, keep: list[str], params: Params = Params(), check: b
                 if check:
                     arrays.append(pa.array([encoder.decode(i) == t.replace(SPACE, " ") for i, t in zip(ids, texts)]))
                 yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+            pa.default_memory_pool().release_unused()  # a reused worker would keep what its largest batch took
 
     short = plain.filter(~long).mapInArrow(whole, schema)
     giant = plain.filter(long)
