@@ -150,3 +150,15 @@ def test_scratch_folder_is_the_shared_one_on_a_cluster():
     assert "tallywatch-" in scratch_folder(Session(None, "local[2]"), "log")
     with pytest.raises(ValueError):
         scratch_folder(Session(None, "spark://host:7077"), "log")
+
+
+def test_bucket_is_the_number_of_cuts_below(spark):
+    from bisect import bisect_left
+
+    from tallywatch.functions.ordered import bucket_of
+
+    values = [None, float("nan"), -1.0, 0.0, 0.5, 1.0, 3.0, 3.5, 7.0, 100.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double").coalesce(1)
+    for cuts in ([], [3.0], [0.0, 1.0, 3.0], [float(i) for i in range(17)]):
+        got = [r.b for r in df.select(bucket_of(F.col("v"), cuts).alias("b")).collect()]
+        assert got == [0 if v is None else len(cuts) if v != v else bisect_left(cuts, v) for v in values]

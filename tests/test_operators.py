@@ -388,3 +388,17 @@ def test_requests_at_their_default_limits(spark):
     calls = [("c", NOW + timedelta(milliseconds=500 * i)) for i in range(110)] + [("d", NOW)]
     over = requests.over_rate(spark.createDataFrame(calls, "client string, ts timestamp_ntz"), ["client"], "ts").collect()
     assert {r.client for r in over} == {"c"} and len(over) == 10
+
+
+def test_texts_are_not_shuffled_for_weights_and_read_once_for_drift(spark, small):
+    from tallywatch.operators.drift_text import TermWeights, term_weights, text_sums
+
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    weights = TermWeights(("a", "b"), (1.0, 2.0))
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    assert "Exchange" not in plan(term_weights(weights, docs))
+    sums = plan(text_sums(weights, docs, ["lang"]))
+    assert sums.count("FileScan") == 1 and sums.count("Exchange") == 1 and sums.index("Exchange") < sums.index("MapInArrow")
