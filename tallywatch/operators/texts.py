@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tallywatch.functions.lookup import TokenTable
+from tallywatch.functions.sizes import stored
 from tallywatch.functions.text import attention_mask, non_letter_share, pad_ids, tokens, word_count
 
 PAD_ID, UNKNOWN_ID, FIRST_ID = 0, 1, 2
@@ -27,25 +34,53 @@ def reference_tokens(texts: DataFrame, column: str = "text") -> DataFrame:
     return each.filter(F.col("token").isNotNull()).distinct()
 
 
+def _by_join(df: DataFrame, vocabulary: DataFrame, value: str, missing: int) -> DataFrame:
+    """`df` with the values of its `_tokens` as `_values`, for vocabularies that no task can hold: tokens meet them in a shuffle."""
+    numbered = df.withColumn("_row", F.monotonically_increasing_id())  # repeated rows stay apart
+    each = numbered.select("_row", *[c for c in df.columns if c != "_tokens"], F.posexplode_outer("_tokens").alias("_at", "token"))
+    known = each.join(vocabulary.select("token", F.col(value).cast("int").alias("_value")), "token", "left")
+    coded = F.when(F.col("token").isNotNull(), F.struct("_at", F.coalesce("_value", F.lit(missing)).alias("v")))
+    others = [c for c in df.columns if c != "_tokens"]
+    gathered = known.groupBy("_row", *others).agg(F.collect_list(coded).alias("_coded"))
+    return gathered.select(*others, F.transform(F.array_sort("_coded"), lambda x: x["v"]).alias("_values"))
+
+
+def _looked_up(df: DataFrame, vocabulary: DataFrame, value: str, missing: int) -> DataFrame:
+    """`df` with the values of its `_tokens` as `_values` in their place; tokens outside the vocabulary give `missing`.
+
+    A vocabulary within the bounds of `TokenTable` goes to every worker once, and tokens are looked up where they are read.
+    """
+    vocabulary = stored(vocabulary.select("token", value), "vocabulary")  # measured, then fetched or joined
+    table = TokenTable.fetched(vocabulary, value)
+    if table is None:
+        return _by_join(df, vocabulary, value, missing)
+    shipped = df.sparkSession.sparkContext.broadcast(table)
+    others = [c for c in df.columns if c != "_tokens"]
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("_tokens")
+            sizes = lists.value_lengths().fill_null(0).to_numpy()
+            ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+            values = pa.ListArray.from_arrays(ends, pa.array(shipped.value.find(lists.flatten(), missing)))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in others], values], names=[*others, "_values"])
+
+    schema = T.StructType([*[df.schema[c] for c in others], T.StructField("_values", T.ArrayType(T.IntegerType()))])
+    return df.select(*others, "_tokens").mapInArrow(find, schema)
+
+
 def encode(
     texts: DataFrame, vocabulary: DataFrame, id_column: str = "doc_id", max_length: int = 512,
     keep: tuple[str, ...] = ("label", "split"), column: str = "text",
 ) -> DataFrame:
     """Fixed-length token ids and their attention mask; only the id and the kept columns stay with them.
 
-    Tokens are cut to `max_length` before they are exploded, and the ids of a text are gathered again in the task that
-    read it, so the shuffle carries one short array per text.
+    Tokens are cut to `max_length` before their ids are looked up in the task that reads the text.
     """
     kept = [c for c in keep if c in texts.columns]
     cut = texts.select(id_column, *kept, F.slice(tokens(F.col(column)), 1, max_length).alias("_tokens"))
-    each = cut.select(id_column, *kept, F.posexplode_outer("_tokens").alias("_at", "token"))
-    known = each.join(vocabulary, "token", "left")
-    code = F.when(F.col("token").isNotNull(), F.coalesce("token_id", F.lit(UNKNOWN_ID)))
-    gathered = known.groupBy(id_column, *kept).agg(
-        F.collect_list(F.when(code.isNotNull(), F.struct(F.col("_at"), code.alias("id")))).alias("_coded")
-    )
-    ids = F.transform(F.array_sort("_coded"), lambda x: x["id"])
-    return gathered.select(
+    ids = F.col("_values")
+    return _looked_up(cut, vocabulary, "token_id", UNKNOWN_ID).select(
         id_column,
         *kept,
         pad_ids(ids, max_length, PAD_ID).alias("input_ids"),
@@ -68,11 +103,7 @@ def describe(texts: DataFrame, vocabulary: DataFrame | None = None, id_column: s
     )
     if vocabulary is None:
         return described
-    others = [c for c in described.columns if c != "_tokens"]
-    each = described.select(*others, F.explode_outer("_tokens").alias("token"))
-    known = each.join(vocabulary.select("token", F.lit(1).alias("_known")), "token", "left")
-    return known.groupBy(*others).agg(
-        F.coalesce(
-            1 - F.try_divide(F.count("_known").cast("double"), F.count("token").cast("double")), F.lit(0.0)
-        ).alias("oov_share")
-    )
+    found = _looked_up(described, vocabulary.withColumn("_known", F.lit(1)), "_known", 0)
+    known = F.aggregate("_values", F.lit(0), lambda acc, v: acc + v)
+    share = F.coalesce(1 - F.try_divide(known.cast("double"), F.size("_values").cast("double")), F.lit(0.0))
+    return found.withColumn("oov_share", share).drop("_values")
