@@ -33,7 +33,8 @@ def components(edges: DataFrame) -> DataFrame:
         seen, current = mark, current.coalesce(parts)
         both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(lowest, "u").filter("v > u AND v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(lowest, "u").filter("v > u AND v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = large.coalesce(parts).distinct().coalesce(parts)  # no step makes more edges than it gets
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lowest, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        current = cut(small.union(lowest.select("u", F.col("m").alias("v"))).distinct())
+        current = cut(small.union(lowest.select("u", F.col("m").alias("v"))).coalesce(parts).distinct().coalesce(parts))

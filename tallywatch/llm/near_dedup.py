@@ -31,10 +31,11 @@ from pyspark.sql import functions as F
 
 from tallywatch.llm import words as W
 from tallywatch.llm.components import components
-from tallywatch.llm.scratch import cut
+from tallywatch.llm.scratch import cut, gathered
 
 FILTER_BITS = 1 << 26  # of the bitmap of wanted ids: 8 MB whatever the input
 MAP_BITS = 32768  # of one bitmap built by Spark
+ROWS_A_PART = 100_000  # of classes, nodes' members and pairs: some 300 bytes a row
 
 
 @dataclass(frozen=True)
@@ -148,7 +149,7 @@ def _full_sets(docs: DataFrame, ids: DataFrame, params: Params) -> DataFrame:
 
 def confirm(docs: DataFrame, pairs: DataFrame, params: Params) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
-    pairs = cut(pairs)
+    pairs = gathered(pairs, ROWS_A_PART)
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     sets = _full_sets(docs, ids, params)
     left = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
@@ -328,17 +329,17 @@ def _labelled(rows: DataFrame, comps: DataFrame | None) -> DataFrame:
 
 def links(docs: DataFrame, sketched: DataFrame, params: Params) -> tuple[DataFrame, DataFrame]:
     """The classes (rep, n, set_a, set_b, tokens) and the component of every class that is linked (id, component)."""
-    classes = cut(
+    classes = gathered(
         sketched.filter("n > 0 AND doc_id IS NOT NULL")
         .groupBy("set_a", "set_b")
-        .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("tokens").alias("tokens"))
+        .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("tokens").alias("tokens")),
+        ROWS_A_PART,
     )
-    total = classes.count()
     roots = [  # root r selects token r: tokens are independent, so any choice is as good
         F.struct(F.xxhash64(F.lit(r), F.substring("tokens", 4 * r + 1, 4)).alias("node"), F.lit(r).cast("long").alias("root"))
         for r in range(params.trees * params.branches)
     ]
-    rows = cut(_labelled(classes.select("rep", F.inline(F.array(*roots))), None))
+    rows = gathered(_labelled(classes.select("rep", F.inline(F.array(*roots))), None), ROWS_A_PART)
     comps = None
     for step in range(params.rounds):
         key = F.col("rep") if step == 0 else F.xxhash64("rep", F.lit(step))
@@ -349,10 +350,10 @@ def links(docs: DataFrame, sketched: DataFrame, params: Params) -> tuple[DataFra
             .select(F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b"))
             .distinct()
         )
-        found = cut(confirm(docs, _passing(pairs, classes, params), params))
+        found = gathered(confirm(docs, _passing(pairs, classes, params), params), ROWS_A_PART)
         edges = found if comps is None else comps.select(F.col("id").alias("a"), F.col("component").alias("b")).union(found)
         comps = cut(components(edges))
-        rows = cut(_labelled(rows.drop("size"), comps))
+        rows = gathered(_labelled(rows.drop("size"), comps), ROWS_A_PART)
 
     def split(grown: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
         """Rows of the nodes to be compared now, and of those that go on."""
@@ -366,7 +367,7 @@ def links(docs: DataFrame, sketched: DataFrame, params: Params) -> tuple[DataFra
     compared, going = split(rows, 0)
     masks = compared.groupBy("rep").agg(F.bit_or(F.expr("shiftleft(1L, CAST(root AS INT))")).alias("mask"))
     described = classes.select("rep", "n", "tokens").join(masks, "rep", "left").withColumn("mask", F.coalesce("mask", F.lit(0)).cast("long"))
-    described = cut(described.join(rows.select("rep").distinct(), "rep", "left_semi"))
+    described = gathered(described.join(rows.select("rep").distinct(), "rep", "left_semi"), ROWS_A_PART)
     parts = [_blocks(compared.join(described, "rep"), params)]
     going = going.join(described, "rep")
     for depth in range(1, params.max_depth + 1):
@@ -375,12 +376,12 @@ def links(docs: DataFrame, sketched: DataFrame, params: Params) -> tuple[DataFra
         deeper = _children(going.withColumn("parent", F.col("size")).drop("size"), params)
         # a pair that a root node compares is left to it: deeper nodes come after all roots
         deeper = deeper.withColumn("root", F.lit(params.trees * params.branches).cast("long"))
-        compared, going = split(cut(_labelled(deeper, comps)), depth)
+        compared, going = split(gathered(_labelled(deeper, comps), ROWS_A_PART), depth)
         parts.append(_blocks(compared, params))
     flagged = _flagged(parts[0], params)
     for more in parts[1:]:
         flagged = flagged.union(_flagged(more, params))
-    flagged = cut(flagged)
+    flagged = gathered(flagged, ROWS_A_PART)
     sets = _full_sets(docs, flagged.select(F.col("rep").alias("id")).distinct(), params)
     found = _verified(flagged, sets, params)
     edges = comps.select(F.col("id").alias("a"), F.col("component").alias("b")).union(found)

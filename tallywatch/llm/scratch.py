@@ -30,6 +30,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def gathered(df: DataFrame, rows_a_part: int) -> DataFrame:
+    """A checkpoint of `df` in as few partitions as hold `rows_a_part` rows each, at most as many as it has.
+
+    Each partition of what follows writes its own shuffle files, so many nearly empty ones cost more disk than their rows.
+    """
+    made = cut(df)
+    return made.coalesce(1 + made.count() // rows_a_part)
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """`df` written to a new folder of the shared storage and read back; unlike `cut`, it may be joined with itself."""
     path = folder(df.sparkSession, purpose)
