@@ -1,9 +1,11 @@
 """Training a text classifier by epochs: mini-batches, decoupled weight decay, checkpoints and resuming.
 
 Examples are hashed character n-grams of whole texts, made once where the texts are read and written with their mini-batch as
-a partition of the table, so that a step reads its own files alone. A step's gradient is summed over partitions by Spark;
-the driver holds the model (one number per bucket) and its moments. After every epoch the model, its moments and the
-metrics over the validation texts are written as a checkpoint, which `best_checkpoint` ranks and training resumes from.
+a partition of the table, so that a step reads its own files alone. Steps follow each other: a job makes those of some thousand
+examples, reading one mini-batch after another, and hands the model on to the next job. A larger mini-batch is a job of its
+own, whose gradient is summed over partitions by Spark. The driver holds the model (one number per bucket) and its moments.
+After every epoch the model, its moments and the metrics over the validation texts are written as a checkpoint, which
+`best_checkpoint` ranks and training resumes from.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ from tallywatch.operators.scoring import from_probabilities, weighted_metrics
 
 EXAMPLES = "label double, places array<int>, values array<double>"
 CLASSES = "label double, n long, slots int"
+RUN = "step long, loss double, seen double, weights binary, first_moment binary, second_moment binary"
+RUN_EXAMPLES = 8192  # examples whose mini-batches one job goes through
 CHECKPOINT = (
     "step long, train_loss double, eval_loss double, eval_accuracy double, eval_precision double, eval_recall double, "
     "eval_f1 double, weights binary, first_moment binary, second_moment binary"
@@ -89,24 +93,69 @@ def _loss(z: np.ndarray, label: np.ndarray) -> np.ndarray:
     return np.logaddexp(0, z) - label * z
 
 
+def _add_gradient(total: np.ndarray, batch: pa.RecordBatch, weights: np.ndarray, class_weights: np.ndarray) -> None:
+    """Add the examples' gradient of the weighted logistic loss, the loss and their number to `total`."""
+    z, row, place, value = _margins(batch, weights)
+    label = np.asarray(batch.column("label"))
+    weight = class_weights[label.astype(np.int64)]
+    error = weight * (1 / (1 + np.exp(-z)) - label)
+    total[: len(weights) - 1] += np.bincount(place, value * error[row], minlength=len(weights) - 1)
+    total[len(weights) - 1 :] += error.sum(), (weight * _loss(z, label)).sum(), len(label)
+
+
 def gradient(rows: DataFrame, weights: np.ndarray, class_weights: np.ndarray) -> tuple[np.ndarray, float, float]:
     """Summed gradient of the weighted logistic loss, the loss and the number of examples, over the rows of a table."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(weights) + 2)
         for batch in batches:
-            z, row, place, value = _margins(batch, weights)
-            label = np.asarray(batch.column("label"))
-            weight = class_weights[label.astype(np.int64)]
-            error = weight * (1 / (1 + np.exp(-z)) - label)
-            total[: len(weights) - 1] += np.bincount(place, value * error[row], minlength=len(weights) - 1)
-            total[len(weights) - 1 :] += error.sum(), (weight * _loss(z, label)).sum(), len(label)
+            _add_gradient(total, batch, weights, class_weights)
         yield pa.RecordBatch.from_arrays([pa.array([total])], names=["part"])
 
     total = _sum_of(rows.select("label", "places", "values").mapInArrow(work, "part array<double>"))
     return (total[:-2], float(total[-2]), float(total[-1])) if len(total) else (np.zeros(len(weights)), 0.0, 0.0)
 
 
+def run_steps(rows: DataFrame, run: Sequence[int], weights: np.ndarray, moments: Moments, class_weights: np.ndarray,
+              config: TrainingConfig, steps: int) -> tuple[np.ndarray, Moments, float, float]:
+    """The model and its moments after a step on each mini-batch of the run in its order, the loss and the number of examples.
+
+    One task reads the run's examples in order and holds no more of them than an Arrow batch.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, own, total, at = weights, Moments(moments.first, moments.second, moments.step), np.zeros(len(weights) + 2), None
+        loss = seen = 0.0
+
+        def step() -> None:
+            nonlocal model, loss, seen
+            model = own.update(model, total[:-2] / total[-1], config, steps)
+            loss, seen = loss + total[-2], seen + total[-1]
+            total[:] = 0
+
+        for batch in batches:
+            place = np.asarray(batch.column("at"))
+            starts = np.flatnonzero(np.diff(place, prepend=-1))
+            for begin, end in zip(starts, [*starts[1:], len(place)]):
+                if at is not None and at != place[begin]:
+                    step()
+                at = place[begin]
+                _add_gradient(total, batch.slice(begin, end - begin), model, class_weights)
+        if at is not None:
+            step()
+            kept = [pa.array([x.tobytes()], pa.binary()) for x in (model, own.first, own.second)]
+            yield pa.RecordBatch.from_arrays([pa.array([own.step]), pa.array([loss]), pa.array([seen]), *kept], names=[c.split()[0] for c in RUN.split(", ")])
+
+    chosen = rows.filter(F.col("slot").isin(list(run))).withColumn("at", F.array_position(F.lit(list(run)), F.col("slot")))
+    ordered = chosen.select("label", "places", "values", "at").coalesce(1).sortWithinPartitions("at")
+    made = ordered.mapInArrow(work, RUN).collect()
+    if not made:  # no mini-batch of the run has an example
+        return weights, moments, 0.0, 0.0
+    done = made[0]
+    model, first, second = (np.frombuffer(done[c]).copy() for c in ("weights", "first_moment", "second_moment"))
+    return model, Moments(first, second, done["step"]), done["loss"], done["seen"]
+
+
 def evaluate(rows: DataFrame, weights: np.ndarray) -> dict[str, float]:
     """Loss and weighted metrics over a table of examples."""
 
@@ -196,11 +245,15 @@ def train(train_texts: DataFrame, validation: DataFrame, path: str, config: Trai
         moments, done = Moments(first, second, last["step"]), last["epoch"]
     for epoch in range(done + 1, min(config.epochs, until or config.epochs) + 1):
         loss = seen = 0.0
-        for slot in np.random.default_rng([config.seed, epoch]).permutation(slots).tolist():
-            grad, part, n = gradient(rows.filter(F.col("slot") == slot), weights, class_weights)
-            if n:
-                weights = moments.update(weights, grad / n, config, slots * config.epochs)
-                loss, seen = loss + part, seen + n
+        order = np.random.default_rng([config.seed, epoch]).permutation(slots).tolist()
+        size = max(1, RUN_EXAMPLES // config.batch_size)
+        for run in (order[i : i + size] for i in range(0, slots, size)):
+            if size > 1:
+                weights, moments, part, n = run_steps(rows, run, weights, moments, class_weights, config, slots * config.epochs)
+            else:
+                grad, part, n = gradient(rows.filter(F.col("slot") == run[0]), weights, class_weights)
+                weights = moments.update(weights, grad / n, config, slots * config.epochs) if n else weights
+            loss, seen = loss + part, seen + n
         metrics = evaluate(held, weights)
         row = (moments.step, float(loss / max(seen, 1)), *metrics.values(), *(x.tobytes() for x in (weights, moments.first, moments.second)))
         spark.createDataFrame([row], CHECKPOINT).coalesce(1).write.mode("overwrite").parquet(f"{path}/checkpoints/epoch={epoch}")

@@ -74,6 +74,25 @@ def test_epochs_equal_a_plain_loop_and_resume(spark, tmp_path):
     assert all(abs(sum(r.probabilities) - 1) < 1e-3 and r.predicted_sentiment in ("POSITIVE", "NEGATIVE") for r in scored)
 
 
+@pytest.mark.parametrize("run", [1, 30, 8192])
+def test_runs_of_any_length_take_the_same_steps_and_few_jobs(spark, tmp_path, monkeypatch, run):
+    monkeypatch.setattr(training, "RUN_EXAMPLES", run)
+    monkeypatch.setattr(training, "prepare", lambda *a, made=training.prepare: made(*a) or began.append(jobs()))
+    began = []
+
+    def jobs():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(str(tmp_path)))
+
+    spark.sparkContext.setJobGroup(str(tmp_path), "training")
+    training.train(texts_of(spark, 240), texts_of(spark, 20), str(tmp_path), training.TrainingConfig(epochs=1, batch_size=10, buckets=64))
+    took = jobs() - began[0]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    want = plain(spark, str(tmp_path), training.TrainingConfig(epochs=1, batch_size=10, buckets=64))
+    assert np.allclose(weights_of(spark, str(tmp_path))[1], want[0], atol=1e-9)
+    assert took < 24 or run < 8192  # 25 mini-batches
+
+
 def test_search_tries_the_grid_on_the_same_examples(spark, tmp_path):
     texts = texts_of(spark, 60)
     grid = [{"learning_rate": 0.0001}, {"learning_rate": 0.1, "weight_decay": 0.0}]
