@@ -71,10 +71,10 @@ def words_without_stops(text: Column, stop_words: Sequence[str] = ENGLISH_STOP_W
 
 
 def with_bigrams(words: Column) -> Column:
-    """The words followed by every pair of neighbouring words joined with one space."""
+    """The words followed by every pair of neighbouring words joined with one space; NULL for a pair with a NULL word."""
     size = F.size(words)
     firsts = F.slice(words, 1, F.greatest(size - 1, F.lit(0)))
-    pairs = F.zip_with(firsts, F.slice(words, 2, F.greatest(size - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
+    pairs = F.zip_with(firsts, F.slice(words, 2, F.greatest(size - 1, F.lit(0))), lambda a, b: F.concat(a, F.lit(" "), b))
     return F.when(size > 1, F.concat(words, pairs)).otherwise(words)
 
 

@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 RUN_BYTES = 4 << 20
+RUN_VALUES = 1 << 19
 _LOWER = np.arange(256, dtype=np.uint64)
 _LOWER[65:91] += np.uint64(32)
 _FACTOR = np.uint64(0x9E3779B1)
@@ -32,6 +33,18 @@ def text_runs(column: pa.Array, run_bytes: int = RUN_BYTES) -> Iterator[tuple[sl
         at = stop
 
 
+def list_runs(batches: Iterator[pa.RecordBatch], column: str, values: int = RUN_VALUES) -> Iterator[pa.RecordBatch]:
+    """The batches' rows, some at a time: with about so many values in a list column; one longer list is a run of its own."""
+    for batch in batches:
+        ends = np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(batch.column(column)), 0)).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + values, "right")))
+            yield batch.slice(at, stop - at)
+            at = stop
+        pa.default_memory_pool().release_unused()  # a reused worker would keep what its largest batch took
+
+
 def _counted(row: np.ndarray, place: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (row, place) in order and how often each occurs."""
     keys, counts = np.unique(row * size + place, return_counts=True)

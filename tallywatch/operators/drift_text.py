@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 
 from tallywatch.functions.sizes import stored
 from tallywatch.functions.text import ENGLISH_STOP_WORDS, with_bigrams, word_count, words_without_stops
-from tallywatch.functions.vectors import term_counts, unit_length
+from tallywatch.functions.vectors import list_runs, term_counts, unit_length
 from tallywatch.operators.drift_stats import ks_two_sample
 
 MAX_FEATURES = 1000
+FREQUENT_WORDS = 10_000  # words that a plan may name
 
 
 def add_terms(df: DataFrame, column: str, stop_words: Sequence[str] = ENGLISH_STOP_WORDS, output: str = "terms") -> DataFrame:
@@ -28,6 +29,21 @@ def add_terms(df: DataFrame, column: str, stop_words: Sequence[str] = ENGLISH_ST
     return words.withColumn(output, with_bigrams(F.col("_words"))).drop("_words")
 
 
+def add_terms_of(df: DataFrame, column: str, words: Sequence[str], stop_words: Sequence[str] = ENGLISH_STOP_WORDS, output: str = "terms") -> DataFrame:
+    """Add those terms of `add_terms` that consist of the given words alone."""
+    marked = F.transform(words_without_stops(F.col(column), stop_words), lambda word: F.when(word.isin(list(words)), word))
+    return df.withColumn("_words", marked).withColumn(output, F.array_compact(with_bigrams(F.col("_words")))).drop("_words")
+
+
+def frequent_words(texts: DataFrame, column: str, n: int, stop_words: Sequence[str]) -> list[str] | None:
+    """Words at least as frequent as the `n`-th one; None where they are too many to be named."""
+    each = texts.select(F.explode(words_without_stops(F.col(column), stop_words)).alias("word"))
+    top = each.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.col("n").desc()).limit(FREQUENT_WORDS + 1).collect()
+    least = top[n - 1]["n"] if len(top) >= n > 0 else 0
+    words = [r["word"] for r in top if r["n"] >= least]
+    return words if len(words) <= FREQUENT_WORDS else None
+
+
 def fit_terms(
     texts: DataFrame, column: str = "text", max_features: int = MAX_FEATURES, stop_words: Sequence[str] = ENGLISH_STOP_WORDS
 ) -> DataFrame:
@@ -35,12 +51,16 @@ def fit_terms(
 
     The terms of a text are sorted in place, so its first occurrences mark document frequency and one aggregation with
     partial sums counts both; no (text, term) pairs are shuffled. Every text adds one NULL term, whose count is the
-    number of texts, so the texts are read once. Equal counts are cut alphabetically.
+    number of texts. Equal counts are cut alphabetically.
+
+    Words are counted first: a pair is at most as frequent as its words, so only words and pairs of words that reach the
+    count of the last word within `max_features` can be among the terms, and a task never counts all pairs. Where too many words
+    reach it (most occur once), all terms are counted.
     """
     nothing = F.array(F.lit(None).cast("string"))
-    ordered = add_terms(texts.select(column), column, stop_words).select(
-        F.concat(nothing, F.sort_array("terms")).alias("term")
-    )
+    words = frequent_words(texts, column, max_features, stop_words)
+    terms = add_terms(texts.select(column), column, stop_words) if words is None else add_terms_of(texts.select(column), column, words, stop_words)
+    ordered = terms.select(F.concat(nothing, F.sort_array("terms")).alias("term"))
     shifted = ordered.withColumn("before", F.concat(nothing, F.slice("term", 1, F.size("term") - 1)))
     counted = (
         shifted.select(F.inline(F.arrays_zip("term", "before")))
@@ -71,13 +91,15 @@ class TermWeights:
         table = fit_terms(texts, column, max_features, stop_words).select("term", "idf").orderBy("term").toArrow()
         return cls(tuple(table["term"].to_pylist()), tuple(table["idf"].to_pylist()), tuple(stop_words))
 
+    def add_known(self, texts: DataFrame, column: str, output: str = "_terms") -> DataFrame:
+        """Add the terms of a text that can be fitted ones: those of words that occur in fitted terms."""
+        return add_terms_of(texts, column, sorted({w for term in self.terms for w in term.split(" ")}), self.stop_words, output)
+
     def transform(self, texts: DataFrame, column: str = "text", output: str = "tfidf") -> DataFrame:
         """Add the unit-length TF-IDF vector of each text, in the task that reads it; unknown terms are dropped."""
         if not self.terms:
             raise ValueError("the reference texts hold no terms")
-        counted = CountVectorizerModel.from_vocabulary(list(self.terms), "_terms", "_counts").transform(
-            add_terms(texts, column, self.stop_words, "_terms")
-        )
+        counted = CountVectorizerModel.from_vocabulary(list(self.terms), "_terms", "_counts").transform(self.add_known(texts, column))
         weighted = ElementwiseProduct(scalingVec=Vectors.dense(self.idf), inputCol="_counts", outputCol="_weighted")
         unit = Normalizer(p=2.0, inputCol="_weighted", outputCol=output)
         return unit.transform(weighted.transform(counted)).drop("_terms", "_counts", "_weighted")
@@ -100,12 +122,12 @@ def text_sums(weights: TermWeights, texts: DataFrame, keys: Sequence[str] = (),
         raise ValueError("the reference texts hold no terms")
     vocabulary, idf = list(weights.terms), np.array(weights.idf)
     names = [f"_k{i}" for i in range(len(keys))]
-    terms = add_terms(texts.select(*keys, column), column, weights.stop_words, "_terms")
+    terms = weights.add_known(texts.select(*keys, column), column)
     narrow = terms.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], word_count(F.col(column)).alias("_words"), "_terms")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = pa.array(vocabulary, pa.string())
-        for batch in batches:
+        for batch in list_runs(batches, "_terms"):
             code = np.zeros(batch.num_rows, dtype=np.int64)
             for name in names:
                 coded = batch.column(name).dictionary_encode(null_encoding="encode")
@@ -141,11 +163,11 @@ def term_weights(weights: TermWeights, texts: DataFrame, id_column: str = "doc_i
     if not weights.terms:
         raise ValueError("the reference texts hold no terms")
     vocabulary, idf = list(weights.terms), np.array(weights.idf)
-    narrow = add_terms(texts.select(F.col(id_column).alias("_id"), column), column, weights.stop_words, "_terms").select("_id", "_terms")
+    narrow = weights.add_known(texts.select(F.col(id_column).alias("_id"), column), column).select("_id", "_terms")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = pa.array(vocabulary, pa.string())
-        for batch in batches:
+        for batch in list_runs(batches, "_terms"):
             row, place, count = term_counts(batch.column("_terms"), known)
             weight = unit_length(row, count * idf[place], batch.num_rows)
             arrays = [batch.column("_id").take(pa.array(row)), known.take(pa.array(place)), pa.array(weight)]

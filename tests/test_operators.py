@@ -402,3 +402,38 @@ def test_texts_are_not_shuffled_for_weights_and_read_once_for_drift(spark, small
     assert "Exchange" not in plan(term_weights(weights, docs))
     sums = plan(text_sums(weights, docs, ["lang"]))
     assert sums.count("FileScan") == 1 and sums.count("Exchange") == 1 and sums.index("Exchange") < sums.index("MapInArrow")
+
+
+@pytest.mark.parametrize("named", [10_000, 3])
+def test_terms_of_frequent_words_are_the_most_frequent_terms(spark, monkeypatch, named):
+    import random
+    from collections import Counter
+
+    from tallywatch.operators import drift_text
+
+    monkeypatch.setattr(drift_text, "FREQUENT_WORDS", named)
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(60) for _ in range(1 + 300 // (i + 1))]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(0, 40))) + " aa bb" * (i % 5 == 0) for i in range(90)]
+    counts, documents = Counter(), Counter()
+    for text in texts:
+        own = text.split()
+        terms = own + [f"{a} {b}" for a, b in zip(own, own[1:])]
+        counts.update(terms)
+        documents.update(set(terms))
+    frame = spark.createDataFrame([(x,) for x in [*texts, None]], "text string")
+    for n in (1, 7, 40, 5000):
+        got = [(r.term, r.corpus_count, r.document_count) for r in drift_text.fit_terms(frame, max_features=n).collect()]
+        want = sorted(counts, key=lambda t: (-counts[t], t))[:n]
+        assert sorted(got) == sorted((t, counts[t], documents[t]) for t in want)
+
+
+def test_pairs_of_rare_words_are_not_counted(spark):
+    from tallywatch.operators import drift_text
+
+    rows = [(f"often common rare{i} seldom{i}",) for i in range(500)]
+    frame = spark.createDataFrame(rows, "text string")
+    assert sorted(r.term for r in drift_text.fit_terms(frame, max_features=2).collect()) == ["common", "often"]
+    words = drift_text.frequent_words(frame, "text", 2, drift_text.ENGLISH_STOP_WORDS)
+    counted = drift_text.add_terms_of(frame, "text", words).select(F.explode("terms")).distinct()
+    assert sorted(r[0] for r in counted.collect()) == ["common", "often", "often common"]  # of 2,002 terms
