@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -16,9 +17,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywatch.functions.numeric import argmax, softmax
+from tallywatch.functions.vectors import text_runs
 from tallywatch.operators.datasets import shuffled_sample
 from tallywatch.operators.drift_text import TermWeights, add_terms
 
+SCORED = pa.struct([("logits", pa.list_(pa.float64())), ("prediction_time", pa.float64())])
+
 
 def sentiment(label: Column) -> Column:
     """POSITIVE for label 1, NEGATIVE otherwise."""
@@ -168,20 +172,26 @@ def score_with(
 ) -> DataFrame:
     """Score with any model: `load` runs once per task and returns a function from texts to class scores.
 
-    The function gets a series of texts and returns one column of logits per class.
+    The function gets a series of texts, some megabytes at most, and returns one column of logits per class. Only the texts go
+    to the workers and only the scores come back.
     """
-    schema = texts.schema
-    out = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in schema] + ["logits array<double>", "batch_ms double"])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         import time
 
         predict = load()
-        for batch in batches:
-            began = time.perf_counter()
-            logits = predict(batch[column])
-            spent = (time.perf_counter() - began) * 1000 / max(len(batch), 1)
-            yield batch.assign(logits=list(logits.to_numpy(dtype=float)), batch_ms=spent)
-
-    scored = texts.mapInPandas(run, schema=out)
-    return from_probabilities(scored, softmax(F.col("logits"))).drop("logits").withColumnRenamed("batch_ms", "prediction_time")
+        for texts in columns:
+            made = [pa.array([], SCORED)]
+            for rows, _, offsets in text_runs(texts):
+                n, began = len(offsets) - 1, time.perf_counter()
+                logits = list(predict(texts[rows].to_pandas()).to_numpy(dtype=float))
+                spent = (time.perf_counter() - began) * 1000 / n
+                made.append(pa.StructArray.from_arrays([pa.array(logits, SCORED["logits"].type, from_pandas=True), pa.array([spent] * n)], fields=list(SCORED)))
+            pa.default_memory_pool().release_unused()  # a reused worker would keep what its largest batch took
+            yield pa.concat_arrays(made)
+
+    predicted = F.arrow_udf(run, "logits array<double>, prediction_time double").asNondeterministic()
+    made = texts.withColumn("_scored", predicted(F.col(column).cast("string")))
+    scored = made.select(*texts.columns, F.col("_scored.logits").alias("logits"), F.col("_scored.prediction_time").alias("prediction_time"))
+    found = from_probabilities(scored, softmax(F.col("logits"))).drop("logits")
+    return found.select(*texts.columns, "prediction_time", *[c for c in found.columns if c not in (*texts.columns, "prediction_time")])

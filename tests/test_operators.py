@@ -437,3 +437,25 @@ def test_pairs_of_rare_words_are_not_counted(spark):
     words = drift_text.frequent_words(frame, "text", 2, drift_text.ENGLISH_STOP_WORDS)
     counted = drift_text.add_terms_of(frame, "text", words).select(F.explode("terms")).distinct()
     assert sorted(r[0] for r in counted.collect()) == ["common", "often", "often common"]  # of 2,002 terms
+
+
+def test_a_model_gets_texts_some_at_a_time_and_a_missing_score_is_null(spark, monkeypatch):
+    import pandas as pd
+
+    from tallywatch.functions import vectors
+    from tallywatch.operators import scoring
+
+    def load():
+        def predict(texts):
+            assert len(texts) < 1500  # of 2,001, with 4 KB each
+            size = texts.str.len().to_numpy(dtype=float)
+            return pd.DataFrame({"a": size - size, "b": size - 4000})
+
+        return predict
+
+    rows = [(i, "x" * (4000 + i % 2)) for i in range(2000)] + [(2000, None)]
+    scored = scoring.score_with(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), load)
+    assert scored.columns[:3] == ["doc_id", "text", "prediction_time"] and vectors.RUN_BYTES == 4 << 20
+    got = {r.doc_id: r for r in scored.collect()}
+    assert len(got) == 2001 and all(got[i].predicted_label == i % 2 and got[i].prediction_time >= 0 for i in range(2000))
+    assert got[2000].predicted_label is None and got[2000].confidence_score is None and got[2000].text is None
