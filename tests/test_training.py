@@ -125,3 +125,11 @@ def test_gram_and_term_counts():
     row, place, count = vectors.term_counts(pa.array([["b", "a", "b", "z"], None, [], ["z"], ["a"]]), pa.array(["a", "b"]))
     assert list(zip(row.tolist(), place.tolist(), count.tolist())) == [(0, 0, 1), (0, 1, 2), (4, 0, 1)]
     assert vectors.lists(row, count, 5).to_pylist() == [[1, 2], [], [], [], [1]]
+
+
+def test_runs_of_lists_are_bounded_and_whole():
+    lists = [["a"] * n for n in (3, 0, 9, 2, 2)] + [None, ["b"]]
+    batch = pa.RecordBatch.from_arrays([pa.array(lists), pa.array(range(7))], names=["x", "id"])
+    runs = list(vectors.list_runs(iter([batch, batch.slice(7)]), "x", 4))
+    assert [r.column("id").to_pylist() for r in runs] == [[0, 1], [2], [3, 4, 5], [6]]
+    assert [x for r in runs for x in r.column("x").to_pylist()] == lists
