@@ -7,7 +7,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 LOOKUP_TOKENS = 2_000_000  # a table within both bounds takes some 60 MB in a Python worker
@@ -58,6 +58,17 @@ class TokenTable:
         table = vocabulary.filter("token IS NOT NULL").select("token", F.col(value).cast("int").alias("value")).toArrow()
         return cls.of(table["token"].cast(pa.string()).combine_chunks(), table["value"].to_numpy())
 
+    @classmethod
+    def of_most_frequent(cls, vocabulary: DataFrame, value: str, count: str) -> tuple[TokenTable, DataFrame]:
+        """The table of as many of the most frequent tokens as are within the bounds, and the other tokens."""
+        sizes = vocabulary.groupBy(count).agg(F.count("token").alias("tokens"), F.sum(F.octet_length("token")).alias("bytes"))
+        order = Window.orderBy(F.col(count).desc())  # one row per count
+        running = sizes.select(count, F.sum("tokens").over(order).alias("tokens"), F.sum("bytes").over(order).alias("bytes"))
+        least = running.filter((F.col("tokens") <= LOOKUP_TOKENS) & (F.col("bytes") <= LOOKUP_BYTES)).agg(F.min(count)).first()[0]
+        often = F.lit(False) if least is None else F.col(count) >= least
+        table = vocabulary.filter(often).select("token", F.col(value).cast("int").alias("value")).toArrow()
+        return cls.of(table["token"].cast(pa.string()).combine_chunks(), table["value"].to_numpy()), vocabulary.filter(~often)
+
     def find(self, tokens: pa.Array, missing: int) -> np.ndarray:
         """The value of every token, `missing` where there is none; equal hashes are told apart by the tokens themselves."""
         coded = tokens.dictionary_encode()

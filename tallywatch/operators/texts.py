@@ -13,7 +13,9 @@ from pyspark.sql import types as T
 from tallywatch.functions.lookup import TokenTable
 from tallywatch.functions.sizes import stored
 from tallywatch.functions.text import attention_mask, non_letter_share, pad_ids, tokens, word_count
+from tallywatch.functions.vectors import list_runs
 
+UNSEEN = -(2**31)  # no value of a token
 PAD_ID, UNKNOWN_ID, FIRST_ID = 0, 1, 2
 VOCABULARY_SIZE = 30_000
 
@@ -29,44 +31,60 @@ def build_vocabulary(texts: DataFrame, size: int = VOCABULARY_SIZE, column: str
 
 
 def reference_tokens(texts: DataFrame, column: str = "text") -> DataFrame:
-    """Every distinct token of the texts."""
+    """Every distinct token of the texts and how often it occurs."""
     each = texts.select(F.explode_outer(tokens(F.col(column))).alias("token"))
-    return each.filter(F.col("token").isNotNull()).distinct()
-
-
-def _by_join(df: DataFrame, vocabulary: DataFrame, value: str, missing: int) -> DataFrame:
-    """`df` with the values of its `_tokens` as `_values`, for vocabularies that no task can hold: tokens meet them in a shuffle."""
-    numbered = df.withColumn("_row", F.monotonically_increasing_id())  # repeated rows stay apart
-    each = numbered.select("_row", *[c for c in df.columns if c != "_tokens"], F.posexplode_outer("_tokens").alias("_at", "token"))
-    known = each.join(vocabulary.select("token", F.col(value).cast("int").alias("_value")), "token", "left")
-    coded = F.when(F.col("token").isNotNull(), F.struct("_at", F.coalesce("_value", F.lit(missing)).alias("v")))
-    others = [c for c in df.columns if c != "_tokens"]
-    gathered = known.groupBy("_row", *others).agg(F.collect_list(coded).alias("_coded"))
-    return gathered.select(*others, F.transform(F.array_sort("_coded"), lambda x: x["v"]).alias("_values"))
+    return each.filter(F.col("token").isNotNull()).groupBy("token").agg(F.count("*").alias("n"))
 
 
 def _looked_up(df: DataFrame, vocabulary: DataFrame, value: str, missing: int) -> DataFrame:
     """`df` with the values of its `_tokens` as `_values` in their place; tokens outside the vocabulary give `missing`.
 
-    A vocabulary within the bounds of `TokenTable` goes to every worker once, and tokens are looked up where they are read.
+    A vocabulary within the bounds of `TokenTable` goes to every worker once, and tokens are looked up where they are read. Of a
+    larger one the most frequent tokens go there (by its column `n`, if it has one); only what they leave is joined with the
+    others in a shuffle.
     """
-    vocabulary = stored(vocabulary.select("token", value), "vocabulary")  # measured, then fetched or joined
-    table = TokenTable.fetched(vocabulary, value)
+    count = F.col("n") if "n" in vocabulary.columns else F.pmod(F.xxhash64("token"), F.lit(1024))
+    known = vocabulary.filter("token IS NOT NULL").select("token", F.col(value).cast("int").alias("_value"), count.alias("_count"))
+    known = stored(known, "vocabulary")  # measured, then fetched or joined
+    table, rest = TokenTable.fetched(known, "_value"), None
     if table is None:
-        return _by_join(df, vocabulary, value, missing)
+        table, rest = TokenTable.of_most_frequent(known, "_value", "_count")
     shipped = df.sparkSession.sparkContext.broadcast(table)
-    others = [c for c in df.columns if c != "_tokens"]
+    others, left = [c for c in df.columns if c != "_tokens"], rest is not None
+    names = [*others, "_values", *(["_at", "_rest"] if left else [])]
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in list_runs(batches, "_tokens"):
             lists = batch.column("_tokens")
             sizes = lists.value_lengths().fill_null(0).to_numpy()
-            ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-            values = pa.ListArray.from_arrays(ends, pa.array(shipped.value.find(lists.flatten(), missing)))
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in others], values], names=[*others, "_values"])
-
-    schema = T.StructType([*[df.schema[c] for c in others], T.StructField("_values", T.ArrayType(T.IntegerType()))])
-    return df.select(*others, "_tokens").mapInArrow(find, schema)
+            ends, words = np.concatenate([[0], np.cumsum(sizes)]), lists.flatten()
+            values = shipped.value.find(words, UNSEEN if left else missing)
+            more = []
+            if left:
+                unseen = np.flatnonzero((values == UNSEEN) & np.asarray(words.is_valid()))
+                cut = pa.array(np.searchsorted(unseen, ends).astype(np.int32))
+                at = unseen - np.repeat(ends[:-1], sizes)[unseen]
+                more = [pa.ListArray.from_arrays(cut, x) for x in (pa.array(at.astype(np.int32)), words.take(pa.array(unseen)))]
+                values[values == UNSEEN] = missing
+            made = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in others], made, *more], names=names)
+
+    ints = T.ArrayType(T.IntegerType())
+    added = [T.StructField("_values", ints), T.StructField("_at", ints), T.StructField("_rest", T.ArrayType(T.StringType()))]
+    found = df.select(*others, "_tokens").mapInArrow(find, T.StructType([*[df.schema[c] for c in others], *added[: 3 if left else 1]]))
+    return _with_rest(found, rest, others) if left else found
+
+
+def _with_rest(found: DataFrame, rest: DataFrame, others: list[str]) -> DataFrame:
+    """Values of the tokens that the table left, put in their places."""
+    kept = stored(found.withColumn("_row", F.monotonically_increasing_id()), "looked-up")  # repeated rows stay apart
+    each = kept.select("_row", F.inline(F.arrays_zip("_at", "_rest"))).withColumnRenamed("_rest", "token")
+    hits = each.join(rest.select("token", "_value"), "token").groupBy("_row").agg(
+        F.map_from_entries(F.collect_list(F.struct("_at", "_value"))).alias("_hits")
+    )
+    put = F.transform("_values", lambda v, i: F.coalesce(F.try_element_at("_hits", i), v))
+    values = F.when(F.col("_hits").isNull(), F.col("_values")).otherwise(put)
+    return kept.join(hits, "_row", "left").select(*others, values.alias("_values"))
 
 
 def encode(

@@ -48,3 +48,15 @@ def test_no_token_is_shuffled(spark):
     for made in (texts.encode(docs, texts.build_vocabulary(docs, 2)), texts.describe(docs, texts.reference_tokens(docs))):
         plan = made._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_only_what_the_most_frequent_tokens_leave_is_joined(spark, monkeypatch, tmp_path):
+    rows = [(i, f"often common often rare{i} other{i}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    vocabulary = texts.reference_tokens(docs.filter("doc_id < 20"))
+    monkeypatch.setattr(lookup, "LOOKUP_TOKENS", 10)
+    kept = []
+    monkeypatch.setattr(texts, "stored", lambda df, purpose, plain=texts.stored: kept.append(plain(df, purpose)) or kept[-1])
+    described = texts.describe(docs, vocabulary, keep=()).collect()
+    assert sorted((r.doc_id, round(r.oov_share, 6)) for r in described) == [(i, 0 if i < 20 else 0.4) for i in range(40)]
+    assert kept[1].selectExpr("sum(size(_rest))").first()[0] == 80  # of 200 tokens
