@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import lru_cache
 
-from pyspark.sql import Column
+import numpy as np
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # Spark's default English stop words (StopWordsRemover), in their published order.
@@ -23,8 +25,9 @@ ENGLISH_STOP_WORDS = tuple(
 )
 
 # A term is two or more letters, digits or underscores in any script; a token is one or more.
-TERM_PATTERN = r"[\p{L}\p{N}_]{2,}"
-TOKEN_PATTERN = r"[\p{L}\p{N}_]+"
+TERM_CHARACTER = r"[\p{L}\p{N}_]"
+TERM_PATTERN = TERM_CHARACTER + "{2,}"
+TOKEN_PATTERN = TERM_CHARACTER + "+"
 # The whitespace of every script; a word is a run of anything else.
 WHITESPACE = r"\s\x0B\x1C-\x1F\x{85}\p{Z}"
 WORD_PATTERN = f"[^{WHITESPACE}]+"
@@ -36,6 +39,20 @@ MIN_BATCH, MAX_BATCH = 1, 100
 MAX_COMMENT_LENGTH = 1000
 
 
+@lru_cache(maxsize=8)
+def _marked_characters(application: str, pattern: str) -> bytes:
+    points = SparkSession.active().range(0x110000).filter(~F.col("id").between(0xD800, 0xDFFF))
+    character = F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32")
+    marked = np.zeros(0x110000, dtype=bool)
+    marked[points.filter(F.regexp_like(character, F.lit(pattern))).toArrow()["id"].to_numpy()] = True
+    return np.packbits(marked).tobytes()
+
+
+def marked_characters(spark: SparkSession, pattern: str) -> np.ndarray:
+    """A bit per code point (`np.packbits`): whether Spark's regular expressions find the pattern in it. Asked once per application."""
+    return np.frombuffer(_marked_characters(spark.sparkContext.applicationId, pattern), dtype=np.uint8)
+
+
 def input_hash(text: Column) -> Column:
     """Lower-case hex SHA-256 of the UTF-8 text."""
     return F.sha2(text, 256)

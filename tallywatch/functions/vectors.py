@@ -45,7 +45,7 @@ def list_runs(batches: Iterator[pa.RecordBatch], column: str, values: int = RUN_
         pa.default_memory_pool().release_unused()  # a reused worker would keep what its largest batch took
 
 
-def _counted(row: np.ndarray, place: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def counted(row: np.ndarray, place: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (row, place) in order and how often each occurs."""
     keys, counts = np.unique(row * size + place, return_counts=True)
     return keys // size, keys % size, counts
@@ -64,7 +64,7 @@ def gram_counts(data: np.ndarray, offsets: np.ndarray, gram: int, buckets: int)
         code ^= code >> np.uint64(29)
     row = np.searchsorted(offsets, np.arange(len(data)), "right") - 1
     whole = row[:n] == row[gram - 1 :]
-    return _counted(row[:n][whole], (code[whole] % np.uint64(buckets)).astype(np.int64), buckets)
+    return counted(row[:n][whole], (code[whole] % np.uint64(buckets)).astype(np.int64), buckets)
 
 
 def term_counts(terms: pa.Array, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -73,7 +73,65 @@ def term_counts(terms: pa.Array, vocabulary: pa.Array) -> tuple[np.ndarray, np.n
     place = pc.index_in(terms.flatten(), value_set=vocabulary)
     known = np.asarray(place.is_valid())
     row = np.repeat(np.arange(len(sizes)), sizes)[known]
-    return _counted(row, np.asarray(place.fill_null(0))[known].astype(np.int64), max(len(vocabulary), 1))
+    return counted(row, np.asarray(place.fill_null(0))[known].astype(np.int64), max(len(vocabulary), 1))
+
+
+def lower_cased(texts: pa.Array) -> pa.Array:
+    """Texts in lower case as Spark has them; bytes that are no UTF-8 are replaced as it does, NULL is an empty text."""
+    given = pc.fill_null(texts, "").cast(pa.large_binary())
+    return pa.array([text.decode("utf-8", "replace").lower() for text in given.to_pylist()], pa.large_string())
+
+
+def characters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the characters beyond ASCII begin in UTF-8 bytes, and their code points."""
+    at = np.flatnonzero(data >= 0xC0)
+    b = [data[np.minimum(at + k, len(data) - 1)].astype(np.int32) & 0x3F for k in range(4)]
+    two = ((b[0] & 0x1F) << 6) | b[1]
+    three = ((b[0] & 0x0F) << 12) | (b[1] << 6) | b[2]
+    four = ((b[0] & 0x07) << 18) | (b[1] << 12) | (b[2] << 6) | b[3]
+    lead = data[at]
+    return at, np.minimum(np.where(lead < 0xE0, two, np.where(lead < 0xF0, three, four)), 0x10FFFF)
+
+
+def of_kind(data: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """Which bytes of UTF-8 texts belong to characters that `kind` marks by code point."""
+    ascii_kind = np.zeros(256, dtype=bool)
+    ascii_kind[:128] = kind[:128]
+    found = ascii_kind[data]
+    at, point = characters(data)
+    at = at[kind[point]]
+    for k in range(4):  # a character's first byte and those that continue it
+        found[at] = True
+        at = at[at + 1 < len(data)] + 1
+        at = at[(data[at] & 0xC0) == 0x80]
+    return found
+
+
+def runs_of(marked: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Beginnings and ends of the runs of marked bytes; none reaches over a text's end."""
+    first = np.ones(len(marked) + 1, dtype=bool)
+    first[1:-1] = ~marked[:-1]
+    first[offsets] = True
+    last = np.ones(len(marked) + 1, dtype=bool)
+    last[1:-1] = ~marked[1:]
+    last[offsets] = True
+    return np.flatnonzero(marked & first[:-1]), np.flatnonzero(marked & last[1:]) + 1
+
+
+def long_runs(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray, least: int) -> tuple[pa.Array, np.ndarray]:
+    """Runs of at least so many characters that `kind` marks, with the number of the text each is in."""
+    marked = of_kind(data, kind)
+    begin, end = runs_of(marked, offsets)
+    size = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    kept = size[end] - size[begin] >= least
+    begin, end = begin[kept], end[kept]
+    edge = np.zeros(len(data) + 1, dtype=np.int8)
+    edge[begin] += 1
+    edge[end] -= 1
+    inside = np.cumsum(edge[:-1], dtype=np.int8).astype(bool)
+    starts = np.concatenate([[0], np.cumsum(end - begin)]).astype(np.int64)
+    words = pa.LargeStringArray.from_buffers(len(begin), pa.py_buffer(starts), pa.py_buffer(np.ascontiguousarray(data[inside])))
+    return words, np.searchsorted(offsets, begin, "right") - 1
 
 
 def unit_length(row: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:

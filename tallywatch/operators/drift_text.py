@@ -2,25 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallywatch.functions.sizes import stored
-from tallywatch.functions.text import ENGLISH_STOP_WORDS, with_bigrams, word_count, words_without_stops
-from tallywatch.functions.vectors import list_runs, term_counts, unit_length
+from tallywatch.functions.text import ENGLISH_STOP_WORDS, TERM_CHARACTER, WHITESPACE, marked_characters, with_bigrams, words_without_stops
+from tallywatch.functions.vectors import RUN_VALUES, counted, list_runs, lists, long_runs, lower_cased, of_kind, runs_of, term_counts, text_runs, unit_length
 from tallywatch.operators.drift_stats import ks_two_sample
 
 MAX_FEATURES = 1000
 FREQUENT_WORDS = 10_000  # words that a plan may name
+SUM_CELLS = 1 << 22  # numbers that a task keeps before it passes its sums on
 
 
 def add_terms(df: DataFrame, column: str, stop_words: Sequence[str] = ENGLISH_STOP_WORDS, output: str = "terms") -> DataFrame:
@@ -112,42 +114,160 @@ class TermWeights:
         )
 
 
+@dataclass(frozen=True)
+class KnownTerms:
+    """Fitted terms found in the bytes of lower-cased texts; as `add_known`, where texts are read."""
+
+    weights: TermWeights
+    letters: np.ndarray
+    spaces: np.ndarray
+
+    @classmethod
+    def of(cls, weights: TermWeights, spark: SparkSession) -> KnownTerms:
+        return cls(weights, marked_characters(spark, TERM_CHARACTER), marked_characters(spark, f"[{WHITESPACE}]"))
+
+    def reader(self) -> Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """A function of some texts' bytes and offsets: (text, place, weight) of the unit-length vectors, and words per text."""
+        letters, spaces = np.unpackbits(self.letters).astype(bool), np.unpackbits(self.spaces).astype(bool)
+        stops, split, idf = dict.fromkeys(self.weights.stop_words), [t.split(" ") for t in self.weights.terms], np.array(self.weights.idf)
+        words = dict.fromkeys([*stops, *sorted({w for parts in split for w in parts})])
+        number, known = {w: i for i, w in enumerate(words)}, pa.array(list(words), pa.large_string())
+        single = np.full(len(words) + 1, -1)
+        pairs = {}
+        for place, parts in reversed(list(enumerate(split))):
+            if len(parts) == 1:
+                single[number[parts[0]]] = place
+            elif len(parts) == 2:
+                pairs[number[parts[0]] * len(words) + number[parts[1]]] = place
+        pair_key = np.array(sorted(pairs), dtype=np.int64)
+        pair_place = np.array([pairs[k] for k in pair_key.tolist()], dtype=np.int64)
+
+        def read(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+            n = len(offsets) - 1
+            begin = runs_of(~of_kind(data, spaces), offsets)[0]
+            n_words = np.diff(np.searchsorted(begin, offsets))
+            found, row = long_runs(data, offsets, letters, 2)
+            code = np.asarray(pc.fill_null(pc.index_in(found, value_set=known), len(words))).astype(np.int64)
+            stay = code >= len(stops)
+            code, row = code[stay], row[stay]
+            alone = single[code]
+            whole = (row[1:] == row[:-1]) & (code[1:] < len(words)) & (code[:-1] < len(words))
+            key, pair_row = (code[:-1] * len(words) + code[1:])[whole], row[1:][whole]
+            at = np.searchsorted(pair_key, key)
+            hit = np.append(pair_key, -1)[at] == key
+            rows = np.concatenate([row[alone >= 0], pair_row[hit]])
+            places = np.concatenate([alone[alone >= 0], pair_place[at[hit]]])
+            row, place, count = counted(rows, places, len(idf))
+            return row, place, unit_length(row, count * idf[place], n), n_words
+
+        return read
+
+
+class KeptSums:
+    """Sums per group and place, and counts per group and length, of what a task has read so far."""
+
+    def __init__(self, n_terms: int):
+        self.n_terms, self.room = n_terms, max(1, SUM_CELLS // n_terms)
+        self.clear()
+
+    def clear(self) -> None:
+        self.groups: dict[tuple, int] = {}
+        self.sums = np.zeros(self.room * self.n_terms)  # the system gives memory as it is written
+        self.lengths: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.pending = 0
+
+    def add_lengths(self, group: np.ndarray, words: np.ndarray, count: np.ndarray) -> None:
+        self.lengths.append((group, words, count))
+        self.pending += len(group)
+        if self.pending > SUM_CELLS // 4:
+            self.lengths = [self._merged()]
+            self.pending = len(self.lengths[0][0])
+
+    def _merged(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        group, words, count = (np.concatenate(parts) for parts in zip(*self.lengths))
+        size = int(words.max(initial=0)) + 1
+        cells, cell = np.unique(group * size + words, return_inverse=True)
+        return cells // size, cells % size, np.bincount(cell, count, minlength=len(cells)).astype(np.float64)
+
+    def rows(self) -> Iterator[tuple[list[tuple], str, pa.Array, pa.Array]]:
+        """Groups, kind, places and values, some groups at a time."""
+        groups, step = list(self.groups), max(1, RUN_VALUES // self.n_terms)
+        for at in range(0, len(groups), step):
+            part = self.sums[at * self.n_terms : min(at + step, len(groups)) * self.n_terms]
+            cell = np.flatnonzero(part)
+            n = min(step, len(groups) - at)
+            yield groups[at : at + n], "weight", lists(cell // self.n_terms, (cell % self.n_terms).astype(np.int32), n), lists(cell // self.n_terms, part[cell], n)
+        if groups:
+            group, words, count = self._merged()
+            yield groups, "length", lists(group, words.astype(np.int32), len(groups)), lists(group, count, len(groups))
+
+
 def text_sums(weights: TermWeights, texts: DataFrame, keys: Sequence[str] = (), column: str = "text") -> DataFrame:
     """What drift needs of texts, in one pass and ready to be added up: (keys, kind, place, x).
 
     Kind `weight` holds the summed unit-length TF-IDF weight of each fitted term (its place), kind `length` the number of texts
-    with so many words (the place). A task sums what it reads per key; rows of any parts of a table add up to those of the whole.
+    with so many words (the place). A task sums all it reads per key, and only those sums are shuffled, a list per key and kind;
+    equal texts that it reads together are looked into once. Rows of any parts of a table add up to those of the whole.
     """
     if not weights.terms:
         raise ValueError("the reference texts hold no terms")
-    vocabulary, idf = list(weights.terms), np.array(weights.idf)
     names = [f"_k{i}" for i in range(len(keys))]
-    terms = weights.add_known(texts.select(*keys, column), column)
-    narrow = terms.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], word_count(F.col(column)).alias("_words"), "_terms")
+    narrow = texts.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(column).alias("_text"))
+    terms, types = KnownTerms.of(weights, texts.sparkSession), [texts.schema[k].dataType for k in keys]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = pa.array(vocabulary, pa.string())
-        for batch in list_runs(batches, "_terms"):
-            code = np.zeros(batch.num_rows, dtype=np.int64)
-            for name in names:
-                coded = batch.column(name).dictionary_encode(null_encoding="encode")
-                code = np.unique(code * max(len(coded.dictionary), 1) + np.asarray(coded.indices), return_inverse=True)[1]
-            first = np.unique(code, return_index=True)[1]
-            row, place, count = term_counts(batch.column("_terms"), known)
-            weight = unit_length(row, count * idf[place], batch.num_rows)
-            words = np.asarray(batch.column("_words"))
-            for kind, group, place, x in (("weight", code[row], place, weight), ("length", code, words, np.ones(len(code)))):
-                size = int(place.max(initial=0)) + 1
-                cells, cell = np.unique(group * size + place, return_inverse=True)
-                owner = pa.array(first[cells // size])
-                arrays = [batch.column(n).take(owner) for n in names]
-                total = np.bincount(cell, x, minlength=len(cells)).astype(np.float64)  # integers where there is nothing to count
-                arrays += [pa.array([kind] * len(cells), pa.string()), pa.array(cells % size), pa.array(total)]
-                yield pa.RecordBatch.from_arrays(arrays, names=[*names, "kind", "place", "x"])
-
-    kinds = ", ".join(f"{n} {texts.schema[k].dataType.simpleString()}" for k, n in zip(keys, names))
-    made = narrow.mapInArrow(work, ", ".join(filter(None, [kinds, "kind string, place long, x double"])))
-    return added_up(made.select(*[F.col(n).alias(k) for k, n in zip(keys, names)], "kind", "place", "x"), keys)
+        read, kept, schema = terms.reader(), KeptSums(len(weights.terms)), None
+
+        def given() -> Iterator[pa.RecordBatch]:
+            for groups, kind, places, values in kept.rows():
+                own = [pa.array([g[i] for g in groups], schema.field(n).type) for i, n in enumerate(names)]
+                own += [pa.array([kind] * len(groups), pa.string()), places, values]
+                yield pa.RecordBatch.from_arrays(own, names=[*names, "kind", "places", "xs"])
+            kept.clear()
+
+        for whole in batches:
+            schema = whole.schema
+            for at in range(0, whole.num_rows, kept.room):
+                batch = whole.slice(at, kept.room)
+                code = np.zeros(batch.num_rows, dtype=np.int64)
+                for name in names:
+                    coded = batch.column(name).dictionary_encode(null_encoding="encode")
+                    code = np.unique(code * max(len(coded.dictionary), 1) + np.asarray(coded.indices), return_inverse=True)[1]
+                first, code = np.unique(code, return_index=True, return_inverse=True)[1:]
+                own = list(zip(*[batch.column(n).take(pa.array(first)).to_pylist() for n in names])) if names else [()] * len(first)
+                if len(kept.groups.keys() | set(own)) > kept.room:
+                    yield from given()
+                code = np.array([kept.groups.setdefault(g, len(kept.groups)) for g in own], dtype=np.int64)[code]
+                coded = batch.column("_text").dictionary_encode(null_encoding="encode")
+                for rows, data, offsets in text_runs(lower_cased(coded.dictionary)):
+                    n = len(offsets) - 1
+                    text = np.asarray(coded.indices) - rows.start
+                    here = (text >= 0) & (text < n)
+                    row, place, weight, n_words = read(data, offsets)
+                    pair, times = np.unique(code[here] * n + text[here], return_counts=True)
+                    group, text = pair // n, pair % n
+                    kept.add_lengths(group, n_words[text], times)
+                    begin = np.searchsorted(row, np.arange(n + 1))
+                    size = np.diff(begin)[text]
+                    ends = np.cumsum(size)
+                    done = 0
+                    while done < len(pair):
+                        stop = max(done + 1, int(np.searchsorted(ends, (ends[done - 1] if done else 0) + RUN_VALUES, "right")))
+                        each = size[done:stop]
+                        cell = np.arange(each.sum()) + np.repeat(begin[text[done:stop]] - np.cumsum(each) + each, each)
+                        to = np.repeat(group[done:stop] * kept.n_terms, each) + place[cell]
+                        np.add.at(kept.sums, to, weight[cell] * np.repeat(times[done:stop], each))
+                        done = stop
+            pa.default_memory_pool().release_unused()  # a reused worker would keep what its largest batch took
+        if kept.groups:
+            yield from given()
+
+    kinds = ", ".join(f"{n} {kind.simpleString()}" for n, kind in zip(names, types))
+    made = narrow.mapInArrow(work, ", ".join(filter(None, [kinds, "kind string, places array<int>, xs array<double>"])))
+    by_key = made.select(*[F.col(n).alias(k) for k, n in zip(keys, names)], "kind", "places", "xs")
+    by_key = by_key.repartition(*[F.col(k) for k in keys]) if keys else by_key.repartition(1)
+    cells = by_key.select(*keys, "kind", F.inline(F.arrays_zip("places", "xs")))
+    return added_up(cells.select(*keys, "kind", F.col("places").cast("bigint").alias("place"), F.col("xs").alias("x")), keys)
 
 
 def added_up(sums: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -26,6 +26,7 @@ from tallywatch.streaming.jobs import log_rows, start_batches
 KEY = "deployment_id"
 PANE = ("predicted_on", "pane")
 TIMES = "times double, mean_time double"
+TASKS_PER_DAY = 8
 
 
 def with_pane(rows: DataFrame) -> DataFrame:
@@ -33,6 +34,11 @@ def with_pane(rows: DataFrame) -> DataFrame:
     return rows.withColumn("pane", F.date_trunc("hour", "predicted_at").cast("timestamp_ntz"))
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows dealt to several tasks per day: a batch may be one file, which one task reads."""
+    return rows.repartition(F.col("predicted_on"), F.pmod(F.hash(KEY, "predicted_at"), F.lit(TASKS_PER_DAY)))
+
+
 def number_states(rows: DataFrame) -> DataFrame:
     """Confidence parts and times per deployment, hour and sentiment."""
     keys = [KEY, *PANE]
@@ -81,7 +87,7 @@ class States:
 
     def add(self, rows: DataFrame, batch: int) -> Exception | None:
         """Add a batch to the log and the states; what kept its texts from being summed, if anything did."""
-        kept = log_rows(rows).persist()
+        kept = spread(log_rows(rows)).persist()
         try:
             self._put(kept, "log", batch)
             panes = with_pane(kept)

@@ -404,6 +404,28 @@ def test_texts_are_not_shuffled_for_weights_and_read_once_for_drift(spark, small
     assert sums.count("FileScan") == 1 and sums.count("Exchange") == 1 and sums.index("Exchange") < sums.index("MapInArrow")
 
 
+def test_text_sums_are_shuffled_as_lists_and_equal_those_of_single_texts(spark):
+    from tallywatch.functions.text import word_count
+    from tallywatch.operators.drift_text import TermWeights, term_weights, text_sums
+
+    terms = ("alpha", "alpha beta", "beta", "straße", "ärger straße", "ärger", "i̇stanbul", "σας", "中中", "a1_", "a1_ b2", "½½", "the alpha", "x", "ll")
+    weights = TermWeights(terms, tuple(1.0 + i for i in range(len(terms))))
+    texts = ["ÄRGER straße İstanbul ΣΑΣ. x\u0085y ½½ 中中", "the alpha the beta q alpha beta", "alpha", None, "", "a1_ B2\u2003i'll alpha-beta", "alpha"] * 3
+    rows = [(i, (None, "k", "l")[i % 3], text) for i, text in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id int, key string, text string").coalesce(1)
+    key = {i: k for i, k, _ in rows}
+    want = {}
+    for r in term_weights(weights, frame).collect():
+        cell = key[r.doc_id], "weight", terms.index(r.term)
+        want[cell] = want.get(cell, 0.0) + r.weight
+    for r in frame.select("key", word_count(F.col("text")).alias("n")).collect():
+        want[r.key, "length", r.n] = want.get((r.key, "length", r.n), 0) + 1
+    sums = text_sums(weights, frame, ["key"])
+    assert {(r.key, r.kind, r.place): r.x for r in sums.collect()} == pytest.approx(want)
+    plan = sums._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("inline") < plan.index("Exchange") < plan.index("MapInArrow")
+
+
 @pytest.mark.parametrize("named", [10_000, 3])
 def test_terms_of_frequent_words_are_the_most_frequent_terms(spark, monkeypatch, named):
     import random

@@ -192,3 +192,14 @@ def test_drift_watch_looks_back_over_all_batches(spark, tmp_path):
     batch = model_drift(spark.createDataFrame(everything, schema), moment).first()
     found = spark.read.parquet(f"{out}/results").filter("batch = 4 AND drift_type = 'model'").first()
     assert batch.is_drift_detected and found.is_drift_detected and found.drift_score == pytest.approx(batch.drift_score)
+
+
+def test_a_batch_in_one_file_is_dealt_to_several_tasks(spark):
+    schema = "id int, deployment_id string, predicted_at timestamp_ntz"
+    rows = spark.createDataFrame([(i, "d", NOW + timedelta(hours=i)) for i in range(400)], schema).coalesce(1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # so few rows would be put together again
+    try:
+        dealt = drift_watch.spread(jobs.log_rows(rows)).select("id", F.spark_partition_id().alias("task")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sorted(r.id for r in dealt) == list(range(400)) and len({r.task for r in dealt}) == 4
