@@ -125,10 +125,10 @@ class Lattice:
                 if len(unit):
                     yield k, m, unit, piece[unit]
 
-    def best(self) -> list[np.ndarray]:
-        """Pieces of the best path of every unit, in the order of the units given; `size` stands for an unknown char.
+    def paths(self) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces of the best paths one after the other, units in the lattice's own order, and where each unit's pieces end.
 
-        Of equally good last pieces the shortest is taken.
+        `size` stands for an unknown char. Of equally good last pieces the shortest is taken.
         """
         vocab, n = self.vocab, len(self.lengths)
         score = np.append(vocab.scores, vocab.unknown_score)
@@ -141,7 +141,7 @@ class Lattice:
             unit = unit[better]
             value[k, unit], back[k, unit] = new[better], m
         at, unit = self.lengths.copy(), np.arange(n)
-        steps, owners = [], []
+        steps, owners = [np.zeros(0, dtype=np.int32)], [np.zeros(0, dtype=np.int64)]
         unit = unit[at > 0]
         while len(unit):
             m = back[at[unit], unit].astype(np.int64)
@@ -149,14 +149,15 @@ class Lattice:
             steps.append(self.edge[m - 1, self.begin[unit] + at[unit]])
             owners.append(unit)
             unit = unit[at[unit] > 0]
-        out: list = [None] * n
-        if steps:
-            owner, piece = np.concatenate(owners)[::-1], np.concatenate(steps)[::-1]
-            order = np.argsort(owner, kind="stable")
-            piece = piece[order]
-            ends = np.cumsum(np.bincount(owner, minlength=n))
+        owner, piece = np.concatenate(owners)[::-1], np.concatenate(steps)[::-1]
+        return piece[np.argsort(owner, kind="stable")], np.cumsum(np.bincount(owner, minlength=n))
+
+    def best(self) -> list[np.ndarray]:
+        """Pieces of the best path of every unit, in the order of the units given."""
+        piece, ends = self.paths()
+        out: list = [None] * len(ends)
         for i, place in enumerate(self.order):
-            out[place] = piece[ends[i - 1] if i else 0 : ends[i]] if steps else np.zeros(0, dtype=np.int32)
+            out[place] = piece[ends[i - 1] if i else 0 : ends[i]]
         return out
 
     def forward(self, logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -221,16 +222,17 @@ def cut_units(vocab: Vocabulary, units: list[str], longer: int = LONG, block: in
 
 def in_batches(units: list[str], chars: int = 1 << 16):
     """Index ranges of the units with about so many characters each, units of similar length together."""
-    order = sorted(range(len(units)), key=lambda i: len(units[i]))
-    batch, size = [], 0
-    for i in order:
-        if batch and (size + len(units[i]) > chars or len(units[i]) > 4 * len(units[batch[0]]) + 8):
-            yield batch
-            batch, size = [], 0
-        batch.append(i)
-        size += len(units[i])
-    if batch:
-        yield batch
+    lengths = np.array([len(u) for u in units], dtype=np.int64)
+    order = np.argsort(lengths, kind="stable")
+    lengths = lengths[order]
+    sums = np.cumsum(lengths)
+    low = 0
+    while low < len(order):
+        full = np.searchsorted(sums, sums[low] - lengths[low] + chars, "right")
+        longer = np.searchsorted(lengths, 4 * lengths[low] + 8, "right")
+        high = max(low + 1, int(min(full, longer)))
+        yield order[low:high].tolist()
+        low = high
 
 
 def distinct_words(run: W.Run) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

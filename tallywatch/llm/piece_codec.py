@@ -68,13 +68,18 @@ class Encoder:
     def _solved(self, units: list[str]) -> dict[str, bytes]:
         out = {}
         for batch in in_batches(units):
-            own = [units[i] for i in batch]
-            out.update((unit, self._ids(unit, pieces)) for unit, pieces in zip(own, Lattice(self.vocab, own).best()))
+            lattice = Lattice(self.vocab, [units[i] for i in batch])
+            own = [units[batch[k]] for k in lattice.order.tolist()]
+            pieces, ends = lattice.paths()
+            begins = np.append(0, ends[:-1])
+            raw = pieces.astype("<u4").tobytes()
+            out.update(zip(own, map(raw.__getitem__, map(slice, (4 * begins).tolist(), (4 * ends).tolist()))))
+            for k in np.unique(np.searchsorted(ends, np.flatnonzero(pieces == self.vocab.size), "right")).tolist():
+                out[own[k]] = self._ids(own[k], pieces[begins[k] : ends[k]])
         return out
 
     def _ids(self, unit: str, pieces: np.ndarray) -> bytes:
-        if not (pieces == self.vocab.size).any():
-            return pieces.astype("<u4").tobytes()
+        """Ids of a unit with unknown characters."""
         out, at = [], 0
         for piece in pieces:
             if piece == self.vocab.size:

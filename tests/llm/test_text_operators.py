@@ -97,6 +97,24 @@ def test_text_without_spaces_costs_no_more_than_words():
     assert spent[0] < 3  # 13 s before units were cut
 
 
+def test_ids_of_known_pieces_take_no_step_per_unit(monkeypatch):
+    encoder, single = piece_codec.Encoder(piece_codec.Params()), []
+    step = piece_codec.Encoder._ids
+    monkeypatch.setattr(piece_codec.Encoder, "_ids", lambda self, unit, pieces: single.append(unit) or step(self, unit, pieces))
+    odd = [f"x{i}\U0001f9ff" for i in range(3)]
+    text = prose(7, 2_000) + " " + " ".join(odd)
+    ids = encoder.encode([piece_codec.marked(text), ""])
+    assert encoder.decode(ids[0]) == text and ids[1] == b""
+    assert sorted(single) == ["▁" + unit for unit in odd]
+    units = ["a" * n for n in (5, 1, 70, 0, 33, 9, 9, 12, 2, 400, 30)]
+    order, plain = sorted(range(len(units)), key=lambda i: len(units[i])), []
+    for i in order:
+        if not plain or sum(len(units[k]) for k in plain[-1]) + len(units[i]) > 60 or len(units[i]) > 4 * len(units[plain[-1][0]]) + 8:
+            plain.append([])
+        plain[-1].append(i)
+    assert list(L.in_batches(units, 60)) == plain and list(L.in_batches([])) == []
+
+
 def test_language_of_awkward_rows(spark):
     docs = awkward(spark)
     model = language_id.fit(docs)
