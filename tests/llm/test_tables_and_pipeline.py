@@ -3,8 +3,9 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
-from helpers import awkward, near_groups, prose, words
+from helpers import awkward, empty, near_groups, prose, words
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -204,3 +205,25 @@ def test_entry_works_without_the_subpackage(name):
         "assert 'A1_prediction_statistics' in e.queries() and not [q for q in e.queries() if q.startswith('op') or q == 'pipeline']\n"
     )
     subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parents[2], check=True)
+
+
+def test_stages_hand_texts_to_python_in_small_batches(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], names=["nbytes", "n"])
+
+    texts = spark.range(0, 300, 1, 1).select(F.repeat(F.col("id").cast("string"), 50_000).alias("text"))
+    docs = empty(spark)
+    before = spark.conf.get(corpus_pipeline.BATCH, None)
+    spark.conf.unset(corpus_pipeline.BATCH)
+    try:
+        dict(corpus_pipeline.STAGES)["encoding"](spark, docs, "")
+        found = texts.mapInArrow(sizes, "nbytes long, n long").collect()
+        assert sum(r["n"] for r in found) == 300 and max(r["nbytes"] for r in found) < 2 * corpus_pipeline.BATCH_BYTES
+        spark.conf.set(corpus_pipeline.BATCH, "12345678")
+        dict(corpus_pipeline.STAGES)["encoding"](spark, docs, "")
+        assert spark.conf.get(corpus_pipeline.BATCH) == "12345678"
+    finally:
+        spark.conf.unset(corpus_pipeline.BATCH)
+        if before is not None:
+            spark.conf.set(corpus_pipeline.BATCH, before)
