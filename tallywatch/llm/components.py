@@ -5,23 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywatch.llm.scratch import cut
+from tallywatch.llm.scratch import cut, packed
 
 EDGES_A_PART = 500_000  # edges are two numbers: fewer, fuller partitions write fewer shuffle files
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, edges_at_most: int | None = None) -> DataFrame:
     """Every id in `edges` (columns a, b; any order, repeats allowed) with the smallest id it can reach: (id, component).
 
     Alternating large-star and small-star steps: edges are redirected to the smallest neighbour until every id points at
     its component. Only the number of edges and a checksum reach the driver; a hot id is an aggregate before the shuffle
-    and the unique side of the joins.
+    and the unique side of the joins. Where `edges_at_most` is known, they are first written to as few files as they need.
     """
-    current = cut(
+    current = (
         edges.filter("a IS NOT NULL AND b IS NOT NULL AND a <> b")
         .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         .distinct()
     )
+    current = cut(current if edges_at_most is None else packed(current, edges_at_most, EDGES_A_PART))
     seen = None
     while True:
         mark = current.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()

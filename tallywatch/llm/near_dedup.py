@@ -147,9 +147,9 @@ def _full_sets(docs: DataFrame, ids: DataFrame, params: Params) -> DataFrame:
     return narrow.mapInArrow(build, "id long, shingles array<long>")
 
 
-def confirm(docs: DataFrame, pairs: DataFrame, params: Params) -> DataFrame:
+def confirm(docs: DataFrame, pairs: DataFrame, params: Params, pairs_at_most: int | None = None) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
-    pairs = gathered(pairs, ROWS_A_PART)
+    pairs = gathered(pairs, ROWS_A_PART, pairs_at_most)
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     sets = _full_sets(docs, ids, params)
     left = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
@@ -329,17 +329,20 @@ def _labelled(rows: DataFrame, comps: DataFrame | None) -> DataFrame:
 
 def links(docs: DataFrame, sketched: DataFrame, params: Params) -> tuple[DataFrame, DataFrame]:
     """The classes (rep, n, set_a, set_b, tokens) and the component of every class that is linked (id, component)."""
+    most = sketched.count()  # of classes; of a root's rows, and of the pairs of a round, there are `every` at most
+    every = most * params.trees * params.branches
     classes = gathered(
         sketched.filter("n > 0 AND doc_id IS NOT NULL")
         .groupBy("set_a", "set_b")
         .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("tokens").alias("tokens")),
         ROWS_A_PART,
+        most,
     )
     roots = [  # root r selects token r: tokens are independent, so any choice is as good
         F.struct(F.xxhash64(F.lit(r), F.substring("tokens", 4 * r + 1, 4)).alias("node"), F.lit(r).cast("long").alias("root"))
         for r in range(params.trees * params.branches)
     ]
-    rows = gathered(_labelled(classes.select("rep", F.inline(F.array(*roots))), None), ROWS_A_PART)
+    rows = gathered(_labelled(classes.select("rep", F.inline(F.array(*roots))), None), ROWS_A_PART, every)
     comps = None
     for step in range(params.rounds):
         key = F.col("rep") if step == 0 else F.xxhash64("rep", F.lit(step))
@@ -350,10 +353,10 @@ def links(docs: DataFrame, sketched: DataFrame, params: Params) -> tuple[DataFra
             .select(F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b"))
             .distinct()
         )
-        found = gathered(confirm(docs, _passing(pairs, classes, params), params), ROWS_A_PART)
+        found = gathered(confirm(docs, _passing(pairs, classes, params), params, every), ROWS_A_PART, every)
         edges = found if comps is None else comps.select(F.col("id").alias("a"), F.col("component").alias("b")).union(found)
-        comps = cut(components(edges))
-        rows = gathered(_labelled(rows.drop("size"), comps), ROWS_A_PART)
+        comps = cut(components(edges, most + every))
+        rows = gathered(_labelled(rows.drop("size"), comps), ROWS_A_PART, every)
 
     def split(grown: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
         """Rows of the nodes to be compared now, and of those that go on."""
@@ -367,7 +370,7 @@ def links(docs: DataFrame, sketched: DataFrame, params: Params) -> tuple[DataFra
     compared, going = split(rows, 0)
     masks = compared.groupBy("rep").agg(F.bit_or(F.expr("shiftleft(1L, CAST(root AS INT))")).alias("mask"))
     described = classes.select("rep", "n", "tokens").join(masks, "rep", "left").withColumn("mask", F.coalesce("mask", F.lit(0)).cast("long"))
-    described = gathered(described.join(rows.select("rep").distinct(), "rep", "left_semi"), ROWS_A_PART)
+    described = gathered(described.join(rows.select("rep").distinct(), "rep", "left_semi"), ROWS_A_PART, most)
     parts = [_blocks(compared.join(described, "rep"), params)]
     going = going.join(described, "rep")
     for depth in range(1, params.max_depth + 1):
@@ -376,7 +379,7 @@ def links(docs: DataFrame, sketched: DataFrame, params: Params) -> tuple[DataFra
         deeper = _children(going.withColumn("parent", F.col("size")).drop("size"), params)
         # a pair that a root node compares is left to it: deeper nodes come after all roots
         deeper = deeper.withColumn("root", F.lit(params.trees * params.branches).cast("long"))
-        compared, going = split(gathered(_labelled(deeper, comps), ROWS_A_PART), depth)
+        compared, going = split(gathered(_labelled(deeper, comps), ROWS_A_PART, every * params.branches**depth), depth)
         parts.append(_blocks(compared, params))
     flagged = _flagged(parts[0], params)
     for more in parts[1:]:
@@ -385,7 +388,7 @@ def links(docs: DataFrame, sketched: DataFrame, params: Params) -> tuple[DataFra
     sets = _full_sets(docs, flagged.select(F.col("rep").alias("id")).distinct(), params)
     found = _verified(flagged, sets, params)
     edges = comps.select(F.col("id").alias("a"), F.col("component").alias("b")).union(found)
-    return classes, cut(components(edges))
+    return classes, cut(components(edges, most + flagged.count()))  # a group gives fewer links than it has members
 
 
 def near_duplicates(docs: DataFrame, params: Params = Params()) -> DataFrame:

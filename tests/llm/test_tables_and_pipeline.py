@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -9,7 +10,7 @@ from helpers import awkward, empty, near_groups, prose, words
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallywatch.llm import catalog, url_filter, vector_search
+from tallywatch.llm import catalog, scratch, url_filter, vector_search
 from tallywatch.llm.components import components
 
 
@@ -188,6 +189,25 @@ def test_deduplication_compares_rows_and_not_ids(spark):
     assert found.filter("lang = 'c'").first().doc_id == 5
 
 
+def test_few_rows_are_checkpointed_in_few_files(spark):
+    """Whatever the number of shuffle partitions: each file costs an executor two processes on a local disk."""
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    docs = scratch.cut(spark.createDataFrame([(i, prose(i // 3, 80) + " end" * (i % 3), "en", "s", 0) for i in range(90)], sample(spark).schema))
+    shared = Path(scratch._shared(spark).removeprefix("file:"))
+    old = set(shared.glob("rdd-*"))
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        found = corpus_pipeline.STAGES[2][1](spark, docs, "")
+        assert sorted(r.doc_id for r in found.collect()) == list(range(0, 90, 3))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files = [len(list(x.glob("part-*"))) for x in set(shared.glob("rdd-*")) - old]
+    assert len(files) > 10 and sum(n > 2 * spark.sparkContext.defaultParallelism for n in files) <= 1  # the members to be confirmed
+
+
 @pytest.mark.parametrize("name", ["tallywatch.llm.catalog", "tallywatch.llm"])
 def test_entry_works_without_the_subpackage(name):
     """With the subpackage and the pipeline gone, the other queries are all there."""
