@@ -279,7 +279,7 @@ MONITOR = f"""WITH ref AS (SELECT doc_id, text FROM labelled_texts WHERE split =
       {settled("confidence")} AS confidence FROM results WHERE deployment_id IN (SELECT deployment_id FROM busy)""",
 )
 def _(t: Tables):
-    return _settle(_monitored(t).filter("error IS NULL").drop("details", "error"), "drift_score", "confidence")
+    return _settle(_monitored(t).drop("details", "error"), "drift_score", "confidence")
 
 
 @query(

@@ -23,6 +23,14 @@ RESULT = (
 log = logging.getLogger(__name__)
 
 
+class ChecksFailed(RuntimeError):
+    """Checks that failed, by name; `results` are the rows of the others, if there are any."""
+
+    def __init__(self, errors: dict[str, object], results: DataFrame | None = None):
+        super().__init__("; ".join(f"drift check {name} failed: {error}" for name, error in errors.items()))
+        self.errors, self.results = errors, results
+
+
 def result_rows(df: DataFrame, drift_type: str, confidence: Column) -> DataFrame:
     known = ("deployment_id", "is_drift_detected", "drift_score")
     details = F.to_json(F.struct(*[c for c in df.columns if c not in known]))
@@ -66,15 +74,18 @@ def drift_checks(
 
 
 def run_monitor(*args, **kwargs) -> DataFrame:
-    """All checks in one frame; a check whose plan cannot be built is a row with its error."""
-    results, spark = None, SparkSession.active()
+    """All checks in one frame. Where a check's plan cannot be built, the others are still, and `ChecksFailed` is raised with them."""
+    results, errors = None, {}
     for name, build in drift_checks(*args, **kwargs).items():
         try:
             part = build()
         except Exception as error:
             log.exception("drift check %s failed", name)
-            part = failure(spark, name, error)
+            errors[name] = error
+            continue
         results = part if results is None else results.unionByName(part)
+    if errors:
+        raise ChecksFailed(errors, results) from next(iter(errors.values()))
     return results
 
 

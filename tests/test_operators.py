@@ -481,3 +481,22 @@ def test_a_model_gets_texts_some_at_a_time_and_a_missing_score_is_null(spark, mo
     got = {r.doc_id: r for r in scored.collect()}
     assert len(got) == 2001 and all(got[i].predicted_label == i % 2 and got[i].prediction_time >= 0 for i in range(2000))
     assert got[2000].predicted_label is None and got[2000].confidence_score is None and got[2000].text is None
+
+
+def test_a_check_that_cannot_be_planned_is_no_result(spark, small, monkeypatch):
+    from tallywatch.plans import monitor
+    from tallywatch.plans.catalog import QUERIES
+
+    frame = logs(spark, *[("d", "POSITIVE", 0.9, 1.0, i / 10) for i in range(12)])
+    reference = TextReference.fit(spark.createDataFrame([("alpha beta",), ("gamma delta",)], "text string"))
+    with pytest.raises(monitor.ChecksFailed, match="drift check data failed: .*input_text") as failed:  # there is no input_text
+        monitor.run_monitor(reference, frame, str(NOW))
+    assert set(failed.value.errors) == {"data"}
+    assert sorted((r.drift_type, r.error) for r in failed.value.results.collect()) == [("concept", None), ("model", None)]
+
+    def broken(*_):
+        raise ValueError("out of order")
+
+    monkeypatch.setattr(monitor, "concept_drift", broken)
+    with pytest.raises(monitor.ChecksFailed, match="drift check concept failed: out of order"):
+        QUERIES["G9_drift_monitor"](spark, small)
