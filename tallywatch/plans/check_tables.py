@@ -11,7 +11,7 @@ from tallywatch.operators.drift_text import TextReference
 from tallywatch.plans.check_drift import MONITOR
 from tallywatch.plans.check_entities import LIFECYCLE
 from tallywatch.plans.check_usage import AS_OF
-from tallywatch.plans.monitor import write_monitor
+from tallywatch.plans.monitor import ChecksFailed, write_monitor
 from tallywatch.plans.registry import query, settled
 from tallywatch.sources import tables
 from tallywatch.sources.canonical import Tables, alert_events_from_lines, logs_from_events
@@ -287,8 +287,10 @@ def _(t: Tables):
     events.repartition(4, "event_id").write.parquet(arriving)
     stream = t.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(arriving)
     _finish(drift_watch.watch_drift(logs_from_events(stream), reference, out, checkpoint, t.with_texts, as_of=AS_OF))
-    found = t.spark.read.parquet(f"{out}/results").filter("error IS NULL")
+    found = t.spark.read.parquet(f"{out}/results")
     found = found.filter(F.col("batch") == found.select(F.max("batch")).scalar())
+    if failed := {r["drift_type"]: r["error"] for r in found.filter("error IS NOT NULL").collect()}:
+        raise ChecksFailed(failed)
     return _settle(
         found.select("deployment_id", "drift_type", "is_drift_detected", "drift_score", "confidence"), "drift_score", "confidence"
     )

@@ -3,13 +3,16 @@
 A batch is reduced to two tables of partial states per deployment and hour: text sums (weights per term, texts per length) and
 confidence parts with times. Both are written by day and batch, so a replayed batch overwrites its own part. A check adds up
 the hours it looks back on; only rows of the hour in which the lookback begins are read again from the log. So a batch
-costs what its own rows cost, and results do not depend on how rows fall into batches.
+costs what its own rows cost, and results do not depend on how rows fall into batches. Parts of the log whose texts could not be
+summed when they came are summed by the next check that looks back on them.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,7 +23,7 @@ from tallywatch.operators.alerts import drift_alerts
 from tallywatch.operators.drift_stats import concept_of, confidence_parts, merged_parts, trend_of
 from tallywatch.operators.drift_text import TextReference, added_up, text_sums
 from tallywatch.operators.filters import moment
-from tallywatch.plans.monitor import MIN_ROWS, failure, result_rows
+from tallywatch.plans.monitor import MIN_ROWS, ChecksFailed, failure, result_rows
 from tallywatch.streaming.jobs import log_rows, start_batches
 
 KEY = "deployment_id"
@@ -28,6 +31,13 @@ PANE = ("predicted_on", "pane")
 TIMES = "times double, mean_time double"
 TASKS_PER_DAY = 8
 
+log = logging.getLogger(__name__)
+
+
+def lacks_columns(error: Exception) -> bool:
+    """Whether a check cannot be planned because the log lacks what it reads; doing it again would not help."""
+    return isinstance(error, AnalysisException) and (error.getCondition() or "").startswith("UNRESOLVED_COLUMN")
+
 
 def with_pane(rows: DataFrame) -> DataFrame:
     """Rows with the hour they fall in."""
@@ -76,17 +86,34 @@ class States:
         writer = df.withColumn("batch", F.lit(batch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy("predicted_on", "batch").parquet(f"{self.path}/{name}")
 
+    def days(self, name: str, since: str) -> list[str]:
+        """Folders of the days from `since` on."""
+        return [d for d in subfolders(self.spark, f"{self.path}/{name}") if d.startswith("predicted_on=") and d >= f"predicted_on={since}"]
+
+    def parts(self, name: str, since: str) -> set[str]:
+        """Folders of batches by day, from `since` on."""
+        return {f"{d}/{b}" for d in self.days(name, since) for b in subfolders(self.spark, f"{self.path}/{name}/{d}") if b.startswith("batch=")}
+
+    def fill_texts(self, since: str, batch: int, schema: str) -> None:
+        """Sum the texts of parts of the log up to this batch that have no sums yet, because summing them failed when they came."""
+        missing: dict[int, list[str]] = {}
+        for part in self.parts("log", since) - self.parts("texts", since):
+            missing.setdefault(int(part.rsplit("batch=", 1)[1]), []).append(f"{self.path}/log/{part}")
+        reader = self.spark.read.schema(f"{schema}, predicted_on date, batch int").option("basePath", f"{self.path}/log")
+        for number in sorted(n for n in missing if n <= batch):
+            self._put(self.texts(with_pane(reader.parquet(*missing[number]).drop("batch"))), "texts", number)
+
     def get(self, name: str, since: str, batch: int, schema: str) -> DataFrame:
         """What batches up to this one wrote for the days from `since` on; only their folders are listed."""
-        days = [d for d in subfolders(self.spark, f"{self.path}/{name}") if d.startswith("predicted_on=") and d >= f"predicted_on={since}"]
+        days = self.days(name, since)
         schema = f"{schema}, predicted_on date, batch int"
         if not days:
             return self.spark.createDataFrame([], schema).drop("batch")
         reader = self.spark.read.schema(schema).option("basePath", f"{self.path}/{name}")
         return reader.parquet(*[f"{self.path}/{name}/{d}" for d in days]).filter(F.col("batch") <= batch).drop("batch")
 
-    def add(self, rows: DataFrame, batch: int) -> Exception | None:
-        """Add a batch to the log and the states; what kept its texts from being summed, if anything did."""
+    def add(self, rows: DataFrame, batch: int) -> None:
+        """Add a batch to the log and the states; where its texts cannot be summed, `fill_texts` does it or tells why."""
         kept = spread(log_rows(rows)).persist()
         try:
             self._put(kept, "log", batch)
@@ -94,11 +121,10 @@ class States:
             self._put(number_states(panes), "numbers", batch)
             try:
                 self._put(self.texts(panes), "texts", batch)
-            except Exception as error:  # the other checks go on without texts
-                return error
+            except Exception:  # the other checks go on without texts
+                log.exception("texts of batch %s are not summed yet", batch)
         finally:
             kept.unpersist()
-        return None
 
 
 def watch_drift(
@@ -109,7 +135,9 @@ def watch_drift(
     """Run the drift checks whenever rows arrive, over all that came so far, against a fixed reference.
 
     `as_of` defaults to the newest time of the batch; `with_texts` adds `input_text` to log rows that do not carry it. Results
-    and alerts are files per batch. Each check writes on its own; one that fails leaves a row with its error.
+    and alerts are files per batch. Each check writes on its own; one that fails leaves a row with its error. When all have
+    written, `ChecksFailed` ends the query, and a restart does the batch again; only a check whose columns the log lacks,
+    which would fail again, lets the stream go on.
     """
     log_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in log_rows(stream).schema if f.name != "predicted_on")
     kind = stream.schema[KEY].dataType.simpleString()
@@ -119,7 +147,7 @@ def watch_drift(
     def check(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         states = States(spark, path, reference, with_texts)
-        text_error = states.add(batch, batch_id)
+        states.add(batch, batch_id)
         newest = as_of or batch.filter(F.col(KEY).isNotNull()).agg(F.max("predicted_at")).first()[0]
         if newest is None:
             return
@@ -130,6 +158,8 @@ def watch_drift(
             begin, hour, aligned = spark.range(1).select(
                 low.cast("date").cast("string"), F.date_trunc("hour", low).cast("timestamp_ntz").cast("string"), F.date_trunc("hour", low).cast("timestamp_ntz") == low
             ).first()
+            if name == "texts":
+                states.fill_texts(begin, batch_id, log_schema)
             kept = states.get(name, begin, batch_id, schema)
             if aligned:
                 return kept.filter(F.col("pane") >= moment(hour))
@@ -140,8 +170,6 @@ def watch_drift(
         busy = recent.groupBy(KEY).agg(F.sum("n").alias("_n")).filter(F.col("_n") >= min_rows).select(KEY)
 
         def data() -> DataFrame:
-            if text_error is not None:
-                raise text_error
             sums = added_up(looked_back("texts", of_texts, states.texts, hours=hours), [KEY])
             return result_rows(reference.drift_of(stored(sums.join(busy, KEY, "left_semi"), "text-sums"), [KEY]), "data", F.col("confidence"))
 
@@ -153,13 +181,18 @@ def watch_drift(
             daily = daily_of(looked_back("numbers", of_numbers, number_states, days=days))
             return result_rows(trend_of(daily).join(busy, KEY, "left_semi"), "model", F.col("confidence"))
 
+        errors = {}
         for name, build in (("data", data), ("concept", concept), ("model", model)):
             target = f"{path}/results/batch={batch_id}/check={name}"
             try:
                 build().write.mode("overwrite").parquet(target)
             except Exception as error:  # the other checks go on; the failure is a row among the results
+                log.exception("drift check %s failed", name)
                 failure(spark, name, error).write.mode("overwrite").parquet(target)
+                errors |= {} if lacks_columns(error) else {name: error}
         results = spark.read.parquet(f"{path}/results/batch={batch_id}")
         drift_alerts(results.drop("error")).write.mode("overwrite").parquet(f"{path}/alerts/batch={batch_id}")
+        if errors:
+            raise ChecksFailed(errors)
 
     return start_batches(stream, check, checkpoint)

@@ -203,3 +203,70 @@ def test_a_batch_in_one_file_is_dealt_to_several_tasks(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert sorted(r.id for r in dealt) == list(range(400)) and len({r.task for r in dealt}) == 4
+
+
+WATCHED = "id int, deployment_id string, predicted_sentiment string, confidence_score double, prediction_time double, predicted_at timestamp_ntz"
+
+
+def test_a_failed_check_ends_the_watch_and_is_done_again(spark, tmp_path, monkeypatch):
+    from pyspark.errors import StreamingQueryException
+
+    from tallywatch.operators.drift_text import TextReference
+
+    reference = TextReference.fit(spark.createDataFrame([("alpha beta",), ("gamma delta",)], "text string"))
+    source, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    rows = [(i, "d", "POSITIVE", 0.9, 1.0, NOW, "alpha") for i in range(12)]
+    _arrive(spark.createDataFrame(rows, f"{WATCHED}, input_text string"), source, "a")
+
+    def run():
+        stream = spark.readStream.schema(f"{WATCHED}, input_text string").option("recursiveFileLookup", "true").parquet(source)
+        drift_watch.watch_drift(stream, reference, out, check).awaitTermination()
+        return {r.drift_type: r.error for r in spark.read.parquet(f"{out}/results").collect()}
+
+    def broken(*_):
+        raise ValueError("out of order")
+
+    with monkeypatch.context() as m:
+        m.setattr(drift_watch, "concept_of", broken)
+        with pytest.raises(StreamingQueryException, match="drift check concept failed: out of order"):
+            run()
+    assert {r.drift_type: r.error for r in spark.read.parquet(f"{out}/results").collect()}["data"] is None
+    assert run() == {"data": None, "concept": None, "model": None}
+
+
+def test_texts_that_could_not_be_summed_are_not_left_out_later(spark, tmp_path):
+    from tallywatch.operators.drift_text import TextReference
+
+    reference = TextReference.fit(spark.createDataFrame([("alpha beta",), ("gamma delta",)], "text string"))
+    source, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    everything = []
+    for i, text in enumerate(["alpha beta", "gamma"]):
+        rows = [(20 * i + n, "d", "POSITIVE", 0.9, 1.0, NOW + timedelta(minutes=n)) for n in range(12)]
+        everything += [(*r, text) for r in rows]
+        _arrive(spark.createDataFrame(rows, WATCHED), source, f"f{i}")
+        stream = spark.readStream.schema(WATCHED).option("recursiveFileLookup", "true").parquet(source)
+        # the texts of the first batch are not there when it comes
+        with_texts = (lambda logs: logs.withColumn("input_text", F.when(F.col("id") < 20, "alpha beta").otherwise("gamma"))) if i else (lambda logs: logs)
+        drift_watch.watch_drift(stream, reference, out, check, with_texts).awaitTermination()
+    found = spark.read.parquet(f"{out}/results").filter("batch = 1 AND drift_type = 'data'").first()
+    expected = reference.data_drift(spark.createDataFrame(everything, f"{WATCHED}, input_text string")).first()
+    assert found.error is None and found.drift_score == pytest.approx(expected.drift_score)
+
+
+def test_a_failed_check_is_no_result_of_the_streamed_drift(spark, small, monkeypatch):
+    from tallywatch.plans.catalog import QUERIES
+    from tallywatch.plans.monitor import RESULT, ChecksFailed
+
+    class Done:
+        def awaitTermination(self):  # noqa: N802
+            pass
+
+    def watched(stream, reference, path, checkpoint, *_, **__):
+        good, bad = ("dep-1", "model", False, 0.0, 1.0, "{}", None), (None, "data", None, None, None, None, "no texts")
+        for batch, row in enumerate([good, bad]):
+            spark.createDataFrame([row], RESULT).write.parquet(f"{path}/results/batch={batch}/check={row[1]}")
+        return Done()
+
+    monkeypatch.setattr(drift_watch, "watch_drift", watched)
+    with pytest.raises(ChecksFailed, match="drift check data failed: no texts"):
+        QUERIES["R5_streamed_drift"](spark, small)
