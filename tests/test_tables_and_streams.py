@@ -270,3 +270,118 @@ def test_a_failed_check_is_no_result_of_the_streamed_drift(spark, small, monkeyp
     monkeypatch.setattr(drift_watch, "watch_drift", watched)
     with pytest.raises(ChecksFailed, match="drift check data failed: no texts"):
         QUERIES["R5_streamed_drift"](spark, small)
+
+
+def _actions(rows):
+    import pyarrow as pa
+
+    names = ("slot", "alert_id", "seq", "action", "actor", "notes", "happened_at")
+    kinds = (pa.int32(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+
+
+def test_folds_of_parts_are_those_of_all_actions():
+    import random
+
+    import pyarrow as pa
+    from pyspark.sql.types import StringType
+
+    schema, pick = lifecycle.folds_schema(StringType()), random.Random(1)
+    seqs = pick.sample(range(2**60, 2**60 + 10_000), 900)  # more than a double tells apart
+    rows = []
+    for seq in seqs:
+        alert = pick.choice([None, "", *[f"a{i}" for i in range(40)]])
+        action, notes = pick.choice(["acknowledge", "resolve", "other", None]), pick.choice([None, "", f"n{seq}"])
+        rows.append((0, alert, pick.choice([seq, seq, None]), action, pick.choice([None, f"u{seq}"]), notes, f"t{seq}"))
+
+    def first(found, sign):
+        return min(found, key=lambda r: sign * r[2], default=(None,) * 7)
+
+    expected = {}
+    for alert in {r[1] for r in rows}:
+        own = [r for r in rows if r[1] == alert and r[2] is not None]
+        ack, resolves = first([r for r in own if r[3] == "acknowledge"], 1), [r for r in own if r[3] == "resolve"]
+        last, noted = first(resolves, -1), first([r for r in resolves if r[5]], -1)
+        expected[alert] = (ack[2], ack[4], ack[6], first(resolves, 1)[2], last[2], last[4], last[6], noted[2], noted[5])
+    parts = [lifecycle.of_actions(pa.Table.from_batches([_actions(rows[i : i + 100])]), schema) for i in range(0, 900, 100)]
+    folds = [lifecycle.fold(p).select(schema.names) for p in parts]
+    got = lifecycle.fold(pa.concat_tables([*folds, folds[3]])).to_pylist()
+    assert len(got) == len(expected) and {r.pop("alert_id"): tuple(r.values()) for r in got} == expected
+
+
+def test_folds_of_a_slot_go_one_by_one():
+    import pyarrow as pa
+    from pyspark.sql.types import StringType
+
+    class Store:
+        def __init__(self):
+            self.value, self.timers, self.calls = None, set(), 0
+            self.registerTimer, self.deleteTimer = self.timers.add, self.timers.discard
+
+        def getValueState(self, name, schema):  # noqa: N802
+            return self
+
+        def get(self):
+            self.calls += 1
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+        def clear(self):
+            self.value = None
+
+    class Clock:
+        def getCurrentProcessingTimeInMs(self):  # noqa: N802
+            return now
+
+    schema, store = lifecycle.folds_schema(StringType()), Store()
+    fold = lifecycle.AlertFold(schema, idle_ms=100, resolved_ms=10)
+    fold.init(store)
+
+    def held():
+        return sorted(pa.ipc.open_stream(store.value[1]).read_all().column("alert_id").to_pylist()) if store.value else []
+
+    def act(*rows):
+        packed = [{"pack": p} for b in lifecycle.packs(schema)(iter([_actions(rows)])) for p in b.column("pack").to_pylist()]
+        (out,) = fold.handleInputRows((0,), iter(packed), Clock())
+        due = {t for t in store.timers if t <= now}
+        for t in due:  # as the engine does, after the rows
+            store.timers.discard(t)
+            list(fold.handleExpiredTimer((0,), Clock(), None))
+        found = pa.ipc.read_record_batch(pa.py_buffer(out["pack"]), schema).to_pylist()
+        return {r["alert_id"]: (r["first_ack"], r["first_resolve"]) for r in found}
+
+    now = 1000
+    assert act(*[(0, f"r{i}", i, "resolve", "u", None, "t") for i in range(20)], (0, "open", 50, "acknowledge", "u", None, "t")) == {
+        **{f"r{i}": (None, i) for i in range(20)}, "open": (50, None)
+    }
+    assert store.calls == 1 and len(held()) == 21 and store.timers == {1010}
+    now = 1005
+    assert act((0, "r1", 0, "acknowledge", "u", None, "t"), (0, "r2", 70, "acknowledge", "u", None, "t")) == {"r1": (0, 1), "r2": (70, 2)}
+    now = 1010  # what was resolved goes, and a late action begins anew
+    assert act((0, "r1", 99, "acknowledge", "u", None, "t")) == {"r1": (99, None)}
+    assert held() == ["open", "r1"] and store.timers == {1100}
+    now = 1100
+    list(fold.handleExpiredTimer((0,), Clock(), None))
+    assert held() == ["r1"] and 1110 in store.timers
+    now = 1110
+    list(fold.handleExpiredTimer((0,), Clock(), None))
+    assert store.value is None
+
+
+def test_a_batch_calls_the_state_once_per_slot(spark, tmp_path):
+    source, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    schema = "alert_id long, seq long, action string, actor string, notes string, happened_at date"
+    rows = [(i % 300, i, "resolve" if i % 3 else "acknowledge", f"u{i}", None, NOW.date()) for i in range(900)] + [(None, 5, "resolve", "u", "n", None)]
+    for i in range(2):
+        _arrive(spark.createDataFrame(rows[i::2], schema), source, f"f{i}")
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(source)
+        query = lifecycle.follow_alerts(stream, out, check, buckets=4, slots=8)
+        query.awaitTermination()
+        assert 0 < sum(op["numRowsUpdated"] for p in query.recentProgress for op in p["stateOperators"]) <= 8 * 3  # with timers
+    alerts = spark.createDataFrame([(i, "ACTIVE") for i in range(301)], "id long, status string")
+    expected = folds.alert_lifecycle(alerts, spark.createDataFrame(rows, schema))
+    got = lifecycle.followed_alerts(spark, out, alerts, "date")
+    assert got.exceptAll(expected).isEmpty() and expected.exceptAll(got).isEmpty()
+    assert spark.read.parquet(f"{out}/current").count() == 301
